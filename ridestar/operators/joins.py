@@ -1,0 +1,22 @@
+"""Joins with a checked broadcast side."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows; reads at most max_rows + 1 rows."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner", max_rows: int = 100_000) -> DataFrame:
+    """Join ``big`` with ``small``, broadcasting ``small`` only when its row count is proven small.
+
+    Beyond the bound the join is left to the planner (sort-merge, or AQE's runtime
+    broadcast when the shuffled side turns out small), so nothing unbounded is
+    ever broadcast.
+    """
+    side = F.broadcast(small) if row_count_at_most(small, max_rows) else small
+    return big.join(side, on, how)
