@@ -1,21 +1,59 @@
-"""Staging (silver): bronze JSON events -> one typed row per trip."""
+"""Staging (silver): bronze JSON events -> one typed row per trip.
+
+Parsing is the dominant cost of this layer at scale, so it has two paths that
+give the same values:
+
+* fast path: one strict, typed ``from_json`` pass (Jackson streaming, no
+  intermediate tree) for every row;
+* exact path: ``try_parse_json`` + per-field variant reads with warehouse
+  ``json_value``/``safe_cast`` semantics, evaluated only for rows the fast path
+  flags: malformed or partial records (NaN, single quotes, a quoted number, a
+  float or boolean in an integer field, a non-object), text that does not end
+  in ``}``, or a text field holding an object or array.
+
+For well-formed producer output both paths agree value for value; the exact path
+decides every row the fast path cannot. Known gap: duplicate keys take the last
+value on the fast path.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ridestar.functions.json import json_double, json_long, json_string, parse_payload
+from ridestar.functions.json import json_double, json_long, json_string
 from ridestar.operators.dedup import dedup_latest
-from ridestar.spec import DOUBLE, LONG, METADATA_COLUMNS, PAYLOAD_FIELDS
+from ridestar.spec import DOUBLE, LONG, METADATA_COLUMNS, PAYLOAD_FIELDS, STRING
 
-_V = "__payload"
+_TYPED = "__typed"
+_VARIANT = "__variant"
+_EXACT = "__exact"
+CORRUPT = "_corrupt_record"
 
 # Latest record wins; partition and offset make the order total (ties are not arbitrary).
 DEDUP_ORDER = ("kafka_timestamp", "kafka_partition", "kafka_offset")
 
+STRICT_JSON_OPTIONS = {
+    "mode": "PERMISSIVE",
+    "columnNameOfCorruptRecord": CORRUPT,
+    "allowSingleQuotes": "false",
+    "allowNonNumericNumbers": "false",
+    "allowUnquotedControlChars": "false",
+    "allowUnquotedFieldNames": "false",
+    "allowComments": "false",
+    "allowNumericLeadingZeros": "false",
+    "allowBackslashEscapingAnyCharacter": "false",
+}
+
+_SPARK_TYPES = {STRING: T.StringType(), DOUBLE: T.DoubleType(), LONG: T.LongType()}
+
+PAYLOAD_SCHEMA = T.StructType(
+    [T.StructField(f.key, _SPARK_TYPES[f.dtype]) for f in PAYLOAD_FIELDS] + [T.StructField(CORRUPT, T.StringType())]
+)
 
-def _field(v, f):
+
+def _exact_field(v: Column, f) -> Column:
     if f.dtype == DOUBLE:
         return json_double(v, f.key)
     if f.dtype == LONG:
@@ -23,31 +61,60 @@ def _field(v, f):
     return json_string(v, f.key)
 
 
-def parse_events(bronze: DataFrame, keep_payload: bool = False) -> DataFrame:
+def _needs_exact_path(typed: Column, value: Column) -> Column:
+    nested = [
+        typed[f.key].startswith("{") | typed[f.key].startswith("[") for f in PAYLOAD_FIELDS if f.dtype == STRING
+    ]
+    # Text with trailing blanks also takes the exact path (correct, just slower).
+    cond = typed.isNull() | typed[CORRUPT].isNotNull() | ~value.endswith("}")
+    for c in nested:
+        cond = cond | F.coalesce(c, F.lit(False))
+    return F.coalesce(cond, F.lit(True))
+
+
+def parse_events(bronze: DataFrame, with_reason: bool = False) -> DataFrame:
     """Flatten the JSON payload to the 57 typed staging columns + 4 metadata columns.
 
-    The payload is parsed once per row (a VARIANT in its own projection); every
-    field is then read from the variant, not re-parsed from text.
+    With ``with_reason``: also ``reject_reason`` (``malformed_json``,
+    ``missing_id`` or NULL for an accepted row) and the original ``value``.
     """
     meta = [F.col(src).cast(t).alias(dst) for src, dst, t in METADATA_COLUMNS]
-    parsed = bronze.select(parse_payload("value").alias(_V), *meta)
-    v = F.col(_V)
-    fields = [_field(v, f).alias(f.column) for f in PAYLOAD_FIELDS]
-    extra = [v] if keep_payload else []
-    return parsed.select(*fields, *[F.col(dst) for _, dst, _ in METADATA_COLUMNS], *extra)
+    meta_names = [dst for _, dst, _ in METADATA_COLUMNS]
+    t, v, exact = F.col(_TYPED), F.col(_VARIANT), F.col(_EXACT)
+    # The typed parse is produced by a generator (explode of a one-element
+    # array): Catalyst keeps filters on parsed fields (``trip_id IS NOT NULL``)
+    # above a generator instead of pushing them below the parse, where they
+    # would run from_json a second time per row.
+    typed = bronze.select(
+        F.explode(F.array(F.from_json("value", PAYLOAD_SCHEMA, STRICT_JSON_OPTIONS))).alias(_TYPED), "value", *meta
+    )
+    # Each step is its own projection so that no parse is repeated per field.
+    typed = typed.select(_TYPED, "value", *meta_names, _needs_exact_path(t, F.col("value")).alias(_EXACT))
+    exact_struct = F.struct(*[_exact_field(F.col(_VARIANT), f).alias(f.key) for f in PAYLOAD_FIELDS])
+    both = typed.select(
+        _TYPED, _EXACT, *meta_names, *(["value"] if with_reason else []),
+        F.when(exact, F.try_parse_json("value")).alias(_VARIANT),
+    )
+    both = both.select(
+        _TYPED, _EXACT, *meta_names, *(["value"] if with_reason else []),
+        F.when(exact, F.struct(v.isNull().alias("__malformed"), exact_struct.alias("s"))).alias("__e"),
+    )
+    e = F.col("__e")
+    fields = [F.when(exact, e["s"][f.key]).otherwise(t[f.key]).alias(f.column) for f in PAYLOAD_FIELDS]
+    cols = fields + [F.col(m) for m in meta_names]
+    if with_reason:
+        f0 = PAYLOAD_FIELDS[0]
+        trip_id = F.when(exact, e["s"][f0.key]).otherwise(t[f0.key])
+        cols += [
+            F.when(exact & e["__malformed"], F.lit("malformed_json"))
+            .when(trip_id.isNull(), F.lit("missing_id"))
+            .alias("reject_reason"),
+            F.col("value"),
+        ]
+    return both.select(*cols)
 
 
 def stg_events(bronze: DataFrame) -> DataFrame:
     """The staging model: parse, keep rows with an id, keep the latest row per trip_id."""
     parsed = parse_events(bronze).where(F.col("trip_id").isNotNull())
     return dedup_latest(parsed, ["trip_id"], DEDUP_ORDER)
-
-
-def quarantine_reason(bronze: DataFrame) -> DataFrame:
-    """Bronze rows with a reject reason: malformed_json, missing_id or NULL (accepted)."""
-    v = parse_payload("value")
-    return bronze.withColumn(_V, v).withColumn(
-        "reject_reason",
-        F.when(F.col(_V).isNull(), F.lit("malformed_json"))
-        .when(json_string(F.col(_V), "id").isNull(), F.lit("missing_id")),
-    ).drop(_V)
