@@ -175,3 +175,48 @@ def surrogate_key_q(spark: SparkSession, sf_dir: str) -> DataFrame:
         surrogate_key("cab_type", "product_id", "name").alias("cab_key"),
         natural_key("source").alias("source_location_key"),
     )
+
+
+# ------------------------------------------------------------------ data quality
+
+from ridestar.plans import quality  # noqa: E402
+
+MEASURED_AT = "2024-01-01 00:00:00"
+_REVENUE_ROUND = {"staging_revenue": 2, "fact_revenue": 2, "revenue_discrepancy_usd": 2}
+
+
+@register("dq_completeness", O.with_models(O.dq_completeness_sql()))
+def dq_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.completeness(staged(spark, sf_dir))
+
+
+@register("dq_uniqueness", O.with_models(O.DQ_UNIQUENESS))
+def dq_uniqueness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.uniqueness(star(spark, sf_dir)["fact_trips"])
+
+
+@register("dq_validity", O.with_models(O.dq_validity_sql()))
+def dq_validity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.validity(staged(spark, sf_dir))
+
+
+@register("dq_accuracy", O.with_models(O.DQ_ACCURACY))
+def dq_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = star(spark, sf_dir)
+    return stable(quality.accuracy(m["stg"], m["fact_trips"]), _REVENUE_ROUND)
+
+
+@register("dq_timeliness", O.with_models(O.dq_timeliness_sql()))
+def dq_timeliness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.timeliness(star(spark, sf_dir)["fact_trips"])
+
+
+@register("dq_metrics", O.with_models(O.dq_metrics_sql(MEASURED_AT)))
+def dq_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole quality mart row at a fixed ``measured_at``."""
+    import datetime as _dt
+
+    m = star(spark, sf_dir)
+    at = _dt.datetime.fromisoformat(MEASURED_AT)
+    out = quality.dq_metrics(m["stg"], m["fact_trips"], F.lit(at).cast("timestamp_ntz").cast("timestamp"))
+    return stable(out, _REVENUE_ROUND)
