@@ -220,3 +220,95 @@ def dq_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     at = _dt.datetime.fromisoformat(MEASURED_AT)
     out = quality.dq_metrics(m["stg"], m["fact_trips"], F.lit(at).cast("timestamp_ntz").cast("timestamp"))
     return stable(out, _REVENUE_ROUND)
+
+
+# ------------------------------------------------------------------ checks
+
+from ridestar.operators.reshape import null_counts as _null_counts  # noqa: E402
+from ridestar.plans import checks as C  # noqa: E402
+from ridestar.spec import CRITICAL_COLUMNS  # noqa: E402
+
+
+def models(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    m = star(spark, sf_dir)
+    m[C.STG] = m["stg"]
+    return m
+
+
+def _of_kind(*kinds: str) -> list:
+    return [ck for ck in C.DECLARED_CHECKS if ck.kind in kinds]
+
+
+def _register_checks(name: str, kinds: tuple[str, ...]) -> None:
+    cks = _of_kind(*kinds)
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return C.check_counts(models(spark, sf_dir), cks)
+
+    run.__doc__ = f"Declared {', '.join(kinds)} checks: failures and status per check."
+    register(name, O.with_models(O.checks_sql(cks)))(run)
+
+
+_register_checks("check_not_null", ("not_null",))
+_register_checks("check_unique", ("unique",))
+_register_checks("check_accepted_values", ("accepted_values",))
+_register_checks("check_relationships", ("relationships",))
+_register_checks("check_expression", ("expression_is_true",))
+
+_SINGULAR_SQL = {
+    "assert_accuracy_revenue_reconciliation": O.ASSERT_RECONCILED,
+    "assert_completeness_critical_fields": O.assert_complete_sql(),
+    "assert_no_duplicate_trip_ids": O.ASSERT_NO_DUPLICATES,
+    "assert_price_positive": O.ASSERT_POSITIVE,
+    "assert_timeliness_ingestion_lag": O.assert_lag_sql(),
+}
+
+
+@register("assert_reconciled", O.with_models(O.ASSERT_RECONCILED))
+def assert_reconciled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = star(spark, sf_dir)
+    return C.assert_reconciled(m["stg"], m["fact_trips"])
+
+
+@register("assert_complete", O.with_models(O.assert_complete_sql()))
+def assert_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.assert_complete(staged(spark, sf_dir))
+
+
+@register("assert_no_duplicates", O.with_models(O.ASSERT_NO_DUPLICATES))
+def assert_no_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.assert_no_duplicates(star(spark, sf_dir)["fact_trips"])
+
+
+@register("assert_positive", O.with_models(O.ASSERT_POSITIVE))
+def assert_positive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stable(C.assert_positive(staged(spark, sf_dir)))
+
+
+@register("assert_lag", O.with_models(O.assert_lag_sql()))
+def assert_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stable(C.assert_lag(star(spark, sf_dir)["fact_trips"]))
+
+
+@register("null_counts", O.with_models(O.null_counts_sql()))
+def null_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """NULL count per critical column and the row count, from one scan (unpivoted)."""
+    return _null_counts(staged(spark, sf_dir), CRITICAL_COLUMNS)
+
+
+_ALL_CHECKS_SQL = (O.checks_sql(C.DECLARED_CHECKS) + "\nUNION ALL\n"
+                   + O.singular_counts_sql(C.SINGULAR_TESTS, _SINGULAR_SQL))
+
+
+@register("check_results", O.with_models(_ALL_CHECKS_SQL))
+def check_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All 58 declared checks and 5 singular tests: failures, severity, status."""
+    return C.run_checks(models(spark, sf_dir))
+
+
+@register("verdict", O.with_models(
+    "SELECT severity, status, count(*) AS checks, CAST(coalesce(sum(failures), 0) AS BIGINT) AS failing_rows "
+    f"FROM ({_ALL_CHECKS_SQL}) GROUP BY severity, status"))
+def verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Check results grouped by severity and status (the run's pass/fail verdict)."""
+    return C.verdict(C.run_checks(models(spark, sf_dir)))
