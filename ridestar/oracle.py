@@ -341,3 +341,50 @@ def singular_counts_sql(tests, sql_by_name) -> str:
              f"'{t.severity}' AS severity, CAST(count(*) AS BIGINT) AS failures FROM ({sql_by_name[t.name]})"
              for t in tests]
     return f"SELECT *, {STATUS_SQL} FROM (" + "\nUNION ALL\n".join(parts) + ")"
+
+
+# ---------------------------------------------------------------- sources, stream, gates
+
+EVENT_ENVELOPE = """SELECT event_type AS key, CAST(event_id % 3 AS INTEGER) AS partition, event_id // 3 AS offset,
+       ts AS kafka_timestamp, event_id
+FROM events"""
+
+JSON_EXTRACT = """SELECT event_id, user_id, event_type, value,
+       TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS k
+FROM events"""
+
+QUARANTINE = """SELECT CAST(event_id % 3 AS INTEGER) AS partition, event_id // 3 AS offset,
+       CASE WHEN event_type = 'error' THEN 'malformed_json' ELSE 'missing_id' END AS reject_reason
+FROM events"""
+
+BACKLOG = """SELECT CAST(event_id % 3 AS INTEGER) AS partition, min(event_id // 3) AS low,
+       max(event_id // 3) + 1 AS high, max(event_id // 3) - min(event_id // 3) + 1 AS messages
+FROM events GROUP BY 1"""
+
+
+def retention_sql(now: str, days: int) -> str:
+    return f"""SELECT CAST(event_id % 3 AS INTEGER) AS partition, event_id // 3 AS offset, ts AS kafka_timestamp
+FROM events WHERE ts >= TIMESTAMP '{now}' - INTERVAL {days} DAY"""
+
+
+REFRESH_COUNT = "SELECT count(*) AS total_rows FROM events"
+
+
+def clean_columns_sql(columns) -> str:
+    return "SELECT " + ", ".join(columns) + " FROM trips"
+
+
+EVENT_STAMP = """SELECT kafka_partition AS partition, kafka_offset AS offset,
+       CAST(epoch(kafka_timestamp) AS DOUBLE) AS timestamp,
+       strftime(kafka_timestamp, '%Y-%m-%d %H:%M:%S') AS datetime,
+       CAST(hour(kafka_timestamp) AS BIGINT) AS hour, CAST(day(kafka_timestamp) AS BIGINT) AS day,
+       CAST(month(kafka_timestamp) AS BIGINT) AS month,
+       coalesce(nullif(source_neighborhood, ''), 'unknown') AS key, true AS has_id
+FROM trips"""
+
+
+def upsert_sql(t1: str, t2: str) -> str:
+    parts = [f"""SELECT * EXCLUDE (composite_dq_score),
+       round(CAST(stg_total_rows AS DOUBLE) / fact_total_rows, 4) AS stg_per_fact_row
+FROM ({dq_metrics_sql(t)})""" for t in (t1, t2)]
+    return "\nUNION ALL\n".join(parts)

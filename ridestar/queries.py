@@ -312,3 +312,192 @@ def check_results(spark: SparkSession, sf_dir: str) -> DataFrame:
 def verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Check results grouped by severity and status (the run's pass/fail verdict)."""
     return C.verdict(C.run_checks(models(spark, sf_dir)))
+
+
+# ------------------------------------------------------------------ sources, sinks, stream, gates
+
+import datetime as _dt  # noqa: E402
+
+from ridestar.plans import gates as G  # noqa: E402
+from ridestar.session import scratch_path  # noqa: E402
+from ridestar.sources import bronze as B  # noqa: E402
+from ridestar.sources import csv as CSV  # noqa: E402
+from ridestar.sources import kafka as K  # noqa: E402
+from ridestar.sources import tables as TB  # noqa: E402
+from ridestar.spec import PAYLOAD_FIELDS, TOPIC_RETENTION_DAYS  # noqa: E402
+from ridestar.streaming import bronze_job as SJ  # noqa: E402
+
+
+def _event_id_from(value: str = "value") -> "F.Column":
+    from ridestar.functions.json import json_long
+
+    return json_long(F.try_parse_json(F.col(value)), "event_id")
+
+
+@register("event_envelope", O.EVENT_ENVELOPE)
+def event_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kafka envelope decode (binary key/value -> text, timestamp renamed) over the events topic."""
+    ensure_utc(spark)
+    b = K.to_bronze(testdata.event_topic(spark, sf_dir))
+    return stable(b.select("key", "partition", "offset", "kafka_timestamp", _event_id_from().alias("event_id")))
+
+
+@register("json_extract", O.JSON_EXTRACT)
+def json_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Strict JSON field reads (json_value + safe_cast) from the message body and a nested JSON string."""
+    from ridestar.functions.json import json_double, json_long, json_string
+
+    ensure_utc(spark)
+    b = K.to_bronze(testdata.event_topic(spark, sf_dir)).select(F.try_parse_json("value").alias("v"))
+    v = F.col("v")
+    body = b.select(json_long(v, "event_id").alias("event_id"), json_long(v, "user_id").alias("user_id"),
+                    json_string(v, "event_type").alias("event_type"), json_double(v, "value").alias("value"),
+                    json_string(v, "props").alias("props"))
+    return body.select("event_id", "user_id", "event_type", "value",
+                       json_long(F.try_parse_json("props"), "k").alias("k"))
+
+
+def _mixed_topic_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trip messages plus event messages on one topic; 'error' events arrive truncated (broken writes)."""
+    ev = K.to_bronze(testdata.event_topic(spark, sf_dir))
+    ev = ev.withColumn("value", F.when(F.col("key") == "error", F.expr("left(value, length(value) div 2)"))
+                       .otherwise(F.col("value"))).withColumn("ingestion_time", F.col("kafka_timestamp"))
+    return ev.unionByName(testdata.trip_bronze(spark, sf_dir))
+
+
+@register("quarantine_split", O.QUARANTINE)
+def quarantine_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dead-letter split of a mixed topic: rejected rows and their reason (accepted rows go to staging)."""
+    ensure_utc(spark)
+    _, bad = SJ.split_valid(_mixed_topic_bronze(spark, sf_dir))
+    return bad.select("partition", "offset", "reject_reason")
+
+
+@register("backlog", O.BACKLOG)
+def backlog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Retained messages per topic partition (offset range), the readiness gate's input."""
+    return G.backlog(testdata.event_topic(spark, sf_dir))
+
+
+RETENTION_NOW = "2024-01-31 00:00:00"
+
+
+@register("retention", O.retention_sql(RETENTION_NOW, TOPIC_RETENTION_DAYS))
+def retention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze rows kept by a 7-day retention at a fixed 'now'."""
+    ensure_utc(spark)
+    b = K.to_bronze(testdata.event_topic(spark, sf_dir))
+    kept = B.apply_retention(b, "kafka_timestamp", TOPIC_RETENTION_DAYS, _dt.datetime.fromisoformat(RETENTION_NOW))
+    return stable(kept.select("partition", "offset", "kafka_timestamp"))
+
+
+def _write_topic_files(spark: SparkSession, sf_dir: str, files: int = 8) -> str:
+    path = scratch_path(spark, "topic")
+    testdata.event_topic(spark, sf_dir).repartition(files, "partition", "offset").write.parquet(path)
+    return path
+
+
+def _stream_to_bronze(spark: SparkSession, sf_dir: str) -> str:
+    src = _write_topic_files(spark, sf_dir)
+    base = scratch_path(spark, "lake")
+    paths = B.bronze_paths(base)
+    SJ.run_file_bronze(spark, src, paths.data, paths.checkpoint, max_files_per_trigger=2)
+    return paths.data
+
+
+@register("stream_bronze", O.EVENT_ENVELOPE)
+def stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Available-now file stream of the topic -> checkpointed Parquet bronze, read back through the commit log."""
+    ensure_utc(spark)
+    data = _stream_to_bronze(spark, sf_dir)
+    b = B.read_bronze(spark, data)
+    return stable(b.select("key", "partition", "offset", "kafka_timestamp", _event_id_from().alias("event_id")))
+
+
+@register("file_freshness")
+def file_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze Parquet files written within the last 15 minutes (listing only; rows-only check)."""
+    ensure_utc(spark)
+    data = _stream_to_bronze(spark, sf_dir)
+    return G.fresh_files(spark, data).select(F.lit(1).alias("fresh_file"), "length")
+
+
+@register("refresh_count", O.REFRESH_COUNT)
+def refresh_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row count of the bronze table read afresh after the stream wrote it."""
+    ensure_utc(spark)
+    data = _stream_to_bronze(spark, sf_dir)
+    return spark.createDataFrame([(G.refresh_and_count(spark, data),)], "total_rows long")
+
+
+@register("bronze_compaction", O.EVENT_ENVELOPE)
+def bronze_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Small stream files rewritten into larger files per ingest date; rows unchanged."""
+    ensure_utc(spark)
+    data = _stream_to_bronze(spark, sf_dir)
+    out = B.compact_bronze(spark, data, scratch_path(spark, "compacted"))
+    return stable(out.select("key", "partition", "offset", "kafka_timestamp", _event_id_from().alias("event_id")))
+
+
+_CSV_KEYS = testdata.PAYLOAD_KEYS_IN_TRIPS
+_KEY_TO_COLUMN = {f.key: f.column for f in PAYLOAD_FIELDS}
+
+
+@register("clean_columns", O.with_models(O.clean_columns_sql([_KEY_TO_COLUMN[k] for k in _CSV_KEYS])))
+def clean_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trip rows written as raw CSV text (NA/NaN tokens, padded text), read back as strings and cleaned."""
+    ensure_utc(spark)
+    rows = testdata.trip_rows(spark, sf_dir)
+    numeric = set(CSV.NUMERIC_CSV_COLUMNS)
+    rendered = []
+    for k in _CSV_KEYS:
+        c = F.col(f"`{k}`")
+        if k == "apparentTemperature":
+            txt = F.coalesce(c.cast("string"), F.lit("NaN"))
+        elif k in numeric or k in ("hour", "day", "month"):
+            txt = F.coalesce(c.cast("string"), F.lit("NA"))
+        elif k in ("short_summary", "long_summary"):
+            txt = F.concat(F.lit("  "), c, F.lit(" "))
+        else:
+            txt = c
+        rendered.append(txt.alias(k))
+    path = scratch_path(spark, "csv")
+    (rows.select(*rendered).write.option("header", "true").option("ignoreLeadingWhiteSpace", "false")
+     .option("ignoreTrailingWhiteSpace", "false").option("nullValue", "").csv(path))
+    cleaned = CSV.clean_columns(CSV.read_trips_csv(spark, path))
+    return cleaned.select(*[F.col(f"`{k}`").alias(_KEY_TO_COLUMN[k]) for k in _CSV_KEYS])
+
+
+@register("event_stamp", O.with_models(O.EVENT_STAMP))
+def event_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Producer enrichment from one clock (uuid id, epoch, datetime text, hour/day/month) and message key."""
+    from ridestar.functions.clean import event_key
+
+    ensure_utc(spark)
+    rows = testdata.trip_rows(spark, sf_dir).select("partition", "offset", "source",
+                                                    F.col("kafka_timestamp").alias("event_time"))
+    st = CSV.stamp_events(rows, "event_time")
+    return st.select("partition", "offset", "timestamp", "datetime", "hour", "day", "month",
+                     event_key("source").alias("key"), (F.length("id") == 36).alias("has_id"))
+
+
+@register("upsert_sync", O.with_models(O.upsert_sql("2024-01-01 00:00:00", "2024-01-02 00:00:00")))
+def upsert_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality mart as an incremental table: append a run, change columns, replace a run by key."""
+    m = star(spark, sf_dir)
+    stg, fact = m["stg"], m["fact_trips"]
+    t1, t2 = _dt.datetime(2024, 1, 1), _dt.datetime(2024, 1, 2)
+    path = scratch_path(spark, "dq_mart")
+
+    def run(at, extra: bool):
+        df = quality.dq_metrics(stg, fact, F.lit(at).cast("timestamp_ntz").cast("timestamp"))
+        if extra:  # a later version of the model: one column removed, one added
+            df = df.drop("composite_dq_score").withColumn(
+                "stg_per_fact_row", F.round(F.try_divide(F.col("stg_total_rows").cast("double"),
+                                                         F.col("fact_total_rows").cast("double")), 4))
+        return df
+
+    TB.upsert(spark, run(t1, False), path, "measured_at")
+    TB.upsert(spark, run(t2, True), path, "measured_at")
+    out = TB.upsert(spark, run(t1, True), path, "measured_at")
+    return stable(out, _REVENUE_ROUND)
