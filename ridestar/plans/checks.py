@@ -356,16 +356,41 @@ def evaluate(results: DataFrame) -> dict[str, list[tuple[str, int]]]:
     return report
 
 
+def row_level_failures(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """Failing rows of several row-level checks on one model, from one scan.
+
+    Each row carries the names of the checks it fails; a row failing k checks
+    is emitted k times with ``check_name`` set (one copy per check).
+    """
+    names = F.array_compact(F.array(*[F.when(_violation(ck), F.lit(ck.name)) for ck in checks]))
+    return (df.withColumn("__failed", names).where(F.size("__failed") > 0)
+            .withColumn("check_name", F.explode("__failed")).drop("__failed"))
+
+
 def write_failures(models: Mapping[str, DataFrame], base: str, checks: Sequence[Check] = DECLARED_CHECKS,
                    tests: Sequence[SingularTest] = SINGULAR_TESTS) -> list[str]:
-    """Store failing rows of every check, one Parquet directory per check, overwritten per run."""
+    """Store failing rows of every check, overwritten per run; returns the written paths.
+
+    Row-level checks of a model share one scan and one write, partitioned by
+    ``check_name`` (a directory per check). Set-level checks and singular
+    tests get a directory each.
+    """
+    base = base.rstrip("/")
     paths = []
+    row_level: dict[str, list[Check]] = {}
     for ck in checks:
-        p = f"{base.rstrip('/')}/{ck.name}"
+        if ck.kind in ROW_LEVEL:
+            row_level.setdefault(ck.model, []).append(ck)
+            continue
+        p = f"{base}/{ck.name}"
         failing_rows(ck, models).write.mode("overwrite").parquet(p)
         paths.append(p)
+    for model, cks in row_level.items():
+        p = f"{base}/row_checks/{model}"
+        row_level_failures(models[model], cks).write.mode("overwrite").partitionBy("check_name").parquet(p)
+        paths.append(p)
     for t in tests:
-        p = f"{base.rstrip('/')}/{t.name}"
+        p = f"{base}/{t.name}"
         t.rows(models).write.mode("overwrite").parquet(p)
         paths.append(p)
     return paths

@@ -58,7 +58,15 @@ def staged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def star(spark: SparkSession, sf_dir: str, key_mode: str = core.ALIGNED) -> dict[str, DataFrame]:
-    stg = staged(spark, sf_dir)
+    """Staging materialised once (reliable checkpoint in the shared folder), then the star schema.
+
+    Several models read staging; each would otherwise prune columns below the
+    dedup shuffle differently and parse the payload again.
+    """
+    from ridestar.session import work_dir
+
+    work_dir(spark)
+    stg = staged(spark, sf_dir).checkpoint(eager=True)
     return {
         "stg": stg,
         "dim_cabs": core.dim_cabs(stg),
