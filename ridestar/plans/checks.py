@@ -196,24 +196,44 @@ def _violation(check: Check) -> Column:
 
 
 def failing_rows(check: Check, models: Mapping[str, DataFrame]) -> DataFrame:
-    """The rows a check returns (what is stored for audit)."""
+    """The rows a check returns.
+
+    Row-level checks return the model's failing rows. Set-level checks return
+    one row per failing value with its count (``value_field``, ``n_records``):
+    for relationships that is one row per orphan key rather than per child row,
+    computed on child keys aggregated before the anti join (a hot key costs one
+    row per task, and the stored result stays bounded by distinct keys).
+    """
     df = models[check.model]
     c = F.col(check.column)
     if check.kind in ROW_LEVEL:
         return df.where(_violation(check))
     if check.kind == "unique":
-        return (df.where(c.isNotNull()).groupBy(c.alias("unique_field"))
+        return (df.where(c.isNotNull()).groupBy(c.alias("value_field"))
                 .agg(F.count(F.lit(1)).alias("n_records")).where(F.col("n_records") > 1))
     if check.kind == "accepted_values":
         return (df.groupBy(c.alias("value_field")).agg(F.count(F.lit(1)).alias("n_records"))
                 .where(~F.col("value_field").isin(*check.values)))
     if check.kind == "relationships":
         parent = models[check.to_model].select(F.col(check.to_field).alias("__to"))
-        child = df.where(c.isNotNull()).select(c.alias("from_field"))
-        return child.join(parent, child.from_field == parent["__to"], "left_anti")
+        child = (df.where(c.isNotNull()).groupBy(c.alias("value_field"))
+                 .agg(F.count(F.lit(1)).alias("n_records")))
+        return child.join(parent, child.value_field == parent["__to"], "left_anti")
     raise ValueError(f"unknown check kind {check.kind!r}")
 
 
+def _failure_count(check: Check, models: Mapping[str, DataFrame]) -> DataFrame:
+    """One row: the number of failing rows as the check defines them.
+
+    unique / accepted_values: failing values; relationships: child rows whose key
+    has no parent (the sum of the orphan keys' counts).
+    """
+    rows = failing_rows(check, models)
+    if check.kind == "relationships":
+        return rows.agg(F.coalesce(F.sum("n_records"), F.lit(0)).alias("failures"))
+    return rows.agg(F.count(F.lit(1)).alias("failures"))
+
+
 def _meta(check: Check) -> list[Column]:
     return [F.lit(check.name).alias("check_name"), F.lit(check.model).alias("model"),
             F.lit(check.column).cast("string").alias("column_name"), F.lit(check.severity).alias("severity")]
@@ -227,8 +247,7 @@ def check_counts(models: Mapping[str, DataFrame], checks: Sequence[Check] = DECL
         if ck.kind in ROW_LEVEL:
             row_level.setdefault(ck.model, []).append(ck)
         else:
-            parts.append(failing_rows(ck, models).agg(F.count(F.lit(1)).alias("failures")).select(
-                *_meta(ck), "failures"))
+            parts.append(_failure_count(ck, models).select(*_meta(ck), "failures"))
     for model, cks in row_level.items():
         counted = models[model].agg(*[F.count_if(_violation(ck)).alias(f"c{i}") for i, ck in enumerate(cks)])
         rows = ", ".join(
@@ -371,19 +390,27 @@ def write_failures(models: Mapping[str, DataFrame], base: str, checks: Sequence[
                    tests: Sequence[SingularTest] = SINGULAR_TESTS) -> list[str]:
     """Store failing rows of every check, overwritten per run; returns the written paths.
 
-    Row-level checks of a model share one scan and one write, partitioned by
-    ``check_name`` (a directory per check). Set-level checks and singular
-    tests get a directory each.
+    * row-level checks of a model: one scan, one write, partitioned by ``check_name``;
+    * set-level checks: one write of (check_name, value_field, n_records), partitioned by ``check_name``;
+    * singular tests: a directory each (their own columns).
     """
     base = base.rstrip("/")
     paths = []
     row_level: dict[str, list[Check]] = {}
+    set_level = []
     for ck in checks:
         if ck.kind in ROW_LEVEL:
             row_level.setdefault(ck.model, []).append(ck)
-            continue
-        p = f"{base}/{ck.name}"
-        failing_rows(ck, models).write.mode("overwrite").parquet(p)
+        else:
+            set_level.append(failing_rows(ck, models).select(
+                F.lit(ck.name).alias("check_name"), F.col("value_field").cast("string").alias("value_field"),
+                F.col("n_records").cast("bigint").alias("n_records")))
+    if set_level:
+        p = f"{base}/set_checks"
+        u = set_level[0]
+        for d in set_level[1:]:
+            u = u.unionByName(d)
+        u.write.mode("overwrite").partitionBy("check_name").parquet(p)
         paths.append(p)
     for model, cks in row_level.items():
         p = f"{base}/row_checks/{model}"
@@ -394,3 +421,20 @@ def write_failures(models: Mapping[str, DataFrame], base: str, checks: Sequence[
         t.rows(models).write.mode("overwrite").parquet(p)
         paths.append(p)
     return paths
+
+
+def read_failures(spark, base: str, check: Check | SingularTest, models: Mapping[str, DataFrame]) -> DataFrame:
+    """Stored failing rows of one check (empty, with the right columns, when it had none)."""
+    from pyspark.sql import types as T
+
+    base = base.rstrip("/")
+    if isinstance(check, SingularTest):
+        return spark.read.parquet(f"{base}/{check.name}")
+    if check.kind in ROW_LEVEL:
+        schema = T.StructType(models[check.model].schema.fields + [T.StructField("check_name", T.StringType())])
+        df = spark.read.schema(schema).parquet(f"{base}/row_checks/{check.model}")
+    else:
+        schema = T.StructType([T.StructField("value_field", T.StringType()), T.StructField("n_records", T.LongType()),
+                               T.StructField("check_name", T.StringType())])
+        df = spark.read.schema(schema).parquet(f"{base}/set_checks")
+    return df.where(F.col("check_name") == check.name).drop("check_name")

@@ -100,6 +100,10 @@ def test_failure_store_layout(spark, tmp_dir):
     assert "not_null__stg_rideshare_events__cab_provider" in names
     assert "not_null__stg_rideshare_events__price" in names
     assert spark.read.parquet(f"{tmp_dir}/assert_price_positive").count() == 1
+    by_name = {ck.name: ck for ck in C.DECLARED_CHECKS}
+    assert C.read_failures(spark, tmp_dir, by_name["not_null__stg_rideshare_events__price"], m).count() == 1
+    assert C.read_failures(spark, tmp_dir, by_name["not_null__dim_cabs__cab_key"], m).count() == 0   # empty store
+    assert C.read_failures(spark, tmp_dir, by_name["unique__fact_trips__trip_id"], m).count() == 0
 
 
 def test_singular_tests(spark):
