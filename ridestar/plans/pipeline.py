@@ -17,7 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ridestar.plans import checks as C
 from ridestar.plans import core, marts, quality, staging
-from ridestar.sources.tables import upsert, write_table
+from ridestar.session import input_bytes, size_shuffles
+from ridestar.sources.tables import Models, register_view, upsert, write_table
 
 # Dimensions whose row count is proven under this bound are broadcast in the marts.
 DIM_BROADCAST_MAX_ROWS = 1_000_000
@@ -41,39 +42,56 @@ def _timed(result: RunResult, name: str, fn: Callable[[], DataFrame]) -> DataFra
     return out
 
 
+def define_models(bronze: DataFrame, key_mode: str = core.ALIGNED) -> Models:
+    """The model graph by name (staging -> core -> marts), each built from ``ref`` of its inputs."""
+    m = Models()
+    m.define(C.STG, lambda r: staging.stg_events(bronze))
+    m.define("dim_cabs", lambda r: core.dim_cabs(r.ref(C.STG)))
+    m.define("dim_datetime", lambda r: core.dim_datetime(r.ref(C.STG)))
+    m.define("dim_locations", lambda r: core.dim_locations(r.ref(C.STG)))
+    m.define("dim_weather", lambda r: core.dim_weather(r.ref(C.STG), key_mode))
+    m.define("fact_trips", lambda r: core.fact_trips(r.ref(C.STG), key_mode))
+    m.define("mart_trip_trends", lambda r: marts.mart_trip_trends(
+        r.ref("fact_trips"), r.ref("dim_datetime"), r.ref("dim_cabs"), DIM_BROADCAST_MAX_ROWS))
+    m.define("mart_surge_analysis", lambda r: marts.mart_surge_analysis(
+        r.ref("fact_trips"), r.ref("dim_locations"), r.ref("dim_cabs"), DIM_BROADCAST_MAX_ROWS))
+    m.define("mart_weather_impact", lambda r: marts.mart_weather_impact(
+        r.ref("fact_trips"), r.ref("dim_weather"), r.ref("dim_cabs"), DIM_BROADCAST_MAX_ROWS))
+    return m
+
+
 def run_pipeline(spark: SparkSession, bronze: DataFrame, base: str, key_mode: str = core.ALIGNED,
                  measured_at: _dt.datetime | None = None, store_failures: bool = True,
-                 raise_on_error: bool = False) -> RunResult:
+                 raise_on_error: bool = False, marts_as_views: bool = False,
+                 bronze_path: str | None = None) -> RunResult:
+    """Run every model once, in dependency order; staging and core are written tables.
+
+    ``marts_as_views``: register the marts as temp views (computed when read)
+    instead of writing them. ``bronze_path``: size shuffles from the input's
+    file sizes first.
+    """
     base = base.rstrip("/")
     r = RunResult()
-    stg = _timed(r, "staging", lambda: write_table(staging.stg_events(bronze), f"{base}/stg_rideshare_events"))
-    r.tables[C.STG] = stg
-    builders = {
-        "dim_cabs": lambda: core.dim_cabs(stg),
-        "dim_datetime": lambda: core.dim_datetime(stg),
-        "dim_locations": lambda: core.dim_locations(stg),
-        "dim_weather": lambda: core.dim_weather(stg, key_mode),
-        "fact_trips": lambda: core.fact_trips(stg, key_mode),
-    }
-    for name, build in builders.items():
-        r.tables[name] = _timed(r, name, lambda b=build, n=name: write_table(b(), f"{base}/{n}"))
+    if bronze_path:
+        size_shuffles(spark, input_bytes(spark, bronze_path))
+    m = define_models(bronze, key_mode)
+    for name in (C.STG, *CORE_TABLES):
+        built = _timed(r, "staging" if name == C.STG else name,
+                       lambda n=name: write_table(m.ref(n), f"{base}/{n}"))
+        m.set(name, built)          # dependents read the written table, not the plan
+        r.tables[name] = built
+    for name in MART_TABLES:
+        if marts_as_views:
+            r.tables[name] = register_view(m.ref(name), name)
+        else:
+            r.tables[name] = _timed(r, name, lambda n=name: write_table(m.ref(n), f"{base}/{n}"))
     t = r.tables
-    mart_builders = {
-        "mart_trip_trends": lambda: marts.mart_trip_trends(t["fact_trips"], t["dim_datetime"], t["dim_cabs"],
-                                                           DIM_BROADCAST_MAX_ROWS),
-        "mart_surge_analysis": lambda: marts.mart_surge_analysis(t["fact_trips"], t["dim_locations"], t["dim_cabs"],
-                                                                 DIM_BROADCAST_MAX_ROWS),
-        "mart_weather_impact": lambda: marts.mart_weather_impact(t["fact_trips"], t["dim_weather"], t["dim_cabs"],
-                                                                 DIM_BROADCAST_MAX_ROWS),
-    }
-    for name, build in mart_builders.items():
-        r.tables[name] = _timed(r, name, lambda b=build, n=name: write_table(b(), f"{base}/{n}"))
     results = _timed(r, "checks", lambda: write_table(C.run_checks(t), f"{base}/dq_check_results"))
     r.check_results = results
     if store_failures:
         _timed(r, "store_failures", lambda: C.write_failures(t, f"{base}/dq_failures") and results)
     r.report = C.evaluate(results) if raise_on_error else _report(results)
-    dq = quality.dq_metrics(stg, t["fact_trips"], measured_at)
+    dq = quality.dq_metrics(t[C.STG], t["fact_trips"], measured_at)
     r.tables["mart_data_quality_metrics"] = _timed(
         r, "mart_data_quality_metrics", lambda: upsert(spark, dq, f"{base}/mart_data_quality_metrics", "measured_at"))
     return r

@@ -71,3 +71,31 @@ def strip_file_scheme(path: str) -> str:
 
 def is_local_path(path: str) -> bool:
     return path.startswith("/") or path.startswith("file:") or os.path.isabs(path)
+
+
+# Target bytes per shuffle partition when sizing a run from its input (AQE coalesces below this).
+TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+
+
+def input_bytes(spark: SparkSession, path: str) -> int:
+    """Total size of the Parquet files under ``path``, from the file listing (contents are not read)."""
+    from pyspark.sql import functions as F
+
+    row = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+           .option("recursiveFileLookup", "true").load(path)
+           .agg(F.coalesce(F.sum("length"), F.lit(0)).alias("n")).first())
+    return int(row["n"]) if row else 0
+
+
+def size_shuffles(spark: SparkSession, nbytes: int, target: int = TARGET_PARTITION_BYTES,
+                  expansion: float = 3.0) -> int:
+    """Raise ``spark.sql.shuffle.partitions`` so each shuffle partition holds about ``target`` bytes.
+
+    ``expansion``: decoded rows are larger than their compressed files. Never
+    lowers the current setting; AQE coalesces small partitions at run time.
+    """
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = max(current, int(nbytes * expansion // target) + 1)
+    spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target // 4))
+    return wanted

@@ -105,3 +105,25 @@ def test_backlog_per_partition(spark):
                                   "partition int, offset long")
     got = {r.partition: (r.low, r.high, r.messages) for r in gates.backlog(topic).collect()}
     assert got == {0: (5, 15, 10), 1: (5, 25, 20), 2: (5, 35, 30)}
+
+
+def test_pipeline_end_to_end(spark, tmp_dir):
+    import datetime as _dt
+
+    from ridestar.plans.pipeline import run_pipeline
+
+    rows = [(None, '{"id":"t%d","price":%d.5,"cab_type":"Uber","name":"X","source":"A","destination":"B",'
+                   '"datetime":"2024-03-02 10:00:00","surge_multiplier":1.%d,"hour":10}' % (i % 7, i, i % 3),
+             i % 3, i, ts(i), ts(i + 1)) for i in range(30)]
+    b = spark.createDataFrame(rows, "key string, value string, partition int, offset bigint, "
+                                    "kafka_timestamp timestamp, ingestion_time timestamp")
+    src = os.path.join(tmp_dir, "bronze")
+    b.write.parquet(src)
+    r = run_pipeline(spark, spark.read.parquet(src), os.path.join(tmp_dir, "wh"),
+                     measured_at=_dt.datetime(2024, 1, 1), bronze_path=src)
+    assert r.tables["stg_rideshare_events"].count() == 7
+    assert r.tables["fact_trips"].count() == 7
+    assert r.tables["mart_surge_analysis"].count() == 1
+    assert r.tables["mart_data_quality_metrics"].count() == 1
+    assert r.check_results.count() == 63
+    assert "error" not in r.report
