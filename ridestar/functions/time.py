@@ -33,3 +33,15 @@ def epoch_seconds(c: str | Column) -> Column:
 def minutes_between(start: str | Column, end: str | Column) -> Column:
     """Whole minutes from start to end, truncated toward zero (NULL if either is NULL)."""
     return F.timestamp_diff("MINUTE", _c(start), _c(end))
+
+
+def utc_instant(value: _dt.datetime | str) -> Column:
+    """A literal instant from a zone-less wall clock read as UTC (independent of session and Python zones).
+
+    Aware datetimes are converted to UTC first.
+    """
+    if isinstance(value, _dt.datetime):
+        if value.tzinfo is not None:
+            value = value.astimezone(_dt.timezone.utc).replace(tzinfo=None)
+        value = value.isoformat(sep=" ")
+    return ntz_to_instant(F.lit(value).cast("timestamp_ntz"))

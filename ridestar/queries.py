@@ -226,7 +226,7 @@ def dq_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     m = star(spark, sf_dir)
     at = _dt.datetime.fromisoformat(MEASURED_AT)
-    out = quality.dq_metrics(m["stg"], m["fact_trips"], F.lit(at).cast("timestamp_ntz").cast("timestamp"))
+    out = quality.dq_metrics(m["stg"], m["fact_trips"], at)
     return stable(out, _REVENUE_ROUND)
 
 
@@ -498,7 +498,7 @@ def upsert_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "dq_mart")
 
     def run(at, extra: bool):
-        df = quality.dq_metrics(stg, fact, F.lit(at).cast("timestamp_ntz").cast("timestamp"))
+        df = quality.dq_metrics(stg, fact, at)
         if extra:  # a later version of the model: one column removed, one added
             df = df.drop("composite_dq_score").withColumn(
                 "stg_per_fact_row", F.round(F.try_divide(F.col("stg_total_rows").cast("double"),

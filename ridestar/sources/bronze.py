@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ridestar.functions.time import instant_to_ntz
+from ridestar.functions.time import instant_to_ntz, utc_instant
 
 PARTITION_COLUMN = "ingest_date"
 DEFAULT_TRIGGER = "10 seconds"
@@ -81,7 +81,7 @@ def compact_bronze(spark: SparkSession, path: str, out: str, target_rows_per_fil
 
 def apply_retention(df: DataFrame, ts_col: str, days: int, now: _dt.datetime | None = None) -> DataFrame:
     """Rows whose ``ts_col`` is within ``days`` of ``now`` (default: the current time)."""
-    ref = F.current_timestamp() if now is None else F.lit(now).cast("timestamp")
+    ref = F.current_timestamp() if now is None else utc_instant(now)
     return df.where(F.col(ts_col) >= ref - F.make_dt_interval(days=F.lit(days)))
 
 
