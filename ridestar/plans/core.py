@@ -33,10 +33,17 @@ def dim_cabs(stg: DataFrame) -> DataFrame:
     )
 
 
-def dim_datetime(stg: DataFrame) -> DataFrame:
-    """Distinct trip datetimes, parsed once, with calendar parts (bad text raises, as upstream)."""
+def dim_datetime(stg: DataFrame, strict: bool = True) -> DataFrame:
+    """Distinct trip datetimes, parsed once, with calendar parts.
+
+    ``strict`` (default, as upstream): text that does not match the format fails
+    the job. ``strict=False``: such text gives a NULL timestamp and parts.
+    """
     dts = stg.select("trip_datetime").distinct()
-    ts = F.to_timestamp_ntz(F.col("trip_datetime"), F.lit(DATETIME_FORMAT))
+    parse = F.to_timestamp_ntz if strict else F.try_to_timestamp
+    ts = parse(F.col("trip_datetime"), F.lit(DATETIME_FORMAT))
+    if not strict:
+        ts = ts.cast("timestamp_ntz")
     parsed = dts.select(natural_key("trip_datetime").alias("datetime_key"), ts.alias("__ts"))
     dow = F.date_format("__ts", "EEEE")
     return parsed.select(

@@ -93,3 +93,13 @@ def test_empty_staging(spark):
     fact = core.fact_trips(stg)
     assert marts.mart_surge_analysis(fact, core.dim_locations(stg), core.dim_cabs(stg)).count() == 0
     assert marts.mart_trip_trends(fact, core.dim_datetime(stg), core.dim_cabs(stg)).count() == 0
+
+
+def test_dim_datetime_strict_and_lenient(spark):
+    import pytest
+
+    stg = staging_rows(spark, [_ride("a"), _ride("b", trip_datetime="junk")])
+    with pytest.raises(Exception):
+        core.dim_datetime(stg).collect()
+    rows = core.dim_datetime(stg, strict=False).collect()
+    assert sorted(r.hour is None for r in rows) == [False, True]
