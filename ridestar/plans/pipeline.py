@@ -24,6 +24,10 @@ from ridestar.sources.tables import Models, register_view, upsert, write_table
 DIM_BROADCAST_MAX_ROWS = 1_000_000
 
 CORE_TABLES = ("dim_cabs", "dim_datetime", "dim_locations", "dim_weather", "fact_trips")
+# Written bucketed by trip_id: staging leaves the dedup already hash-partitioned on it, the fact is a
+# 1:1 projection of staging, and the unique checks, the no-duplicates test and the distinct-id count
+# then group by trip_id without a shuffle.
+BUCKETED = {"stg_rideshare_events": ("trip_id",), "fact_trips": ("trip_id",)}
 MART_TABLES = ("mart_trip_trends", "mart_surge_analysis", "mart_weather_impact")
 
 
@@ -63,12 +67,13 @@ def define_models(bronze: DataFrame, key_mode: str = core.ALIGNED) -> Models:
 def run_pipeline(spark: SparkSession, bronze: DataFrame, base: str, key_mode: str = core.ALIGNED,
                  measured_at: _dt.datetime | None = None, store_failures: bool = True,
                  raise_on_error: bool = False, marts_as_views: bool = False,
-                 bronze_path: str | None = None) -> RunResult:
+                 bronze_path: str | None = None, table_prefix: str = "ridestar_") -> RunResult:
     """Run every model once, in dependency order; staging and core are written tables.
 
     ``marts_as_views``: register the marts as temp views (computed when read)
     instead of writing them. ``bronze_path``: size shuffles from the input's
-    file sizes first.
+    file sizes first. Bucketed layers are catalog tables named
+    ``table_prefix + model`` (external, at ``base/model``).
     """
     base = base.rstrip("/")
     r = RunResult()
@@ -77,7 +82,8 @@ def run_pipeline(spark: SparkSession, bronze: DataFrame, base: str, key_mode: st
     m = define_models(bronze, key_mode)
     for name in (C.STG, *CORE_TABLES):
         built = _timed(r, "staging" if name == C.STG else name,
-                       lambda n=name: write_table(m.ref(n), f"{base}/{n}"))
+                       lambda n=name: write_table(m.ref(n), f"{base}/{n}", bucket_by=BUCKETED.get(n, ()),
+                                                  table=f"{table_prefix}{n}"))
         m.set(name, built)          # dependents read the written table, not the plan
         r.tables[name] = built
     for name in MART_TABLES:

@@ -73,6 +73,8 @@ def is_local_path(path: str) -> bool:
     return path.startswith("/") or path.startswith("file:") or os.path.isabs(path)
 
 
+MAX_BUCKETS = 100_000
+
 # Target bytes per shuffle partition when sizing a run from its input (AQE coalesces below this).
 TARGET_PARTITION_BYTES = 256 * 1024 * 1024
 
@@ -96,6 +98,8 @@ def size_shuffles(spark: SparkSession, nbytes: int, target: int = TARGET_PARTITI
     """
     current = int(spark.conf.get("spark.sql.shuffle.partitions"))
     wanted = max(current, int(nbytes * expansion // target) + 1)
+    if wanted > MAX_BUCKETS:   # keep a multiple of the bucket cap: each shuffle partition maps to one bucket
+        wanted = -(-wanted // MAX_BUCKETS) * MAX_BUCKETS
     spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target // 4))
     return wanted

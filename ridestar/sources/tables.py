@@ -17,13 +17,37 @@ def register_view(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
-def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
-    """Full refresh: overwrite the table's files, return a reader of the new table."""
+MAX_BUCKETS = 100_000   # Spark's default spark.sql.sources.bucketing.maxBuckets
+
+
+def bucket_count(spark: SparkSession) -> int:
+    """Buckets for a table written right after a shuffle: the shuffle partition count, capped.
+
+    With equal counts (or a count that divides the partition count) each task
+    writes exactly one bucket.
+    """
+    return max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), MAX_BUCKETS))
+
+
+def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), bucket_by: Sequence[str] = (),
+                table: str | None = None, buckets: int | None = None) -> DataFrame:
+    """Full refresh: overwrite the table's files, return a reader of the new table.
+
+    ``bucket_by`` (needs ``table``): an external catalog table at ``path``,
+    bucketed on those columns, so later aggregations and joins on them read
+    co-located data without a shuffle.
+    """
+    spark = df.sparkSession
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
+    if bucket_by:
+        if not table:
+            raise ValueError("bucketed tables need a table name")
+        w.bucketBy(buckets or bucket_count(spark), *bucket_by).option("path", path).saveAsTable(table)
+        return spark.table(table)
     w.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return spark.read.parquet(path)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame | None:
