@@ -387,15 +387,17 @@ def row_level_failures(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
 
 
 def write_failures(models: Mapping[str, DataFrame], base: str, checks: Sequence[Check] = DECLARED_CHECKS,
-                   tests: Sequence[SingularTest] = SINGULAR_TESTS) -> list[str]:
+                   tests: Sequence[SingularTest] = SINGULAR_TESTS, threads: int = 1) -> list[str]:
     """Store failing rows of every check, overwritten per run; returns the written paths.
 
     * row-level checks of a model: one scan, one write, partitioned by ``check_name``;
     * set-level checks: one write of (check_name, value_field, n_records), partitioned by ``check_name``;
     * singular tests: a directory each (their own columns).
+
+    ``threads`` > 1 submits the independent writes as concurrent Spark jobs.
     """
     base = base.rstrip("/")
-    paths = []
+    jobs: dict[str, Callable[[], None]] = {}
     row_level: dict[str, list[Check]] = {}
     set_level = []
     for ck in checks:
@@ -406,21 +408,28 @@ def write_failures(models: Mapping[str, DataFrame], base: str, checks: Sequence[
                 F.lit(ck.name).alias("check_name"), F.col("value_field").cast("string").alias("value_field"),
                 F.col("n_records").cast("bigint").alias("n_records")))
     if set_level:
-        p = f"{base}/set_checks"
         u = set_level[0]
         for d in set_level[1:]:
             u = u.unionByName(d)
-        u.write.mode("overwrite").partitionBy("check_name").parquet(p)
-        paths.append(p)
+        jobs[f"{base}/set_checks"] = lambda u=u, p=f"{base}/set_checks": (
+            u.write.mode("overwrite").partitionBy("check_name").parquet(p))
     for model, cks in row_level.items():
         p = f"{base}/row_checks/{model}"
-        row_level_failures(models[model], cks).write.mode("overwrite").partitionBy("check_name").parquet(p)
-        paths.append(p)
+        jobs[p] = lambda df=row_level_failures(models[model], cks), p=p: (
+            df.write.mode("overwrite").partitionBy("check_name").parquet(p))
     for t in tests:
         p = f"{base}/{t.name}"
-        t.rows(models).write.mode("overwrite").parquet(p)
-        paths.append(p)
-    return paths
+        jobs[p] = lambda df=t.rows(models), p=p: df.write.mode("overwrite").parquet(p)
+    if threads > 1:
+        from concurrent.futures import ThreadPoolExecutor
+
+        with ThreadPoolExecutor(max_workers=threads) as pool:
+            for f in [pool.submit(j) for j in jobs.values()]:
+                f.result()
+    else:
+        for j in jobs.values():
+            j()
+    return list(jobs)
 
 
 def read_failures(spark, base: str, check: Check | SingularTest, models: Mapping[str, DataFrame]) -> DataFrame:
@@ -438,3 +447,47 @@ def read_failures(spark, base: str, check: Check | SingularTest, models: Mapping
                                T.StructField("check_name", T.StringType())])
         df = spark.read.schema(schema).parquet(f"{base}/set_checks")
     return df.where(F.col("check_name") == check.name).drop("check_name")
+
+
+def _check_catalog(spark, checks: Sequence[Check], tests: Sequence[SingularTest]) -> DataFrame:
+    """The check definitions as a small table (configuration, one row per check)."""
+    rows = [(ck.name, ck.model, ck.column, ck.severity, ck.error_if, ck.warn_if) for ck in checks]
+    rows += [(t.name, t.model, None, t.severity, "!=0", "!=0") for t in tests]
+    return spark.createDataFrame(rows, "check_name string, model string, column_name string, severity string, "
+                                       "error_if string, warn_if string")
+
+
+def results_from_store(spark, base: str, models: Mapping[str, DataFrame], checks: Sequence[Check] = DECLARED_CHECKS,
+                       tests: Sequence[SingularTest] = SINGULAR_TESTS) -> DataFrame:
+    """Check results counted from the stored failing rows (written by ``write_failures``).
+
+    The models are not scanned again: counts come from the (small) failure
+    store. Checks with no stored rows count 0.
+    """
+    from pyspark.sql import types as T
+
+    base = base.rstrip("/")
+    counts: list[DataFrame] = []
+    for model in dict.fromkeys(ck.model for ck in checks if ck.kind in ROW_LEVEL):
+        schema = T.StructType(models[model].schema.fields + [T.StructField("check_name", T.StringType())])
+        counts.append(spark.read.schema(schema).parquet(f"{base}/row_checks/{model}")
+                      .groupBy("check_name").agg(F.count(F.lit(1)).alias("failures")))
+    rel = [ck.name for ck in checks if ck.kind == "relationships"]
+    if any(ck.kind not in ROW_LEVEL for ck in checks):
+        s = spark.read.schema("value_field string, n_records long, check_name string").parquet(f"{base}/set_checks")
+        counts.append(s.groupBy("check_name").agg(
+            F.when(F.col("check_name").isin(*rel), F.sum("n_records")).otherwise(F.count(F.lit(1))).alias("failures")))
+    for t in tests:
+        counts.append(spark.read.parquet(f"{base}/{t.name}").agg(F.count(F.lit(1)).alias("failures"))
+                      .select(F.lit(t.name).alias("check_name"), "failures"))
+    found = counts[0]
+    for c in counts[1:]:
+        found = found.unionByName(c)
+    cat = _check_catalog(spark, checks, tests)
+    out = cat.join(found, "check_name", "left").withColumn(
+        "failures", F.coalesce(F.col("failures"), F.lit(0)).cast("bigint"))
+    status = F.lit("pass")
+    for spec in sorted({(ck.error_if, ck.warn_if) for ck in checks} | {("!=0", "!=0")}):
+        status = F.when((F.col("error_if") == spec[0]) & (F.col("warn_if") == spec[1]),
+                        status_col(F.col("failures"), F.col("severity"), *spec)).otherwise(status)
+    return out.select("check_name", "model", "column_name", "severity", "failures", status.alias("status"))

@@ -514,3 +514,12 @@ def upsert_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
     TB.upsert(spark, run(t2, True), path, "measured_at")
     out = TB.upsert(spark, run(t1, True), path, "measured_at")
     return stable(out, _REVENUE_ROUND)
+
+
+@register("check_results_stored", O.with_models(_ALL_CHECKS_SQL))
+def check_results_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Failing rows of every check stored (one pass per model), then the results counted from the store."""
+    m = models(spark, sf_dir)
+    base = scratch_path(spark, "dq_failures")
+    C.write_failures(m, base)
+    return C.results_from_store(spark, base, m)
