@@ -14,7 +14,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def local_session(cpus: int | str = "*", app: str = "ridestar") -> SparkSession:
+def local_session(cpus: int | str = "*", app: str = "ridestar", memory: str | None = None) -> SparkSession:
     """A local session with the settings we want on a cluster too (AQE, UTC, no UI)."""
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
@@ -26,7 +26,7 @@ def local_session(cpus: int | str = "*", app: str = "ridestar") -> SparkSession:
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", "8g")
+        .config("spark.driver.memory", memory or os.environ.get("RIDESTAR_DRIVER_MEMORY", "4g"))
         .config("spark.serializer", "org.apache.spark.serializer.KryoSerializer")
         .getOrCreate()
     )
