@@ -127,3 +127,31 @@ def test_pipeline_end_to_end(spark, tmp_dir):
     assert r.tables["mart_data_quality_metrics"].count() == 1
     assert r.check_results.count() == 63
     assert "error" not in r.report
+
+
+def test_producer_stream_to_bronze_to_staging(spark, tmp_dir):
+    """CSV files -> producer stream -> topic files -> bronze stream -> staging."""
+    from ridestar.streaming.producer import start_producer_files
+
+    csv_dir = os.path.join(tmp_dir, "csv")
+    os.makedirs(csv_dir)
+    cols = ["id", "source", "destination", "cab_type", "name", "price", "hour"]
+    for f in range(3):
+        with open(os.path.join(csv_dir, f"part{f}.csv"), "w") as fh:
+            fh.write(",".join(cols) + "\n")
+            for i in range(5):
+                fh.write(f"x{f}{i},Back Bay,Fenway,Uber,UberX,{10 + i}.5,NA\n")
+            fh.write(f"y{f},,Fenway,Lyft,Lyft,NaN,3\n")
+    topic = os.path.join(tmp_dir, "topic")
+    q = start_producer_files(spark, csv_dir, cols, topic, os.path.join(tmp_dir, "ck_prod"))
+    q.awaitTermination()
+    msgs = spark.read.parquet(topic)
+    assert msgs.count() == 18
+    assert {r.k for r in msgs.select(F.col("key").cast("string").alias("k")).distinct().collect()} == {"Back Bay", "unknown"}
+    paths = B.bronze_paths(os.path.join(tmp_dir, "lake"))
+    SJ.run_file_bronze(spark, topic, paths.data, paths.checkpoint)
+    stg = staging.stg_events(B.read_bronze(spark, paths.data))
+    rows = stg.collect()
+    assert len(rows) == 18                                   # fresh uuid per event: no duplicates
+    assert all(len(r.trip_id) == 36 and r.trip_hour is not None for r in rows)   # stamped from the clock
+    assert [r.price for r in rows if r.cab_provider == "Lyft"] == [None, None, None]   # NaN token -> NULL
