@@ -388,3 +388,8 @@ def upsert_sql(t1: str, t2: str) -> str:
        round(CAST(stg_total_rows AS DOUBLE) / fact_total_rows, 4) AS stg_per_fact_row
 FROM ({dq_metrics_sql(t)})""" for t in (t1, t2)]
     return "\nUNION ALL\n".join(parts)
+
+
+PRODUCER_STREAM = """SELECT coalesce(nullif(source_neighborhood, ''), 'unknown') AS key, cab_provider, cab_tier,
+       price, distance_miles, surge_multiplier, temperature
+FROM trips"""

@@ -456,10 +456,8 @@ _CSV_KEYS = testdata.PAYLOAD_KEYS_IN_TRIPS
 _KEY_TO_COLUMN = {f.key: f.column for f in PAYLOAD_FIELDS}
 
 
-@register("clean_columns", O.with_models(O.clean_columns_sql([_KEY_TO_COLUMN[k] for k in _CSV_KEYS])))
-def clean_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trip rows written as raw CSV text (NA/NaN tokens, padded text), read back as strings and cleaned."""
-    ensure_utc(spark)
+def _write_trip_csv(spark: SparkSession, sf_dir: str, files: int | None = None) -> str:
+    """Trip rows as raw CSV text: NA / NaN tokens for missing numbers, padded text fields."""
     rows = testdata.trip_rows(spark, sf_dir)
     numeric = set(CSV.NUMERIC_CSV_COLUMNS)
     rendered = []
@@ -474,9 +472,20 @@ def clean_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
         else:
             txt = c
         rendered.append(txt.alias(k))
+    out = rows.select(*rendered)
+    if files:
+        out = out.repartition(files)
     path = scratch_path(spark, "csv")
-    (rows.select(*rendered).write.option("header", "true").option("ignoreLeadingWhiteSpace", "false")
+    (out.write.option("header", "true").option("ignoreLeadingWhiteSpace", "false")
      .option("ignoreTrailingWhiteSpace", "false").option("nullValue", "").csv(path))
+    return path
+
+
+@register("clean_columns", O.with_models(O.clean_columns_sql([_KEY_TO_COLUMN[k] for k in _CSV_KEYS])))
+def clean_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trip rows written as raw CSV text (NA/NaN tokens, padded text), read back as strings and cleaned."""
+    ensure_utc(spark)
+    path = _write_trip_csv(spark, sf_dir)
     cleaned = CSV.clean_columns(CSV.read_trips_csv(spark, path))
     return cleaned.select(*[F.col(f"`{k}`").alias(_KEY_TO_COLUMN[k]) for k in _CSV_KEYS])
 
@@ -523,3 +532,23 @@ def check_results_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_path(spark, "dq_failures")
     C.write_failures(m, base)
     return C.results_from_store(spark, base, m)
+
+
+@register("producer_stream", O.with_models(O.PRODUCER_STREAM))
+def producer_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trip CSV files streamed through the producer (clean, stamp, key, JSON) into topic files."""
+    from ridestar.functions.json import json_double, json_string
+    from ridestar.streaming.producer import start_producer_files
+
+    ensure_utc(spark)
+    csv_dir = _write_trip_csv(spark, sf_dir, files=4)
+    topic = scratch_path(spark, "produced")
+    q = start_producer_files(spark, csv_dir, list(_CSV_KEYS), topic, scratch_path(spark, "producer_ck"))
+    q.awaitTermination()
+    msgs = spark.read.parquet(topic).select(F.col("key").cast("string").alias("key"),
+                                            F.try_parse_json(F.col("value").cast("string")).alias("v"))
+    v = F.col("v")
+    return msgs.select("key", json_string(v, "cab_type").alias("cab_provider"), json_string(v, "name").alias("cab_tier"),
+                       json_double(v, "price").alias("price"), json_double(v, "distance").alias("distance_miles"),
+                       json_double(v, "surge_multiplier").alias("surge_multiplier"),
+                       json_double(v, "temperature").alias("temperature"))
