@@ -21,8 +21,10 @@ from ridestar.plans import core, marts, quality, staging
 from ridestar.session import input_bytes, size_shuffles
 from ridestar.sources.tables import Models, register_view, upsert, write_table
 
-# Dimensions whose row count is proven under this bound are broadcast in the marts.
-DIM_BROADCAST_MAX_ROWS = 1_000_000
+# Dimensions whose row count is proven under this bound are broadcast in the marts (narrow rows:
+# about 100 bytes each, so at most ~20 MB per executor); larger ones join by sort-merge on the
+# pre-aggregated fact.
+DIM_BROADCAST_MAX_ROWS = 200_000
 
 CORE_TABLES = ("dim_cabs", "dim_datetime", "dim_locations", "dim_weather", "fact_trips")
 # Written bucketed by trip_id: staging leaves the dedup already hash-partitioned on it, the fact is a
