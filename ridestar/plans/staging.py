@@ -84,12 +84,18 @@ def parse_events(bronze: DataFrame, with_reason: bool = False) -> DataFrame:
     # The typed parse is produced by a generator (explode of a one-element
     # array): Catalyst keeps filters on parsed fields (``trip_id IS NOT NULL``)
     # above a generator instead of pushing them below the parse, where they
-    # would run from_json a second time per row.
+    # would run from_json a second time per row. A second one-element generator
+    # carries the path flag as a plain column, so such a filter stays a small
+    # predicate on attributes (a large inlined predicate falls out of the JIT).
     typed = bronze.select(
         F.explode(F.array(F.from_json("value", PAYLOAD_SCHEMA, STRICT_JSON_OPTIONS))).alias(_TYPED), "value", *meta
     )
-    # Each step is its own projection so that no parse is repeated per field.
-    typed = typed.select(_TYPED, "value", *meta_names, _needs_exact_path(t, F.col("value")).alias(_EXACT))
+    flag = _needs_exact_path(t, F.col("value"))
+    typed = typed.select(
+        F.explode(F.array(F.struct(t.alias("t"), flag.alias("x"), F.col("value").alias("value")))).alias("__g"),
+        *meta_names,
+    ).select(F.col("__g.t").alias(_TYPED), F.col("__g.x").alias(_EXACT), F.col("__g.value").alias("value"),
+             *meta_names)
     exact_struct = F.struct(*[_exact_field(F.col(_VARIANT), f).alias(f.key) for f in PAYLOAD_FIELDS])
     both = typed.select(
         _TYPED, _EXACT, *meta_names, *(["value"] if with_reason else []),
