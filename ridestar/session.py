@@ -41,7 +41,15 @@ def work_dir(spark: SparkSession) -> str:
     fresh local folder and registers it as checkpoint dir, which is only right
     for local runs and tests.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - sessions without a SparkContext handle (remote sessions)
+        sc = None
+    if sc is None:
+        conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+        if not conf_dir:
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder")
+        return conf_dir.rstrip("/")
     conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
     if conf_dir:
         if not sc.getCheckpointDir():
