@@ -7,7 +7,8 @@ import datetime as _dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_EPOCH_NTZ = _dt.datetime(1970, 1, 1)
+# A string literal cast to timestamp_ntz is zone-free (a Python datetime literal is an instant).
+_EPOCH_NTZ = "1970-01-01 00:00:00"
 
 
 def _c(c: str | Column) -> Column:

@@ -8,8 +8,6 @@ topic is derived from ``events``. Every view is lazy and grows with its inputs.
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,7 +69,7 @@ def trip_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return j.select(
         F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("id"),
-        F.timestamp_diff("SECOND", F.lit(_dt.datetime(1970, 1, 1)).cast("timestamp_ntz"), trip_dt)
+        F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), trip_dt)
         .cast("double").alias("timestamp"),
         F.hour(trip_dt).cast("bigint").alias("hour"),
         F.dayofmonth(trip_dt).cast("bigint").alias("day"),
