@@ -69,7 +69,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def ensure_utc(spark: SparkSession) -> None:
     """Instants in this pipeline are read and printed in UTC."""
-    if spark.conf.get("spark.sql.session.timeZone", "") != "UTC":
+    # no default argument: Spark validates a given default as a zone id
+    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 

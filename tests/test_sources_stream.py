@@ -155,3 +155,15 @@ def test_producer_stream_to_bronze_to_staging(spark, tmp_dir):
     assert len(rows) == 18                                   # fresh uuid per event: no duplicates
     assert all(len(r.trip_id) == 36 and r.trip_hour is not None for r in rows)   # stamped from the clock
     assert [r.price for r in rows if r.cab_provider == "Lyft"] == [None, None, None]   # NaN token -> NULL
+
+
+def test_ensure_utc_on_a_session_without_an_explicit_zone(spark):
+    """Regression: reading the zone with a '' default raised in sessions that never set it."""
+    from ridestar.session import ensure_utc
+
+    spark.conf.unset("spark.sql.session.timeZone")
+    try:
+        ensure_utc(spark)
+        assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
