@@ -113,3 +113,14 @@ def test_singular_tests(spark):
     comp = {r.column_name: r.null_pct for r in C.assert_complete(m[C.STG]).collect()}
     assert comp == {"price": round(100 / 3, 2)}
     assert C.assert_reconciled(m[C.STG], m["fact_trips"]).count() == 0
+
+
+def test_counts_from_store_equal_direct_counts(spark, tmp_dir):
+    m = _models(spark, [_ride("a"), _ride("a", kafka_offset=1), _ride("b", cab_provider=None, price=None),
+                        _ride("c", cab_provider="Other", surge_multiplier=0.5, ingestion_time=ts(200)),
+                        _ride("d", source_neighborhood="Z")])
+    m["dim_locations"] = m["dim_locations"].where("neighborhood <> 'Z'")
+    direct = sorted(map(tuple, C.run_checks(m).collect()), key=str)
+    C.write_failures(m, tmp_dir, threads=3)
+    stored = sorted(map(tuple, C.results_from_store(spark, tmp_dir, m).collect()), key=str)
+    assert stored == direct

@@ -167,3 +167,10 @@ def test_ensure_utc_on_a_session_without_an_explicit_zone(spark):
         assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_upsert_replaces_a_key_with_the_same_columns(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "mart2")
+    TB.upsert(spark, spark.createDataFrame([(1, 1.0), (2, 2.0)], "k int, v double"), path, "k")
+    out = TB.upsert(spark, spark.createDataFrame([(2, 20.0)], "k int, v double"), path, "k")
+    assert sorted(map(tuple, out.collect())) == [(1, 1.0), (2, 20.0)]
