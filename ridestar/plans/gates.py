@@ -36,17 +36,16 @@ def fresh_files(spark: SparkSession, path: str, minutes: int = FRESHNESS_MINUTES
     Uses the file listing only (``modifiedAfter`` filters at listing time; file
     contents are not read).
     """
-    from zoneinfo import ZoneInfo
-
     now = now or _dt.datetime.now(_dt.timezone.utc)
     if now.tzinfo is None:
         now = now.replace(tzinfo=_dt.timezone.utc)
-    # modifiedAfter is read as a wall clock in the session time zone
-    zone = ZoneInfo(spark.conf.get("spark.sql.session.timeZone", "UTC"))
-    boundary = (now - _dt.timedelta(minutes=minutes)).astimezone(zone).replace(tzinfo=None)
+    # The boundary is a UTC wall clock with an explicit timeZone option, so the
+    # listing filter does not depend on the session time zone.
+    boundary = (now - _dt.timedelta(minutes=minutes)).astimezone(_dt.timezone.utc).replace(tzinfo=None)
     return (spark.read.format("binaryFile")
             .option("pathGlobFilter", "*.parquet")
             .option("recursiveFileLookup", "true")
+            .option("timeZone", "UTC")
             .option("modifiedAfter", boundary.strftime("%Y-%m-%dT%H:%M:%S"))
             .load(path)
             .select("path", "modificationTime", "length"))
