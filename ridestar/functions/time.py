@@ -46,3 +46,21 @@ def utc_instant(value: _dt.datetime | str) -> Column:
             value = value.astimezone(_dt.timezone.utc).replace(tzinfo=None)
         value = value.isoformat(sep=" ")
     return ntz_to_instant(F.lit(value).cast("timestamp_ntz"))
+
+
+def wall_clock_text(c: str | Column) -> Column:
+    """'yyyy-MM-dd HH:mm:ss' of a zone-less timestamp, without going through the session zone.
+
+    (``date_format`` on a timestamp_ntz converts through the session zone, which
+    shifts wall times inside a DST gap.)
+    """
+    return F.substring(_c(c).cast("string"), 1, 19)
+
+
+# --- fixed values: day names, in dayofweek() order (1 = Sunday) ---
+DAY_NAMES_SUNDAY_FIRST = ("Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday")
+
+
+def day_name(c: str | Column) -> Column:
+    """English day name of a zone-less timestamp (zone-free, unlike date_format 'EEEE')."""
+    return F.element_at(F.array(*[F.lit(d) for d in DAY_NAMES_SUNDAY_FIRST]), F.dayofweek(_c(c)))

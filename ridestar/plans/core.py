@@ -11,6 +11,7 @@ from ridestar.functions.keys import (
     weather_key_dim_reference,
     weather_key_fact_reference,
 )
+from ridestar.functions.time import day_name
 from ridestar.operators.dedup import dedup_latest
 from ridestar.operators.reshape import union_projections
 from ridestar.spec import FACT_ENVIRONMENT_COLUMNS, WEEKEND_DAYS
@@ -45,7 +46,7 @@ def dim_datetime(stg: DataFrame, strict: bool = True) -> DataFrame:
     if not strict:
         ts = ts.cast("timestamp_ntz")
     parsed = dts.select(natural_key("trip_datetime").alias("datetime_key"), ts.alias("__ts"))
-    dow = F.date_format("__ts", "EEEE")
+    dow = day_name("__ts")
     return parsed.select(
         "datetime_key",
         F.col("__ts").alias("trip_datetime"),

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridestar.functions.time import ntz_to_instant
+from ridestar.functions.time import ntz_to_instant, wall_clock_text
 from ridestar.operators.joins import join_small
 from ridestar.spec import TOPIC_PARTITIONS
 
@@ -74,7 +74,7 @@ def trip_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.hour(trip_dt).cast("bigint").alias("hour"),
         F.dayofmonth(trip_dt).cast("bigint").alias("day"),
         F.month(trip_dt).cast("bigint").alias("month"),
-        F.date_format(trip_dt, "yyyy-MM-dd HH:mm:ss").alias("datetime"),
+        wall_clock_text(trip_dt).alias("datetime"),
         F.lit(TIMEZONE).alias("timezone"),
         F.col("src_name").alias("source"),
         F.col("dst_name").alias("destination"),
