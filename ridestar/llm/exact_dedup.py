@@ -44,7 +44,9 @@ def frequent_digests(rows: DataFrame, hot_digests: int, counters: int, fan_in: i
     """Misra-Gries candidates, at most ``hot_digests`` rows: summaries per task, merged by groups, then once."""
     part = (rows.groupBy((F.spark_partition_id() % fan_in).alias("part"))
             .agg(F.expr(f"approx_top_k_accumulate(digest, {counters})").alias("sketch")))
-    merged = part.agg(F.expr(f"approx_top_k_combine(sketch, {counters})").alias("sketch"))
+    # keyed by a constant: an empty partition then hands on no (empty) summary
+    merged = (part.groupBy(F.lit(0).alias("all"))
+              .agg(F.expr(f"approx_top_k_combine(sketch, {counters})").alias("sketch")))
     return (merged.select(F.explode(F.expr(f"approx_top_k_estimate(sketch, {hot_digests})")).alias("top"))
             .select(F.col("top.item").alias("digest")).where(F.col("digest").isNotNull()))
 

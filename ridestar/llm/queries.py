@@ -7,13 +7,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ridestar.llm.bpe import token_digests
 from ridestar.llm.exact_dedup import exact_groups
 from ridestar.llm.space import table
+from ridestar.llm.token_files import read_token_records, write_token_records
+from ridestar.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
+def vocabulary(name: str = "byte_bpe_50k.json") -> str:
+    """The place of a public vocabulary file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def query(name: str, sql: str | None = None):
     def enter(fn):
         QUERIES[name] = fn
@@ -39,3 +49,20 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents")).select(
         "doc_id", "keep_id", F.col("group_size").cast("long").alias("group_size"), "kept",
         F.col("digest").alias("text_sha256"))
+
+
+#: Production parameters of the token queries.
+END_ID = 2
+
+
+@query("op1_token_records")
+def op1_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "token-records")
+    write_token_records(table(spark, sf_dir, "documents"), folder, vocabulary(), END_ID)
+    return read_token_records(spark, folder).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query("op7_bpe")
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_digests(table(spark, sf_dir, "documents"), vocabulary())
