@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from ridestar.llm.bpe import token_digests
 from ridestar.llm.exact_dedup import exact_groups
+from ridestar.llm.mixing import mixture, n_words
+from ridestar.llm.quality import quality_scores
+from ridestar.llm.secrets import digest_columns, secret_spans
 from ridestar.llm.space import table
 from ridestar.llm.token_files import read_token_records, write_token_records
 from ridestar.session import scratch_path
@@ -66,3 +69,75 @@ def op1_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_bpe")
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(table(spark, sf_dir, "documents"), vocabulary())
+
+
+@query("op10_secret_scan")
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest_columns(secret_spans(table(spark, sf_dir, "documents")))
+
+
+@query("op3_quality")
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+#: Every source within two epochs; the largest takes one.
+MAX_REPEATS = 2.0
+
+
+@query("op8_source_mixing", r"""
+    WITH RECURSIVE d AS (
+        SELECT doc_id, source, coalesce(doc_id::VARCHAR, 'null') AS id,
+               len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS n
+        FROM documents),
+    s AS (
+        SELECT source, sum(n)::BIGINT AS words, greatest(1, ceil(sum(n) / 1048576.0))::BIGINT AS blocks
+        FROM d GROUP BY source),
+    ends AS (SELECT max(words)::DOUBLE AS most, min(words) FILTER (words > 0)::DOUBLE AS least FROM s),
+    halving AS (
+        SELECT 0 AS step, 0.0::DOUBLE AS low, 1.0::DOUBLE AS high
+        UNION ALL
+        SELECT step + 1,
+               CASE WHEN pow(most / least, 1 - (low + high) / 2) <= 2 THEN low ELSE (low + high) / 2 END,
+               CASE WHEN pow(most / least, 1 - (low + high) / 2) <= 2 THEN (low + high) / 2 ELSE high END
+        FROM halving, ends WHERE step < 40),
+    a AS (SELECT least(1.0, ceil(high * 1e6 - 1e-3) / 1e6) AS a FROM halving WHERE step = 40),
+    w AS (
+        SELECT source, words, blocks, CASE WHEN words > 0 THEN pow(words / most, a) ELSE 0 END AS raw, most
+        FROM s, ends, a),
+    z AS (SELECT sum(raw) AS z FROM w),
+    p AS (
+        SELECT source, words, blocks, raw / z AS weight,
+               CASE WHEN words = 0 THEN 1.0 ELSE raw / z * (most * z) / words END AS exact
+        FROM w, z),
+    e AS (
+        SELECT *, floor(exact + 1e-9)::BIGINT AS epochs,
+               CASE WHEN words = 0 THEN 0 ELSE greatest(0, round((exact - floor(exact + 1e-9)) * words))::BIGINT END AS rest
+        FROM p),
+    r AS (
+        SELECT d.doc_id, d.id, d.source, d.n, e.weight, e.words AS source_words, e.epochs, e.rest,
+               ('0x' || substr(md5('11|' || d.id), 1, 8))::BIGINT % e.blocks AS block
+        FROM d JOIN e ON d.source IS NOT DISTINCT FROM e.source),
+    b AS (
+        SELECT source, block, any_value(epochs) AS epochs, any_value(rest) AS rest, sum(n)::BIGINT AS size,
+               ('0x' || substr(md5('11|block|' || any_value(epochs) || '|' || coalesce(source, 'null') || '|' || block), 1, 8))::BIGINT AS turn
+        FROM r GROUP BY source, block),
+    c AS (
+        SELECT *, rest - coalesce(sum(size) OVER (PARTITION BY source ORDER BY turn, block
+                                                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS remains
+        FROM b),
+    q AS (
+        SELECT r.*, c.remains, c.size,
+               sum(r.n) OVER (PARTITION BY r.source, r.block
+                              ORDER BY ('0x' || substr(md5('11|doc|' || r.epochs || '|' || r.id), 1, 8))::BIGINT, r.id
+                              RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto
+        FROM r JOIN c ON r.source IS NOT DISTINCT FROM c.source AND r.block = c.block)
+    SELECT doc_id, source, n AS n_words, source_words, block, round(weight, 9) AS weight,
+           epochs + CASE WHEN rest > 0 AND size <= remains THEN 1
+                         WHEN remains > 0 AND upto <= remains THEN 1 ELSE 0 END AS copies
+    FROM q""")
+def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return mixture(docs, max_repeats=MAX_REPEATS).select(
+        "doc_id", "source", n_words(F.col("text")).alias("n_words"), "mix.source_words", "mix.block",
+        F.round("mix.weight", 9).alias("weight"), "mix.copies")
