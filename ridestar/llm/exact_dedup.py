@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ridestar.llm.space import written
+from ridestar.llm.space import stay, written
 
 #: The characters of [\x20\x09-\x0D].
 WHITE = " \t\n\x0b\f\r"
@@ -80,35 +80,8 @@ def exact_groups(docs: DataFrame, hot_digests: int = 1024, counters: int = 8192)
 
 
 def exact_dedup(docs: DataFrame, **parameters) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns; of rows repeated as a whole one stays.
-
-    Rows of groups of one need no look-up. The keys (doc_id, digest, length) of larger
-    groups are joined back; a key that stands for several rows of which one stays is
-    collapsed by an aggregate with map-side combination (least row first).
-    """
-    groups = exact_groups(docs, **parameters)
-    names = docs.columns
-    mark = "__key"
-    while any(c.lower().startswith(mark) for c in names):
-        mark = "_" + mark
-    keys = written(groups.where(F.col("group_size") > 1).groupBy("doc_id", "digest", "chars")
-                   .agg(F.count(F.lit(1)).alias("copies"), F.max("kept").alias("kept"))
-                   .select(*[F.col(c).alias(f"{mark}_{c}") for c in ("doc_id", "digest", "chars", "copies", "kept")]),
-                   "exact-keys")
-    keyed = docs.withColumn(mark, F.struct(
-        F.col("doc_id"), F.sha2(normal_text(F.col("text")), 256).alias("digest"),
-        F.length(F.coalesce(F.col("text"), F.lit(""))).alias("chars")))
-    same = (F.col(f"{mark}.doc_id").eqNullSafe(F.col(f"{mark}_doc_id"))
-            & (F.col(f"{mark}.digest") == F.col(f"{mark}_digest"))
-            & (F.col(f"{mark}.chars") == F.col(f"{mark}_chars")))
-    several = (F.col(f"{mark}_kept")) & (F.col(f"{mark}_copies") > 1)
-    out = [F.col(f"`{c}`") for c in names]
-    once = (keyed.join(keys, same, "left")
-            .where(F.col(f"{mark}_kept").isNull() | (F.col(f"{mark}_kept") & (F.col(f"{mark}_copies") == 1)))
-            .select(*out))
-    repeated = keys.where(several)
-    if repeated.isEmpty():
-        return once
-    least = (keyed.join(repeated, same, "left_semi").groupBy(mark)
-             .agg(F.min(F.struct(*out)).alias(f"{mark}_row")))
-    return once.unionByName(least.select(*[F.col(f"{mark}_row").getField(c).alias(c) for c in names]))
+    """The rows of ``docs`` that stay, with all their columns; of rows repeated as a whole one stays."""
+    keys = (exact_groups(docs, **parameters).where(F.col("group_size") > 1).groupBy("doc_id", "digest", "chars")
+            .agg(F.count(F.lit(1)).alias("copies"), F.max("kept").alias("kept")))
+    return stay(docs, {"doc_id": F.col("doc_id"), "digest": F.sha2(normal_text(F.col("text")), 256),
+                       "chars": F.length(F.coalesce(F.col("text"), F.lit("")))}, written(keys, "exact-keys"))

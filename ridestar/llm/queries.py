@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ridestar.llm.bpe import token_digests
 from ridestar.llm.exact_dedup import exact_groups
 from ridestar.llm.mixing import mixture, n_words
+from ridestar.llm.ngram_join import near_groups
 from ridestar.llm.quality import quality_scores
 from ridestar.llm.secrets import digest_columns, secret_spans
 from ridestar.llm.space import table
@@ -141,3 +142,9 @@ def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture(docs, max_repeats=MAX_REPEATS).select(
         "doc_id", "source", n_words(F.col("text")).alias("n_words"), "mix.source_words", "mix.block",
         F.round("mix.weight", 9).alias("weight"), "mix.copies")
+
+
+@query("op6_ngram_join")
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_groups(table(spark, sf_dir, "documents"), k=3, num=90, den=100).select(
+        "doc_id", "n_shingles", "component_id")

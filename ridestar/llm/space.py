@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ridestar.session import scratch_path
 
@@ -21,3 +24,27 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def stay(docs: DataFrame, key: dict[str, Column], keys: DataFrame) -> DataFrame:
+    """The rows of ``docs`` left by decisions on keys, all columns as they were.
+
+    ``keys`` has a row per key under decision (named as in ``key``; nulls are equal): ``kept``,
+    and ``copies``, the number of rows with that key. Rows without one stay. Of a kept key's rows one stays (the
+    least row): an aggregate with map-side combination, run only if there are such keys.
+    """
+    names = docs.columns
+    mark = "__key"
+    while any(c.lower().startswith(mark) for c in names):
+        mark = "_" + mark
+    keys = keys.select(*[F.col(c).alias(f"{mark}_{c}") for c in [*key, "copies", "kept"]])
+    keyed = docs.withColumn(mark, F.struct(*[c.alias(n) for n, c in key.items()]))
+    same = reduce(lambda a, b: a & b, [F.col(f"{mark}.{c}").eqNullSafe(F.col(f"{mark}_{c}")) for c in key])
+    kept, copies = F.col(f"{mark}_kept"), F.col(f"{mark}_copies")
+    out = [F.col(f"`{c}`") for c in names]
+    once = keyed.join(keys, same, "left").where(kept.isNull() | (kept & (copies == 1))).select(*out)
+    repeated = keys.where(kept & (copies > 1))
+    if repeated.isEmpty():
+        return once
+    least = keyed.join(repeated, same, "left_semi").groupBy(mark).agg(F.min(F.struct(*out)).alias(f"{mark}_row"))
+    return once.unionByName(least.select(*[F.col(f"{mark}_row").getField(c).alias(c) for c in names]))

@@ -24,7 +24,7 @@ BATCH_BYTES = 4 << 20
 
 _rng = np.random.Generator(np.random.PCG64(20240517))
 _TABLE = _rng.integers(1, 2**63, size=256, dtype=np.uint64) * U64(2) + U64(1)
-_LANES = _rng.integers(1, 2**63, size=(4, 64), dtype=np.uint64) | U64(1)
+LANES = _rng.integers(1, 2**63, size=(4, 64), dtype=np.uint64) | U64(1)
 _BASE = 0x9E3779B97F4A7C15 | 1
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[ord("A"):ord("Z") + 1] += 32
@@ -170,9 +170,9 @@ def windows(hashes: np.ndarray, first: np.ndarray, k: int, lane: int = 0) -> tup
     n = len(hashes) - k + 1
     if n <= 0:
         return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
-    sums = hashes[:n] * _LANES[lane, 0]
+    sums = hashes[:n] * LANES[lane, 0]
     for i in range(1, k):
-        sums += hashes[i:i + n] * _LANES[lane, i]
+        sums += hashes[i:i + n] * LANES[lane, i]
     at = np.arange(n)
     last = np.repeat(first[1:], np.diff(first))[:n]
     keep = at + k <= last
