@@ -14,6 +14,7 @@ from ridestar.llm.ngram_join import near_groups
 from ridestar.llm.quality import quality_scores
 from ridestar.llm.secrets import digest_columns, secret_spans
 from ridestar.llm.space import table
+from ridestar.llm.substring_dedup import removed_digests
 from ridestar.llm.token_files import read_token_records, write_token_records
 from ridestar.session import scratch_path
 
@@ -148,3 +149,8 @@ def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(table(spark, sf_dir, "documents"), k=3, num=90, den=100).select(
         "doc_id", "n_shingles", "component_id")
+
+
+@query("op5_substring_dedup")
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return removed_digests(table(spark, sf_dir, "documents"))
