@@ -27,45 +27,20 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ridestar.llm import bins as B
+from ridestar.llm import chunks as C
 from ridestar.llm.space import written
-from ridestar.llm.words import LANES, U64, Words, mix, pieces, text_column, words_of
+from ridestar.llm.words import LANES, U64, Words, mix, words_of
 
 #: A perfect difference set modulo 13: every difference of residues occurs.
 PERIOD, COVER = 13, (0, 1, 3, 9)
 LAST = np.iinfo(np.int64).max
-PIECE = "chunk long, bin int, data binary"
 WINDOW = 20
 
 
-def stage(docs: DataFrame) -> DataFrame:
-    """(chunk, body): runs of (doc_id, text) as compressed Arrow streams, written."""
-
-    def pack(batches):
-        n = TaskContext.get().partitionId() << 32
-        for batch in batches:
-            ids, texts = batch.column(0), text_column(batch.column(1))
-            for i, j in pieces(texts):
-                yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([_body(ids[i:j], texts[i:j])], pa.binary())],
-                                                 names=["chunk", "body"])
-                n += 1
-
-    return written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-                   .mapInArrow(pack, "chunk long, body binary"), "chunks")
-
-
-def _body(ids: pa.Array, texts: pa.Array) -> bytes:
-    sink = pa.BufferOutputStream()
-    batch = pa.RecordBatch.from_arrays([ids, texts], names=["doc_id", "text"])
-    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
-        out.write_batch(batch)
-    return sink.getvalue().to_pybytes()
-
-
 @dataclass
 class Chunk:
     """A chunk's documents, words and anchors."""
@@ -79,7 +54,7 @@ class Chunk:
 
     @staticmethod
     def of(body: pa.Scalar, window: int) -> Chunk:
-        batch = pa.ipc.open_stream(body.as_buffer()).read_next_batch()
+        batch = C.opened(body)
         words = words_of(batch.column(1))
         h = words.hashes()
         width = window - PERIOD + 1
@@ -111,19 +86,6 @@ def _window(h: np.ndarray, at: np.ndarray, width: int, lane: int) -> np.ndarray:
     return mix(total + U64(width))
 
 
-def _rows(chunk: int, which: np.ndarray, bins: int, columns: list[np.ndarray]) -> Iterator[tuple[int, int, bytes]]:
-    """(chunk, bin, data): columns one after another; ``which`` is sorted."""
-    ends = np.searchsorted(which, np.arange(bins + 1))
-    for b in np.flatnonzero(np.diff(ends)):
-        yield chunk, int(b), b"".join(c[ends[b]:ends[b + 1]].tobytes() for c in columns)
-
-
-def _batch(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
-    chunk, which, data = zip(*rows) if rows else ((), (), ())
-    return pa.RecordBatch.from_arrays([pa.array(chunk, pa.int64()), pa.array(which, pa.int32()), pa.array(data, pa.binary())],
-                                      names=["chunk", "bin", "data"])
-
-
 def _anchor_keys(chunk: Chunk, bins: int) -> tuple[np.ndarray, np.ndarray]:
     """Bin and 32 bits of each anchor: within a bin the rest of the hash tells anchors apart well enough, for a
     collision only adds a window to be looked at."""
@@ -141,45 +103,30 @@ def deal_anchors(staged: DataFrame, bins: int, window: int) -> DataFrame:
                 third = np.zeros(len(both), dtype=bool)
                 third[2:] = both[2:] == both[:-2]
                 both = both[~third]
-                yield _batch(list(_rows(name, (both >> U64(32)).astype(np.int32), bins, [both.astype(np.uint32)])))
+                yield C.batch_of(list(C.records(name, (both >> U64(32)).astype(np.int32), bins, [both.astype(np.uint32)])))
 
-    return staged.mapInArrow(deal, PIECE)
+    return staged.mapInArrow(deal, C.PIECE)
 
 
 def repeated_anchors(dealt: DataFrame, bins: int) -> DataFrame:
     """For each chunk and bin the chunk's anchors that occur twice in the corpus, sorted."""
 
     def meet(batches):
-        rows = [(c, b, np.frombuffer(d.as_buffer(), dtype=np.uint32)) for x in batches
-                for c, b, d in zip(x.column(0).to_pylist(), x.column(1).to_pylist(), x.column(2))]
-        for b in sorted({r[1] for r in rows}):
-            mine = [r for r in rows if r[1] == b]
-            every = np.sort(np.concatenate([r[2] for r in mine]))
+        for b, rows in C.by_bin(batches):
+            mine = [(c, np.frombuffer(d, dtype=np.uint32)) for c, d in rows]
+            every = np.sort(np.concatenate([keys for _, keys in mine]))
             twice = np.unique(every[1:][every[1:] == every[:-1]])
             if len(twice) == 0:
                 continue
             out = []
-            for c, _, keys in mine:
+            for c, keys in mine:
                 at = np.minimum(np.searchsorted(twice, keys), len(twice) - 1)
                 found = np.unique(keys[twice[at] == keys])
                 if len(found):
                     out.append((c, b, found.tobytes()))
-            yield _batch(out)
-
-    return dealt.repartitionById(bins, "bin").mapInArrow(meet, PIECE)
-
-
-def gathered(answers: DataFrame, name: str) -> DataFrame:
-    """(chunk, name): a chunk's answers from all bins, at most one per bin."""
-    return (answers.groupBy(F.col("chunk").alias(f"{name}_chunk"))
-            .agg(F.collect_list(F.struct("bin", "data")).alias(name)))
-
+            yield C.batch_of(out)
 
-def _answers(value: pa.Scalar, kind) -> dict[int, np.ndarray]:
-    if not value.is_valid:
-        return {}
-    part = value.values
-    return {b: np.frombuffer(d.as_buffer(), dtype=kind) for b, d in zip(part.field("bin").to_pylist(), part.field("data"))}
+    return dealt.repartitionById(bins, "bin").mapInArrow(meet, C.PIECE)
 
 
 @dataclass
@@ -229,27 +176,19 @@ def deal_windows(chunks: DataFrame, bins: int, window: int) -> DataFrame:
     def deal(batches):
         for batch in batches:
             for name, body, known in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
-                c = Candidates.of(Chunk.of(body, window), _answers(known, np.uint32), bins, window)
-                yield _batch(list(_rows(name, c.which, bins, [c.hash1, c.hash2, c.doc, c.start])))
+                c = Candidates.of(Chunk.of(body, window), C.answers(known, np.uint32), bins, window)
+                yield C.batch_of(list(C.records(name, c.which, bins, [c.hash1, c.hash2, c.doc, c.start])))
 
-    return chunks.mapInArrow(deal, PIECE)
+    return chunks.mapInArrow(deal, C.PIECE)
 
 
 def first_windows(dealt: DataFrame, bins: int) -> DataFrame:
     """For each chunk and bin a bit per window hash it sent: whether the chunk has its first window."""
 
     def meet(batches):
-        rows = [(c, b, d.as_buffer()) for x in batches
-                for c, b, d in zip(x.column(0).to_pylist(), x.column(1).to_pylist(), x.column(2))]
-        for b in sorted({r[1] for r in rows}):
-            mine = [r for r in rows if r[1] == b]
-            parts = [[], [], [], []]
-            for _, _, data in mine:
-                n, at = data.size // 24, 0
-                for column, kind in zip(parts, (np.uint64, np.uint32, np.int64, np.uint32)):
-                    column.append(np.frombuffer(data, dtype=kind, count=n, offset=at))
-                    at += n * np.dtype(kind).itemsize
-            h1, h2, doc, start = (np.concatenate(p) for p in parts)
+        for b, mine in C.by_bin(batches):
+            parts = [C.split(data, [np.uint64, np.uint32, np.int64, np.uint32]) for _, data in mine]
+            h1, h2, doc, start = (np.concatenate(p) for p in zip(*parts))
             by = np.lexsort((start, doc, h2, h1))
             new = np.ones(len(by), dtype=bool)
             new[1:] = (h1[by][1:] != h1[by][:-1]) | (h2[by][1:] != h2[by][:-1])
@@ -258,12 +197,12 @@ def first_windows(dealt: DataFrame, bins: int) -> DataFrame:
             is_first = np.zeros(len(by), dtype=bool)
             is_first[by] = (doc[by] == doc[least]) & (start[by] == start[least])
             out, at = [], 0
-            for (c, _, _), column in zip(mine, parts[0]):
-                out.append((c, b, np.packbits(is_first[at:at + len(column)]).tobytes()))
-                at += len(column)
-            yield _batch(out)
+            for (c, _), part in zip(mine, parts):
+                out.append((c, b, np.packbits(is_first[at:at + len(part[0])]).tobytes()))
+                at += len(part[0])
+            yield C.batch_of(out)
 
-    return dealt.repartitionById(bins, "bin").mapInArrow(meet, PIECE)
+    return dealt.repartitionById(bins, "bin").mapInArrow(meet, C.PIECE)
 
 
 def cover_removed(chunks: DataFrame, bins: int, window: int, out, schema: str) -> DataFrame:
@@ -273,10 +212,10 @@ def cover_removed(chunks: DataFrame, bins: int, window: int, out, schema: str) -
         for batch in batches:
             for body, known, bits in zip(*(batch.column(k) for k in (1, 2, 3))):
                 chunk = Chunk.of(body, window)
-                c = Candidates.of(chunk, _answers(known, np.uint32), bins, window)
+                c = Candidates.of(chunk, C.answers(known, np.uint32), bins, window)
                 has_first = np.zeros(len(c.which), dtype=bool)
                 ends = np.searchsorted(c.which, np.arange(bins + 1))
-                for b, packed in _answers(bits, np.uint8).items():
+                for b, packed in C.answers(bits, np.uint8).items():
                     a, z = ends[b], ends[b + 1]
                     has_first[a:z] = np.unpackbits(packed)[:z - a]
                 stays = has_first[c.kind] & c.is_least
@@ -293,11 +232,11 @@ def _deduplicated(docs: DataFrame, window: int, out, schema: str) -> DataFrame:
     if window < PERIOD:
         raise ValueError(f"a window has {PERIOD} words or more")
     bins = B.bin_count(docs.sparkSession)
-    staged = stage(docs)
-    anchors = gathered(written(repeated_anchors(deal_anchors(staged, bins, window), bins), "anchors"), "anchors")
+    staged = C.stage(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+    anchors = C.gathered(written(repeated_anchors(deal_anchors(staged, bins, window), bins), "anchors"), "anchors")
     with_anchors = staged.join(anchors, F.col("chunk") == F.col("anchors_chunk"), "left")
     firsts = written(first_windows(deal_windows(with_anchors.select("chunk", "body", "anchors"), bins, window), bins), "firsts")
-    ready = with_anchors.join(gathered(firsts, "firsts"), F.col("chunk") == F.col("firsts_chunk"), "left")
+    ready = with_anchors.join(C.gathered(firsts, "firsts"), F.col("chunk") == F.col("firsts_chunk"), "left")
     return cover_removed(ready.select("chunk", "body", "anchors", "firsts"), bins, window, out, schema)
 
 
