@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ridestar.llm.bpe import token_digests
 from ridestar.llm.exact_dedup import exact_groups
+from ridestar.llm.language_model import lm_scores
 from ridestar.llm.mixing import mixture, n_words
 from ridestar.llm.ngram_join import near_groups
 from ridestar.llm.quality import quality_scores
@@ -154,3 +155,8 @@ def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_substring_dedup")
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return removed_digests(table(spark, sf_dir, "documents"))
+
+
+@query("op2_language_model")
+def op2_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(table(spark, sf_dir, "documents"))
