@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ridestar.llm.ann import search
 from ridestar.llm.bpe import token_digests
 from ridestar.llm.exact_dedup import exact_groups
 from ridestar.llm.language_model import lm_scores
@@ -160,3 +161,8 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_language_model")
 def op2_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(table(spark, sf_dir, "documents"))
+
+
+@query("op4_nearest_neighbours")
+def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
