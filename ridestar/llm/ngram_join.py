@@ -36,7 +36,7 @@ from ridestar.llm.words import LANES, U64, mix, pieces, text_column, windows, wo
 
 MAX_MATCHES = 4
 CELLS = 1 << 20
-HEADS = 3
+BITS = 1 << 25
 SALT_ROWS = 256
 CELL = np.dtype([("cell", "<u4"), ("n", "<u4")])
 POSTING = np.dtype([("t", "<u8"), ("c", "<i8"), ("r", "<u4")])
@@ -136,13 +136,13 @@ def choose_matches(costs: np.ndarray, n: int, base: int) -> int:
 
 
 def profiles(docs: DataFrame, k: int, num: int, den: int, order_bc) -> DataFrame:
-    """doc_id, body (hash of the text), n, hi, lo (fingerprint of the set), matches, prefix (keys, packed) per row."""
+    """doc_id, id_key and body (hashes of id and text), n, hi, lo (fingerprint of the set), matches, prefix (keys, packed) per row."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def describe(batches):
         order = order_bc.value
         for batch in batches:
-            column = text_column(batch.column(2))
+            column = text_column(batch.column(3))
             for i, j in pieces(column):
                 h, doc = shingles(column[i:j], k)
                 key = order.keys(h)
@@ -163,12 +163,12 @@ def profiles(docs: DataFrame, k: int, num: int, den: int, order_bc) -> DataFrame
                     matches.append(choose_matches(cost[a:a + stop], size, base) if size else 0)
                     prefix.append(key[a:a + stop].tobytes())
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0)[i:j], batch.column(1)[i:j], pa.array(n, pa.int64()), pa.array(hi.view(np.int64)),
+                    [*[batch.column(c)[i:j] for c in range(3)], pa.array(n, pa.int64()), pa.array(hi.view(np.int64)),
                      pa.array(lo.view(np.int64)), pa.array(matches, pa.int32()), pa.array(prefix, pa.binary())],
-                    names=["doc_id", "body", "n", "hi", "lo", "matches", "prefix"])
+                    names=["doc_id", "id_key", "body", "n", "hi", "lo", "matches", "prefix"])
 
-    return docs.select("doc_id", F.xxhash64("text").alias("body"), "text").mapInArrow(
-        describe, f"doc_id {kind}, body long, n long, hi long, lo long, matches int, prefix binary")
+    return docs.select("doc_id", *_row_key(), "text").mapInArrow(
+        describe, f"doc_id {kind}, id_key long, body long, n long, hi long, lo long, matches int, prefix binary")
 
 
 def _sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -210,12 +210,37 @@ def postings(classes: DataFrame) -> DataFrame:
             .mapInArrow(meet, "t long, c long, r int, head long, head_r int"))
 
 
+def _row_key() -> list[Column]:
+    """Two 64-bit hashes that name a row: of its id and of its text."""
+    return [F.xxhash64(F.lit(1), "doc_id").alias("id_key"), F.xxhash64("text").alias("body")]
+
+
+def _bitmap(keys: Column, rows: DataFrame) -> np.ndarray:
+    """``BITS`` bits, set at a hash of each key: a filter of fixed size that never misses a key."""
+    at = F.pmod(keys, F.lit(BITS))
+    parts = (rows.select(at.alias("at"))
+             .groupBy(F.shiftright("at", 15).alias("part"))
+             .agg(F.bitmap_construct_agg(F.col("at").bitwiseAND(F.lit(32767))).alias("bits")))
+    out = np.zeros(BITS // 8, dtype=np.uint8)
+    for r in parts.collect():   # at most BITS / 32768 rows of 4 KB
+        out[r["part"] * 4096:(r["part"] + 1) * 4096] = np.frombuffer(r["bits"], dtype=np.uint8)
+    return out
+
+
 def class_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """(c, items): the sorted hashes of each wanted class (c, hi, lo, rep, body), from its representative's text."""
+    """(c, items): the sorted hashes of each wanted class (c, id_key, body), from its representative's text.
+
+    Texts are not shuffled: tasks skip rows that a bitmap of the wanted keys rules out, and only sets travel.
+    """
+    spark = docs.sparkSession
+    bits = spark.sparkContext.broadcast(_bitmap(F.xxhash64("id_key", "body"), wanted))
 
     def compute(batches):
         for batch in batches:
-            column = text_column(batch.column(1))
+            at = batch.column(2).to_numpy()
+            use = np.flatnonzero(bits.value[at >> 3] >> (at & 7).astype(np.uint8) & 1)
+            batch = batch.take(pa.array(use))
+            column = text_column(batch.column(3))
             for i, j in pieces(column):
                 h, doc = shingles(column[i:j], k)
                 by = np.lexsort((h, doc))
@@ -225,15 +250,16 @@ def class_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
                 h, doc = h[new], doc[new]
                 first = np.searchsorted(doc, np.arange(j - i + 1))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0)[i:j], pa.array([h[a:b].tobytes() for a, b in zip(first[:-1], first[1:])], pa.binary())],
-                    names=["c", "items"])
+                    [batch.column(0)[i:j], batch.column(1)[i:j],
+                     pa.array([h[a:b].tobytes() for a, b in zip(first[:-1], first[1:])], pa.binary())],
+                    names=["id_key", "body", "items"])
 
-    key = wanted.select("c", "rep", F.col("body").alias("rep_body"))
-    texts = (docs.select("doc_id", "text")
-             .join(key, F.col("doc_id").eqNullSafe(F.col("rep")) & (F.xxhash64("text") == F.col("rep_body")))
-             .select("c", "text"))
+    keyed = docs.select(*_row_key(), "text")
+    keyed = keyed.select("id_key", "body", F.pmod(F.xxhash64("id_key", "body"), F.lit(BITS)).alias("at"), "text")
     # a representative row that is repeated gives the same set again
-    return texts.mapInArrow(compute, "c long, items binary").groupBy("c").agg(F.min("items").alias("items"))
+    sets = (keyed.mapInArrow(compute, "id_key long, body long, items binary")
+            .groupBy("id_key", "body").agg(F.min("items").alias("items")))
+    return sets.join(wanted.select("c", "id_key", "body"), ["id_key", "body"]).select("c", "items")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -263,16 +289,26 @@ def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame
     return both.mapInArrow(check, "a long, b long")
 
 
+def _enough(k: str, ra: str, rb: str, na: str, nb: str, num: int, den: int) -> Column:
+    """Whether two sets may link that share ``k`` shingles up to ranks ``ra`` and ``rb``: the rest bounds their overlap."""
+    most = F.col(k) + F.least(F.col(na) - F.col(ra) - 1, F.col(nb) - F.col(rb) - 1)
+    return most * (den + num) >= (F.col(na) + F.col(nb)) * num
+
+
 def _star_pairs(posts: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
-    """For each class its ``HEADS`` best list heads, as (a: class, b: head)."""
+    """For each class its best list head, as (a: class, b: head), if the lists they meet in leave hope of a link.
+
+    Only a proposal for the first round: what it leaves out is left to the second.
+    """
     size = classes.select(F.col("c").alias("id"), F.col("n").alias("size"))
-    pairs = (posts.where("c <> head").groupBy("c", "head").agg(F.count(F.lit(1)).alias("shared"))
+    pairs = (posts.where("c <> head").groupBy("c", "head")
+             .agg(F.count(F.lit(1)).alias("k"), F.max("r").alias("rc"), F.max("head_r").alias("rh"))
              .join(size, F.col("c") == F.col("id")).withColumnRenamed("size", "nc").drop("id")
              .join(size, F.col("head") == F.col("id")).withColumnRenamed("size", "nh").drop("id")
-             .where(F.least("nc", "nh") * den >= F.greatest("nc", "nh") * num))
-    best = Window.partitionBy("c").orderBy(F.col("shared").desc(), "head")
-    return (pairs.withColumn("place", F.row_number().over(best)).where(F.col("place") <= HEADS)
-            .select(F.col("c").alias("a"), F.col("head").alias("b")))
+             .where((F.least("nc", "nh") * den >= F.greatest("nc", "nh") * num)
+                    & _enough("k", "rc", "rh", "nc", "nh", num, den)))
+    best = F.max(F.struct(F.col("k"), (-F.col("head")).alias("b"))).alias("best")
+    return pairs.groupBy("c").agg(best).select(F.col("c").alias("a"), (-F.col("best.b")).alias("b"))
 
 
 def _cross_pairs(posts: DataFrame, classes: DataFrame, parts: DataFrame, num: int, den: int) -> DataFrame:
@@ -282,7 +318,6 @@ def _cross_pairs(posts: DataFrame, classes: DataFrame, parts: DataFrame, num: in
     rows = (posts.select("t", "c", "r").join(info, F.col("c") == F.col("id")).drop("id")
             .join(part, F.col("c") == F.col("node"), "left")
             .withColumn("part", F.coalesce("component", "c")).drop("node", "component"))
-    rows = written(rows, "near-rows")
     mixed = (rows.groupBy("t").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high")
              .select(F.col("t").alias("token")))
     rows = written(rows.join(mixed, F.col("t") == F.col("token")).drop("token"), "near-mixed")
@@ -299,9 +334,7 @@ def _cross_pairs(posts: DataFrame, classes: DataFrame, parts: DataFrame, num: in
               .groupBy(F.col("x.c").alias("a"), F.col("y.c").alias("b"))
               .agg(F.count(F.lit(1)).alias("k"), F.max("x.r").alias("ra"), F.max("y.r").alias("rb"),
                    F.first("x.n").alias("na"), F.first("y.n").alias("nb"), F.first("x.matches").alias("want")))
-    # of the prefixes up to the last shared ranks only k shingles are shared; the rest bounds the overlap
-    most = F.col("k") + F.least(F.col("na") - F.col("ra") - 1, F.col("nb") - F.col("rb") - 1)
-    return shared.where((F.col("k") >= F.col("want")) & (most * (den + num) >= (F.col("na") + F.col("nb")) * num)).select("a", "b")
+    return shared.where((F.col("k") >= F.col("want")) & _enough("k", "ra", "rb", "na", "nb", num, den)).select("a", "b")
 
 
 def near_classes(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -310,19 +343,24 @@ def near_classes(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) ->
     order = spark.sparkContext.broadcast(Order(frequency_sketch(docs, k)))
     rows = written(profiles(docs, k, num, den, order), "near-profiles")
     full = rows.where("n > 0")
-    first = F.struct(F.col("doc_id").isNull().alias("unknown"), F.col("doc_id").alias("rep"), F.col("body").alias("body"))
+    first = F.struct(F.col("doc_id").isNull().alias("unknown"), F.col("doc_id").alias("rep"), F.col("body").alias("body"),
+                     F.col("id_key").alias("id_key"))
     reps = full.groupBy("hi", "lo", "n").agg(F.min(first).alias("first"), F.min("matches").alias("matches"),
                                              F.min("prefix").alias("prefix"))
     classes = written(reps.select(F.monotonically_increasing_id().alias("c"), "hi", "lo", "n", "matches", "prefix",
-                                  "first.rep", "first.body"), "near-classes")
+                                  "first.rep", "first.body", "first.id_key"), "near-classes")
     posts = written(postings(classes), "near-postings")
-    wanted = (posts.select(F.col("c").alias("id")).distinct().join(classes, F.col("id") == F.col("c"))
-              .select("c", "rep", "body"))
-    sets = written(class_sets(docs, wanted, k), "near-sets")
-    near = written(verified(_star_pairs(posts, classes, num, den), sets, num, den), "near-links")
-    parts = components(near)
-    cross = written(_cross_pairs(posts, classes, parts, num, den), "near-pairs")
-    more = written(verified(cross, sets, num, den), "near-links")
+
+    def links(pairs: DataFrame) -> DataFrame:
+        """The pairs that link, verified on whole sets."""
+        pairs = written(pairs, "near-pairs")
+        met = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
+        wanted = met.join(classes, F.col("id") == F.col("c")).select("c", "id_key", "body")
+        sets = written(class_sets(docs, written(wanted, "near-wanted"), k), "near-sets")
+        return written(verified(pairs, sets, num, den), "near-links")
+
+    parts = components(links(_star_pairs(posts, classes, num, den)))
+    more = links(_cross_pairs(posts, classes, parts, num, den))
     # links of the second round join components of the first
     nodes = parts.select(F.col("node").alias("id"), "component")
     lifted = (more.join(nodes, F.col("a") == F.col("id"), "left").withColumn("a", F.coalesce("component", "a")).select("a", "b")
