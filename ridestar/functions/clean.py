@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,20 +15,23 @@ from ridestar.spec import NA_TOKENS
 _FINITE = r"^\s*[+-]?((\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?)\s*$"
 
 
-def clean_csv_value(raw: Column, kind: str) -> Column:
+_OUTER_SPACE = r"(?U)^\s+|\s+$"
+
+
+def clean_csv_value(raw: Column, kind: str, na_tokens: Sequence[str] = NA_TOKENS) -> Column:
     """Clean one raw CSV string.
 
     NA tokens give NULL (tested before trimming, so blanks stay text). ``kind``:
     ``int`` (hour/day/month: integer text else NULL), ``double`` (number if it
-    parses and is finite, else NULL) or ``string`` (trimmed text).
+    parses and is finite, else NULL) or ``string`` (text without outer white space of any kind).
     """
-    is_na = raw.isNull() | raw.isin(*NA_TOKENS)
+    is_na = raw.isNull() | raw.isin(*na_tokens)
     if kind == "int":
         typed = F.when(raw.rlike(INT_PATTERN), raw.try_cast("bigint"))
     elif kind == "double":
         typed = F.when(raw.rlike(_FINITE), raw.try_cast("double"))
     elif kind == "string":
-        typed = F.trim(raw)
+        typed = F.regexp_replace(raw, _OUTER_SPACE, "")
     else:
         raise ValueError(f"unknown kind {kind!r}")
     return F.when(is_na, F.lit(None)).otherwise(typed)

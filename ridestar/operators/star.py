@@ -4,9 +4,9 @@
 to dimensions equal the same aggregates computed per foreign-key combination
 first and then combined per dimension attribute (an inner join only copies or
 drops whole groups). So the fact is reduced with a partial (map-side) aggregate
-before any shuffle, and only the reduced rows meet the dimensions. A dimension
-whose row count is proven small is broadcast; otherwise the planner decides
-(AQE broadcasts at run time when the shuffled side is small).
+before any shuffle, and only the reduced rows meet the dimensions. Joins are left to
+the planner: a written dimension whose size is under Spark's byte threshold is broadcast, at
+planning time by its file sizes or at run time by AQE.
 """
 
 from __future__ import annotations
@@ -17,7 +17,6 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ridestar.operators.joins import row_count_at_most
 
 KINDS = ("count", "count_if", "sum", "max", "min", "avg")
 
@@ -76,7 +75,6 @@ def star_aggregate(
     dims: Sequence[Dim],
     group_by: Sequence[str],
     measures: Sequence[Measure],
-    broadcast_max_rows: int | None = None,
 ) -> DataFrame:
     """Inner-join ``fact`` to ``dims`` and aggregate ``measures`` by dimension columns ``group_by``."""
     fks = list(dict.fromkeys(d.fact_key for d in dims))
@@ -85,7 +83,5 @@ def star_aggregate(
     for i, d in enumerate(dims):
         key = f"__dk{i}"
         side = d.table.select(F.col(d.dim_key).alias(key), *[F.col(src).alias(out) for out, src in d.columns.items()])
-        if broadcast_max_rows is not None and row_count_at_most(side, broadcast_max_rows):
-            side = F.broadcast(side)
         joined = joined.join(side, joined[d.fact_key] == side[key]).drop(key)
     return joined.groupBy(*group_by).agg(*[_final(m) for m in measures])

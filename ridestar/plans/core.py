@@ -24,14 +24,13 @@ DATETIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
 def dim_cabs(stg: DataFrame) -> DataFrame:
-    """Distinct (provider, product, tier) with an md5 key (NULL and '' share a key, as upstream)."""
-    cabs = stg.select("cab_provider", "product_id", "cab_tier").distinct()
-    return cabs.select(
-        surrogate_key("cab_provider", "product_id", "cab_tier").alias("cab_key"),
-        "cab_provider",
-        "product_id",
-        "cab_tier",
-    )
+    """One row per cab key (md5 of provider, product, tier; NULL and '' share a key): its greatest values.
+
+    A key with several spellings would count its trips once per spelling in every mart.
+    """
+    cabs = ["cab_provider", "product_id", "cab_tier"]
+    return (stg.groupBy(surrogate_key(*cabs).alias("cab_key")).agg(F.max(F.struct(*cabs)).alias("c"))
+            .select("cab_key", *[F.col(f"c.{x}") for x in cabs]))
 
 
 def dim_datetime(stg: DataFrame, strict: bool = True) -> DataFrame:

@@ -4,9 +4,14 @@ from __future__ import annotations
 
 import datetime as _dt
 
+from collections.abc import Callable
+
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ridestar.functions.time import utc_instant
 from ridestar.spec import FRESHNESS_MINUTES, MIN_BACKLOG_MESSAGES
 
 
@@ -23,10 +28,18 @@ def backlog(topic: DataFrame) -> DataFrame:
     )
 
 
-def has_backlog(topic: DataFrame, min_messages: int = MIN_BACKLOG_MESSAGES) -> bool:
-    """True when the topic holds at least ``min_messages`` (sum of high - low over partitions)."""
-    total = backlog(topic).agg(F.coalesce(F.sum("messages"), F.lit(0)).alias("n")).first()
-    return bool(total and total["n"] >= min_messages)
+def has_backlog(topic: DataFrame | Callable[[], DataFrame], min_messages: int = MIN_BACKLOG_MESSAGES) -> bool:
+    """True when the topic holds at least ``min_messages``; False when it cannot be read.
+
+    Reading stops after ``min_messages`` offsets (values are not read), so the gate costs the same
+    however much is retained. ``topic`` may be a function that opens it, so that a missing topic or a failing
+    broker is a closed gate, not an error.
+    """
+    try:
+        rows = topic() if callable(topic) else topic
+        return len(rows.select("offset").take(min_messages)) >= min_messages
+    except (PySparkException, Py4JError):
+        return False
 
 
 def fresh_files(spark: SparkSession, path: str, minutes: int = FRESHNESS_MINUTES,
@@ -55,7 +68,14 @@ def is_fresh(spark: SparkSession, path: str, minutes: int = FRESHNESS_MINUTES) -
     return fresh_files(spark, path, minutes).limit(1).count() > 0
 
 
-def refresh_and_count(spark: SparkSession, path: str) -> int:
-    """Row count of a table read afresh (new files are listed again)."""
-    spark.catalog.clearCache()
-    return spark.read.parquet(path).count()
+def fresh_rows(spark: SparkSession, path: str, minutes: int = FRESHNESS_MINUTES,
+               now: _dt.datetime | None = None) -> DataFrame:
+    """Rows of the table at ``path`` that lie in files modified within the last ``minutes``."""
+    boundary = utc_instant((now or _dt.datetime.now(_dt.timezone.utc)) - _dt.timedelta(minutes=minutes))
+    return spark.read.parquet(path).where(F.col("_metadata.file_modification_time") >= boundary)
+
+
+def refresh_and_count(spark: SparkSession, path: str) -> DataFrame:
+    """One row, ``total_rows``: the table's row count, its files listed afresh (other cached tables stay)."""
+    spark.catalog.refreshByPath(path)
+    return spark.read.parquet(path).agg(F.count(F.lit(1)).alias("total_rows"))

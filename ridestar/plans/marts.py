@@ -11,7 +11,7 @@ from ridestar.operators.star import Dim, Measure, star_aggregate
 _CAB_COLUMNS = {"cab_provider": "cab_provider", "cab_tier": "cab_tier"}
 
 
-def mart_trip_trends(fact: DataFrame, dim_dt: DataFrame, cabs: DataFrame, broadcast_max_rows: int | None = None) -> DataFrame:
+def mart_trip_trends(fact: DataFrame, dim_dt: DataFrame, cabs: DataFrame) -> DataFrame:
     """Trips, average price, distance and surge by calendar hour x provider x tier."""
     cal = ["year", "month", "day", "hour", "day_of_week", "is_weekend"]
     return star_aggregate(
@@ -23,12 +23,10 @@ def mart_trip_trends(fact: DataFrame, dim_dt: DataFrame, cabs: DataFrame, broadc
          Measure("avg_price", "avg", F.col("price")),
          Measure("avg_distance_miles", "avg", F.col("distance_miles")),
          Measure("avg_surge_multiplier", "avg", F.col("surge_multiplier"))],
-        broadcast_max_rows,
     )
 
 
-def mart_surge_analysis(fact: DataFrame, locations: DataFrame, cabs: DataFrame,
-                        broadcast_max_rows: int | None = None) -> DataFrame:
+def mart_surge_analysis(fact: DataFrame, locations: DataFrame, cabs: DataFrame) -> DataFrame:
     """Surge share, maximum and averages by source neighbourhood x provider x tier."""
     agg = star_aggregate(
         fact,
@@ -40,7 +38,6 @@ def mart_surge_analysis(fact: DataFrame, locations: DataFrame, cabs: DataFrame,
          Measure("max_surge_multiplier", "max", F.col("surge_multiplier")),
          Measure("avg_price", "avg", F.col("price")),
          Measure("avg_surge_multiplier", "avg", F.col("surge_multiplier"))],
-        broadcast_max_rows,
     )
     return agg.select(
         "source_neighborhood", "cab_provider", "cab_tier", "total_trips", "surge_trips",
@@ -49,8 +46,7 @@ def mart_surge_analysis(fact: DataFrame, locations: DataFrame, cabs: DataFrame,
     )
 
 
-def mart_weather_impact(fact: DataFrame, weather: DataFrame, cabs: DataFrame,
-                        broadcast_max_rows: int | None = None) -> DataFrame:
+def mart_weather_impact(fact: DataFrame, weather: DataFrame, cabs: DataFrame) -> DataFrame:
     """Trips and averages (temperature, rain chance, price, surge) by weather summary x provider x tier."""
     return star_aggregate(
         fact,
@@ -62,5 +58,4 @@ def mart_weather_impact(fact: DataFrame, weather: DataFrame, cabs: DataFrame,
          Measure("avg_precip_probability", "avg", F.col("precip_probability")),
          Measure("avg_price", "avg", F.col("price")),
          Measure("avg_surge_multiplier", "avg", F.col("surge_multiplier"))],
-        broadcast_max_rows,
     )

@@ -9,6 +9,7 @@ live under ``base`` (a shared folder on a cluster).
 from __future__ import annotations
 
 import datetime as _dt
+import hashlib
 import time
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
@@ -21,11 +22,6 @@ from ridestar.plans import core, marts, quality, staging
 from ridestar.session import input_bytes, size_shuffles
 from ridestar.sources.tables import Models, register_view, upsert, write_table
 
-# Dimensions whose row count is proven under this bound are broadcast in the marts (narrow rows:
-# about 100 bytes each, so at most ~20 MB per executor); larger ones join by sort-merge on the
-# pre-aggregated fact.
-DIM_BROADCAST_MAX_ROWS = 200_000
-
 CORE_TABLES = ("dim_cabs", "dim_datetime", "dim_locations", "dim_weather", "fact_trips")
 # Written bucketed by trip_id: staging leaves the dedup already hash-partitioned on it, the fact is a
 # 1:1 projection of staging, and the unique checks, the no-duplicates test and the distinct-id count
@@ -77,27 +73,31 @@ def define_models(bronze: DataFrame, key_mode: str = core.ALIGNED) -> Models:
     m.define("dim_weather", lambda r: core.dim_weather(r.ref(C.STG), key_mode))
     m.define("fact_trips", lambda r: core.fact_trips(r.ref(C.STG), key_mode))
     m.define("mart_trip_trends", lambda r: marts.mart_trip_trends(
-        r.ref("fact_trips"), r.ref("dim_datetime"), r.ref("dim_cabs"), DIM_BROADCAST_MAX_ROWS))
+        r.ref("fact_trips"), r.ref("dim_datetime"), r.ref("dim_cabs")))
     m.define("mart_surge_analysis", lambda r: marts.mart_surge_analysis(
-        r.ref("fact_trips"), r.ref("dim_locations"), r.ref("dim_cabs"), DIM_BROADCAST_MAX_ROWS))
+        r.ref("fact_trips"), r.ref("dim_locations"), r.ref("dim_cabs")))
     m.define("mart_weather_impact", lambda r: marts.mart_weather_impact(
-        r.ref("fact_trips"), r.ref("dim_weather"), r.ref("dim_cabs"), DIM_BROADCAST_MAX_ROWS))
+        r.ref("fact_trips"), r.ref("dim_weather"), r.ref("dim_cabs")))
     return m
 
 
 def run_pipeline(spark: SparkSession, bronze: DataFrame, base: str, key_mode: str = core.ALIGNED,
                  measured_at: _dt.datetime | None = None, store_failures: bool = True,
                  raise_on_error: bool = False, marts_as_views: bool = False,
-                 bronze_path: str | None = None, table_prefix: str = "ridestar_",
-                 threads: int = THREADS) -> RunResult:
+                 bronze_path: str | None = None, table_prefix: str | None = None,
+                 threads: int = THREADS, checks: tuple = C.DECLARED_CHECKS) -> RunResult:
     """Run every model once, in dependency order; staging and core are written tables.
 
     ``marts_as_views``: register the marts as temp views (computed when read)
     instead of writing them. ``bronze_path``: size shuffles from the input's
     file sizes first. Bucketed layers are catalog tables named
-    ``table_prefix + model`` (external, at ``base/model``).
+    ``table_prefix + model`` (external, at ``base/model``); the default prefix is made
+    from ``base``, so runs with different bases do not share tables. The quality mart of a run is written even
+    if its checks fail and ``raise_on_error`` ends the run afterwards.
     """
     base = base.rstrip("/")
+    if table_prefix is None:
+        table_prefix = f"ridestar_{hashlib.md5(base.encode()).hexdigest()[:8]}_"
     r = RunResult()
     if bronze_path:
         size_shuffles(spark, input_bytes(spark, bronze_path))
@@ -122,16 +122,16 @@ def run_pipeline(spark: SparkSession, bronze: DataFrame, base: str, key_mode: st
     if store_failures:
         # One pass over the models writes the failing rows; the counts are read back from that store.
         store = f"{base}/dq_failures"
-        run_level(r, "store_failures", {"store_failures": lambda: C.write_failures(t, store, threads=threads)}, 1)
-        counted = C.results_from_store(spark, store, t)
+        run_level(r, "store_failures", {"store_failures": lambda: C.write_failures(t, store, checks, threads=threads)}, 1)
+        counted = C.results_from_store(spark, store, t, checks)
     else:
-        counted = C.run_checks(t)
+        counted = C.run_checks(t, checks)
     results = _timed(r, "checks", lambda: write_table(counted, f"{base}/dq_check_results"))
     r.check_results = results
-    r.report = C.evaluate(results) if raise_on_error else _report(results)
     dq = quality.dq_metrics(t[C.STG], t["fact_trips"], measured_at)
     r.tables["mart_data_quality_metrics"] = _timed(
         r, "mart_data_quality_metrics", lambda: upsert(spark, dq, f"{base}/mart_data_quality_metrics", "measured_at"))
+    r.report = C.evaluate(results) if raise_on_error else _report(results)
     return r
 
 

@@ -5,15 +5,16 @@ give the same values:
 
 * fast path: one strict, typed ``from_json`` pass (Jackson streaming, no
   intermediate tree) for every row;
-* exact path: ``try_parse_json`` + per-field variant reads with warehouse
-  ``json_value``/``safe_cast`` semantics, evaluated only for rows the fast path
+* exact path: a strict variant parse (nothing may follow the value) + per-field reads with
+  warehouse ``json_value``/``safe_cast`` semantics, evaluated only for rows the fast path
   flags: malformed or partial records (NaN, single quotes, a quoted number, a
-  float or boolean in an integer field, a non-object), text that does not end
-  in ``}``, or a text field holding an object or array.
+  float or boolean in an integer field, a non-object), text whose first ``}`` is not
+  its last character (glued objects, trailing text, a brace in a field), or a text field holding
+  an object or array.
 
-For well-formed producer output both paths agree value for value; the exact path
-decides every row the fast path cannot. Known gap: duplicate keys take the last
-value on the fast path.
+A flat object that ends at the first ``}`` of the text ends with the text, so the fast path never
+ignores trailing text. For well-formed producer output both paths agree value for value, and
+of repeated keys both take the last value.
 """
 
 from __future__ import annotations
@@ -22,8 +23,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ridestar.functions.json import json_double, json_long, json_string
+from ridestar.functions.json import json_double, json_long, json_string, strict_variant
 from ridestar.operators.dedup import dedup_latest
+from ridestar.session import allow_repeated_keys
 from ridestar.spec import DOUBLE, LONG, METADATA_COLUMNS, PAYLOAD_FIELDS, STRING
 
 _TYPED = "__typed"
@@ -66,7 +68,7 @@ def _needs_exact_path(typed: Column, value: Column) -> Column:
         typed[f.key].startswith("{") | typed[f.key].startswith("[") for f in PAYLOAD_FIELDS if f.dtype == STRING
     ]
     # Text with trailing blanks also takes the exact path (correct, just slower).
-    cond = typed.isNull() | typed[CORRUPT].isNotNull() | ~value.endswith("}")
+    cond = typed.isNull() | typed[CORRUPT].isNotNull() | (F.locate("}", value) != F.length(value))
     for c in nested:
         cond = cond | F.coalesce(c, F.lit(False))
     return F.coalesce(cond, F.lit(True))
@@ -78,6 +80,7 @@ def parse_events(bronze: DataFrame, with_reason: bool = False) -> DataFrame:
     With ``with_reason``: also ``reject_reason`` (``malformed_json``,
     ``missing_id`` or NULL for an accepted row) and the original ``value``.
     """
+    allow_repeated_keys(bronze.sparkSession)
     meta = [F.col(src).cast(t).alias(dst) for src, dst, t in METADATA_COLUMNS]
     meta_names = [dst for _, dst, _ in METADATA_COLUMNS]
     t, v, exact = F.col(_TYPED), F.col(_VARIANT), F.col(_EXACT)
@@ -99,7 +102,7 @@ def parse_events(bronze: DataFrame, with_reason: bool = False) -> DataFrame:
     exact_struct = F.struct(*[_exact_field(F.col(_VARIANT), f).alias(f.key) for f in PAYLOAD_FIELDS])
     both = typed.select(
         _TYPED, _EXACT, *meta_names, *(["value"] if with_reason else []),
-        F.when(exact, F.try_parse_json("value")).alias(_VARIANT),
+        F.when(exact, strict_variant(F.col("value"))).alias(_VARIANT),
     )
     both = both.select(
         _TYPED, _EXACT, *meta_names, *(["value"] if with_reason else []),

@@ -1,7 +1,8 @@
 """Registered queries: one per operator/model, each with its DuckDB twin where SQL can say it.
 
-Each callable takes ``(spark, sf_dir)`` and returns a lazy DataFrame built from
-the whole tables under ``sf_dir``.
+Each callable takes ``(spark, sf_dir)`` and returns a DataFrame built from the whole tables under
+``sf_dir``. Queries with one consumer of staging are lazy. Those whose models read staging several times, and
+those that show a sink or a stream, first write what they read, as the pipeline does.
 """
 
 from __future__ import annotations
@@ -15,9 +16,10 @@ from pyspark.sql import types as T
 from ridestar import oracle as O
 from ridestar.functions.keys import natural_key, surrogate_key
 from ridestar.functions.time import instant_to_ntz
+from ridestar.operators.combine import combine_single_rows
 from ridestar.operators.dedup import dedup_latest
 from ridestar.plans import core, marts, staging
-from ridestar.session import ensure_utc
+from ridestar.session import ensure_utc, scratch_path
 from ridestar.sources import testdata
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,16 +59,18 @@ def staged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staging.stg_events(testdata.trip_bronze(spark, sf_dir))
 
 
-def star(spark: SparkSession, sf_dir: str, key_mode: str = core.ALIGNED) -> dict[str, DataFrame]:
-    """Staging materialised once (reliable checkpoint in the shared folder), then the star schema.
+def star(spark: SparkSession, sf_dir: str, key_mode: str = core.ALIGNED, write: bool = True) -> dict[str, DataFrame]:
+    """The star schema over staging.
 
-    Several models read staging; each would otherwise prune columns below the
-    dedup shuffle differently and parse the payload again.
+    ``write``: staging is written as Parquet in the shared folder and read back, as the pipeline does, for queries
+    whose models read it several times: each then reads its own columns only, and the payload is
+    parsed once. Without it the models are lazy, for a single consumer.
     """
-    from ridestar.session import work_dir
+    from ridestar.sources.tables import write_table
 
-    work_dir(spark)
-    stg = staged(spark, sf_dir).checkpoint(eager=True)
+    stg = staged(spark, sf_dir)
+    if write:
+        stg = write_table(stg, scratch_path(spark, "staging"))
     return {
         "stg": stg,
         "dim_cabs": core.dim_cabs(stg),
@@ -107,7 +111,7 @@ def mart_weather_impact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("mart_weather_impact_reference",
-          O.with_models(O.round_cols(O.MART_WEATHER, _WEATHER_ROUND), key_mode="reference"))
+          O.with_models(O.round_cols(O.MART_WEATHER_REFERENCE, _WEATHER_ROUND)))
 def mart_weather_impact_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weather mart with both weather keys as written upstream: they never match, so 0 rows."""
     m = star(spark, sf_dir, core.REFERENCE)
@@ -119,33 +123,33 @@ def mart_weather_impact_reference(spark: SparkSession, sf_dir: str) -> DataFrame
 
 @register("dim_cabs", O.with_models("SELECT * FROM dim_cabs"))
 def dim_cabs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stable(star(spark, sf_dir)["dim_cabs"])
+    return stable(star(spark, sf_dir, write=False)["dim_cabs"])
 
 
 @register("dim_datetime", O.with_models("SELECT * FROM dim_datetime"))
 def dim_datetime(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stable(star(spark, sf_dir)["dim_datetime"])
+    return stable(star(spark, sf_dir, write=False)["dim_datetime"])
 
 
 @register("dim_locations", O.with_models(O.round_cols("SELECT * FROM dim_locations",
                                                       {"latitude": AVG_DECIMALS, "longitude": AVG_DECIMALS})))
 def dim_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stable(star(spark, sf_dir)["dim_locations"], {"latitude": AVG_DECIMALS, "longitude": AVG_DECIMALS})
+    return stable(star(spark, sf_dir, write=False)["dim_locations"], {"latitude": AVG_DECIMALS, "longitude": AVG_DECIMALS})
 
 
 @register("dim_weather", O.with_models("SELECT * FROM dim_weather"))
 def dim_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stable(star(spark, sf_dir)["dim_weather"])
+    return stable(star(spark, sf_dir, write=False)["dim_weather"])
 
 
 @register("dim_weather_reference", O.with_models("SELECT * FROM dim_weather", key_mode="reference"))
 def dim_weather_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stable(star(spark, sf_dir, core.REFERENCE)["dim_weather"])
+    return stable(star(spark, sf_dir, core.REFERENCE, write=False)["dim_weather"])
 
 
 @register("fact_trips", O.with_models("SELECT * FROM fact_trips"))
 def fact_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stable(star(spark, sf_dir)["fact_trips"])
+    return stable(star(spark, sf_dir, write=False)["fact_trips"])
 
 
 @register("stg_parse", O.with_models("SELECT * FROM stg"))
@@ -200,7 +204,7 @@ def dq_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("dq_uniqueness", O.with_models(O.DQ_UNIQUENESS))
 def dq_uniqueness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.uniqueness(star(spark, sf_dir)["fact_trips"])
+    return quality.uniqueness(star(spark, sf_dir, write=False)["fact_trips"])
 
 
 @register("dq_validity", O.with_models(O.dq_validity_sql()))
@@ -216,7 +220,7 @@ def dq_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("dq_timeliness", O.with_models(O.dq_timeliness_sql()))
 def dq_timeliness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.timeliness(star(spark, sf_dir)["fact_trips"])
+    return quality.timeliness(star(spark, sf_dir, write=False)["fact_trips"])
 
 
 @register("dq_metrics", O.with_models(O.dq_metrics_sql(MEASURED_AT)))
@@ -285,7 +289,7 @@ def assert_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("assert_no_duplicates", O.with_models(O.ASSERT_NO_DUPLICATES))
 def assert_no_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return C.assert_no_duplicates(star(spark, sf_dir)["fact_trips"])
+    return C.assert_no_duplicates(star(spark, sf_dir, write=False)["fact_trips"])
 
 
 @register("assert_positive", O.with_models(O.ASSERT_POSITIVE))
@@ -295,7 +299,7 @@ def assert_positive(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("assert_lag", O.with_models(O.assert_lag_sql()))
 def assert_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stable(C.assert_lag(star(spark, sf_dir)["fact_trips"]))
+    return stable(C.assert_lag(star(spark, sf_dir, write=False)["fact_trips"]))
 
 
 @register("null_counts", O.with_models(O.null_counts_sql()))
@@ -322,12 +326,62 @@ def verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.verdict(C.run_checks(models(spark, sf_dir)))
 
 
+def violating_models(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Models that break their checks: un-deduplicated trips as fact (25 miles short), cabs without one tier."""
+    from ridestar.sources.tables import write_table
+
+    ensure_utc(spark)
+    parsed = write_table(staging.parse_events(testdata.trip_bronze(spark, sf_dir)), scratch_path(spark, "parsed"))
+    stg = dedup_latest(parsed, ["trip_id"], staging.DEDUP_ORDER)
+    short = parsed.withColumn("distance_miles", F.col("distance_miles") - 25)
+    return {C.STG: stg, "fact_trips": core.fact_trips(short),
+            "dim_cabs": core.dim_cabs(stg.where("cab_tier <> 'R'"))}
+
+
+VIOLATED = {("unique", "fact_trips", "trip_id"), ("relationships", "fact_trips", "cab_key"),
+            ("expression_is_true", "fact_trips", "distance_miles")}
+
+
+def violated_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = violating_models(spark, sf_dir)
+    declared = [ck for ck in C.DECLARED_CHECKS if (ck.kind, ck.model, ck.column) in VIOLATED]
+    tests = [t for t in C.SINGULAR_TESTS
+             if t.name in ("assert_no_duplicate_trip_ids", "assert_accuracy_revenue_reconciliation")]
+    return C.run_checks(m, declared, tests)
+
+
+@register("checks_violated", O.with_violations(O.CHECKS_VIOLATED))
+def checks_violated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unique, relationship, expression, duplicate and reconciliation checks over models that break them."""
+    return violated_counts(spark, sf_dir).select("check_name", "failures", "status")
+
+
+@register("verdict_violated", O.with_violations(
+    "SELECT severity, status, count(*) AS checks, sum(failures)::BIGINT AS failing_rows "
+    f"FROM ({O.CHECKS_VIOLATED}) JOIN (SELECT check_name, severity FROM found) USING (check_name) GROUP BY severity, status"))
+def verdict_violated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict over models that break their checks: error-severity checks fail."""
+    return C.verdict(violated_counts(spark, sf_dir))
+
+
+@register("reconciliation_violated", O.with_violations(O.reconciled_sql("bad")))
+def reconciliation_violated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reconciliation row where the fact counts trips more than once."""
+    m = violating_models(spark, sf_dir)
+    return C.assert_reconciled(m[C.STG], m["fact_trips"])
+
+
+@register("duplicates_violated", O.with_violations("SELECT trip_id, count(*) AS duplicate_count FROM bad GROUP BY trip_id HAVING count(*) > 1"))
+def duplicates_violated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trip ids that the un-deduplicated fact holds more than once."""
+    return C.assert_no_duplicates(violating_models(spark, sf_dir)["fact_trips"])
+
+
 # ------------------------------------------------------------------ sources, sinks, stream, gates
 
 import datetime as _dt  # noqa: E402
 
 from ridestar.plans import gates as G  # noqa: E402
-from ridestar.session import scratch_path  # noqa: E402
 from ridestar.sources import bronze as B  # noqa: E402
 from ridestar.sources import csv as CSV  # noqa: E402
 from ridestar.sources import kafka as K  # noqa: E402
@@ -386,6 +440,24 @@ def quarantine_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bad.select("partition", "offset", "reject_reason")
 
 
+@register("quarantine_strict", O.QUARANTINE_STRICT)
+def quarantine_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages of known defects over all line items: glued objects, trailing text or comma, repeated keys,
+    a quoted number beside a brace, a brace too many, a missing id."""
+    ensure_utc(spark)
+    key = F.concat_ws("-", "l_orderkey", "l_linenumber").alias("k")
+    items = testdata.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", key)
+    text = F.expr(O.STRICT_TEXT)
+    bronze = items.select(F.lit(None).cast("string").alias("key"), text.alias("value"),
+                          F.col("l_linenumber").cast("int").alias("partition"), F.col("l_orderkey").cast("long").alias("offset"),
+                          F.current_timestamp().alias("kafka_timestamp"), F.current_timestamp().alias("ingestion_time"))
+    parsed = staging.parse_events(bronze, with_reason=True)
+    malformed = F.col("reject_reason").eqNullSafe("malformed_json")
+    return parsed.select(F.col("kafka_offset").alias("l_orderkey"),
+                         F.col("kafka_partition").cast("long").alias("l_linenumber"), "reject_reason",
+                         F.when(~malformed, F.col("price")).alias("price"))
+
+
 @register("backlog", O.BACKLOG)
 def backlog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Retained messages per topic partition (offset range), the readiness gate's input."""
@@ -427,12 +499,30 @@ def stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stable(b.select("key", "partition", "offset", "kafka_timestamp", _event_id_from().alias("event_id")))
 
 
-@register("file_freshness")
+@register("file_freshness", O.FILE_FRESHNESS)
 def file_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bronze Parquet files written within the last 15 minutes (listing only; rows-only check)."""
+    """Rows in bronze files written within the last 15 minutes, by the true clock and by one an hour ahead."""
     ensure_utc(spark)
     data = _stream_to_bronze(spark, sf_dir)
-    return G.fresh_files(spark, data).select(F.lit(1).alias("fresh_file"), "length")
+    later = _dt.datetime.now(_dt.timezone.utc) + _dt.timedelta(hours=1)
+
+    def rows(clock: str, now: _dt.datetime | None) -> DataFrame:
+        return G.fresh_rows(spark, data, now=now).agg(F.count(F.lit(1)).alias("fresh_rows")).select(
+            F.lit(clock).alias("clock"), "fresh_rows")
+
+    return rows("now", None).unionByName(rows("an hour later", later))
+
+
+@register("retained_partitions", O.RETAINED)
+def retained_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last 7 ingest dates of an archive partitioned by date, written anew without the expired ones."""
+    ensure_utc(spark)
+    b = K.to_bronze(testdata.event_topic(spark, sf_dir)).withColumn("ingestion_time", F.col("kafka_timestamp"))
+    archive = TB.write_table(B.with_ingest_date(b), path := scratch_path(spark, "archive"), partition_by=[B.PARTITION_COLUMN])
+    assert B.PARTITION_COLUMN in archive.columns
+    today = _dt.datetime.fromisoformat(RETENTION_NOW).date()
+    kept = B.retain_partitions(spark, path, scratch_path(spark, "retained"), TOPIC_RETENTION_DAYS, today)
+    return kept.select("partition", "offset", B.PARTITION_COLUMN)
 
 
 @register("refresh_count", O.REFRESH_COUNT)
@@ -440,7 +530,7 @@ def refresh_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row count of the bronze table read afresh after the stream wrote it."""
     ensure_utc(spark)
     data = _stream_to_bronze(spark, sf_dir)
-    return spark.createDataFrame([(G.refresh_and_count(spark, data),)], "total_rows long")
+    return G.refresh_and_count(spark, data)
 
 
 @register("bronze_compaction", O.EVENT_ENVELOPE)
@@ -457,7 +547,8 @@ _KEY_TO_COLUMN = {f.key: f.column for f in PAYLOAD_FIELDS}
 
 
 def _write_trip_csv(spark: SparkSession, sf_dir: str, files: int | None = None) -> str:
-    """Trip rows as raw CSV text: NA / NaN tokens for missing numbers, padded text fields."""
+    """Trip rows as raw CSV text: columns in another order, NA / NaN tokens for missing numbers, text fields padded
+    with blanks, tabs and line breaks, and a text with quotes and a line break within."""
     rows = testdata.trip_rows(spark, sf_dir)
     numeric = set(CSV.NUMERIC_CSV_COLUMNS)
     rendered = []
@@ -468,16 +559,18 @@ def _write_trip_csv(spark: SparkSession, sf_dir: str, files: int | None = None)
         elif k in numeric or k in ("hour", "day", "month"):
             txt = F.coalesce(c.cast("string"), F.lit("NA"))
         elif k in ("short_summary", "long_summary"):
-            txt = F.concat(F.lit("  "), c, F.lit(" "))
+            txt = F.concat(F.lit(" \t "), c, F.lit(" \n"))
+        elif k == "product_id":
+            txt = F.concat(c, F.lit(' "so\ncalled"'))
         else:
             txt = c
         rendered.append(txt.alias(k))
-    out = rows.select(*rendered)
+    out = rows.select(*rendered[::-1])
     if files:
         out = out.repartition(files)
     path = scratch_path(spark, "csv")
     (out.write.option("header", "true").option("ignoreLeadingWhiteSpace", "false")
-     .option("ignoreTrailingWhiteSpace", "false").option("nullValue", "").csv(path))
+     .option("ignoreTrailingWhiteSpace", "false").option("nullValue", "").option("escape", '"').csv(path))
     return path
 
 
@@ -486,7 +579,7 @@ def clean_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trip rows written as raw CSV text (NA/NaN tokens, padded text), read back as strings and cleaned."""
     ensure_utc(spark)
     path = _write_trip_csv(spark, sf_dir)
-    cleaned = CSV.clean_columns(CSV.read_trips_csv(spark, path))
+    cleaned = CSV.clean_columns(CSV.read_trips_csv(spark, path, _CSV_KEYS, multi_line=True))
     return cleaned.select(*[F.col(f"`{k}`").alias(_KEY_TO_COLUMN[k]) for k in _CSV_KEYS])
 
 
@@ -534,17 +627,32 @@ def check_results_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.results_from_store(spark, base, m)
 
 
-@register("producer_stream", O.with_models(O.PRODUCER_STREAM))
-def producer_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trip CSV files streamed through the producer (clean, stamp, key, JSON) into topic files."""
-    from ridestar.functions.json import json_double, json_string
+def _produce(spark: SparkSession, sf_dir: str) -> str:
     from ridestar.streaming.producer import start_producer_files
 
     ensure_utc(spark)
     csv_dir = _write_trip_csv(spark, sf_dir, files=4)
     topic = scratch_path(spark, "produced")
-    q = start_producer_files(spark, csv_dir, list(_CSV_KEYS), topic, scratch_path(spark, "producer_ck"))
+    q = start_producer_files(spark, csv_dir, list(_CSV_KEYS), topic, scratch_path(spark, "producer_ck"), multi_line=True)
     q.awaitTermination()
+    return topic
+
+
+@register("producer_backlog", O.with_models(O.PRODUCER_BACKLOG))
+def producer_backlog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages by the offsets that the producer gave: as many as trip rows, each offset once, from 0."""
+    topic = spark.read.parquet(_produce(spark, sf_dir))
+    n = G.backlog(topic).agg(F.sum("messages").alias("messages"), F.min("low").cast("int").alias("lowest_offset"))
+    distinct = topic.select("partition", "offset").distinct().agg(F.count(F.lit(1)).alias("distinct_offsets"))
+    return combine_single_rows(n, distinct).select("messages", "distinct_offsets", "lowest_offset")
+
+
+@register("producer_stream", O.with_models(O.PRODUCER_STREAM))
+def producer_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trip CSV files streamed through the producer (clean, stamp, key, JSON) into topic files."""
+    from ridestar.functions.json import json_double, json_string
+
+    topic = _produce(spark, sf_dir)
     msgs = spark.read.parquet(topic).select(F.col("key").cast("string").alias("key"),
                                             F.try_parse_json(F.col("value").cast("string")).alias("v"))
     v = F.col("v")

@@ -37,9 +37,9 @@ def local_session(cpus: int | str = "*", app: str = "ridestar", memory: str | No
 def work_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and scratch tables.
 
-    Reads ``spark.checkpoint.dir`` (set by the cluster); when unset, creates a
-    fresh local folder and registers it as checkpoint dir, which is only right
-    for local runs and tests.
+    Reads ``spark.checkpoint.dir`` (set by the cluster). When it is unset, a local
+    session (one JVM) gets a fresh local folder; on any other master each executor would
+    write to its own disk, so that is an error.
     """
     try:
         sc = spark.sparkContext
@@ -58,6 +58,8 @@ def work_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder shared by all executors")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="ridestar-"))
     return sc.getCheckpointDir().rstrip("/")
 
@@ -74,6 +76,12 @@ def ensure_utc(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+def allow_repeated_keys(spark: SparkSession) -> None:
+    """Of repeated JSON keys the last value counts in variant parses too, as in typed ones."""
+    if spark.conf.get("spark.sql.variant.allowDuplicateKeys", "false") != "true":
+        spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+
+
 def strip_file_scheme(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
@@ -82,6 +90,7 @@ def is_local_path(path: str) -> bool:
     return path.startswith("/") or path.startswith("file:") or os.path.isabs(path)
 
 
+# Spark's default spark.sql.sources.bucketing.maxBuckets: a bound of Spark, not a choice of ours.
 MAX_BUCKETS = 100_000
 
 # Target bytes per shuffle partition when sizing a run from its input (AQE coalesces below this).

@@ -85,7 +85,13 @@ def apply_retention(df: DataFrame, ts_col: str, days: int, now: _dt.datetime | N
     return df.where(F.col(ts_col) >= ref - F.make_dt_interval(days=F.lit(days)))
 
 
-def retain_partitions(spark: SparkSession, path: str, days: int, today: _dt.date | None = None) -> DataFrame:
-    """Bronze restricted to the last ``days`` ingest dates (partition pruning, no row scan of old data)."""
-    today = today or _dt.datetime.now(_dt.timezone.utc).date()
-    return read_bronze(spark, path, since=today - _dt.timedelta(days=days))
+def first_kept(days: int, today: _dt.date | None = None) -> _dt.date:
+    """The first of the last ``days`` dates, today's included."""
+    return (today or _dt.datetime.now(_dt.timezone.utc).date()) - _dt.timedelta(days=days - 1)
+
+
+def retain_partitions(spark: SparkSession, path: str, out: str, days: int, today: _dt.date | None = None) -> DataFrame:
+    """The last ``days`` ingest dates of bronze, written to ``out`` (expired partitions are not even listed for reading)."""
+    kept = read_bronze(spark, path, since=first_kept(days, today))
+    kept.write.mode("overwrite").partitionBy(PARTITION_COLUMN).parquet(out)
+    return spark.read.parquet(out)

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridestar.session import work_dir
+from ridestar.session import MAX_BUCKETS
 
 
 def register_view(df: DataFrame, name: str) -> DataFrame:
@@ -17,9 +19,6 @@ def register_view(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
-MAX_BUCKETS = 100_000   # Spark's default spark.sql.sources.bucketing.maxBuckets
-
-
 def bucket_count(spark: SparkSession) -> int:
     """Buckets for a table written right after a shuffle: the shuffle partition count, capped.
 
@@ -66,30 +65,69 @@ def align_columns(old: DataFrame, new: DataFrame) -> DataFrame:
     ])
 
 
+def _file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of ``path`` and the path, for renames that Spark's readers and writers do not offer."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop
+
+
+def replace_table(spark: SparkSession, staged: str, path: str) -> None:
+    """Put the whole table at ``staged`` in the place of ``path`` by renames.
+
+    The old table is kept aside until the new one is in place, so a crash leaves at least one whole table;
+    ``read_table`` finishes what a crash left undone.
+    """
+    fs, new = _file_system(spark, staged)
+    _, now = _file_system(spark, path)
+    _, old = _file_system(spark, _aside(path))
+    fs.delete(old, True)
+    if fs.exists(now) and not fs.rename(now, old):
+        raise OSError(f"{path} could not be put aside")
+    if not fs.rename(new, now):
+        raise OSError(f"{staged} could not be renamed to {path}")
+    fs.delete(old, True)
+
+
+def _aside(path: str) -> str:
+    return f"{path.rstrip('/')}__previous"
+
+
+def recover_table(spark: SparkSession, path: str) -> None:
+    """After a crash between the two renames of ``replace_table``: the previous table is put back."""
+    fs, now = _file_system(spark, path)
+    _, old = _file_system(spark, _aside(path))
+    if not fs.exists(now) and fs.exists(old):
+        fs.rename(old, now)
+
+
 def upsert(spark: SparkSession, df: DataFrame, path: str, key: Sequence[str] | str) -> DataFrame:
     """Incremental merge on a unique key, with ``sync_all_columns`` schema evolution.
 
+    * a key given twice in ``df`` is an error; NULL is a key like any other;
     * table missing: write it;
     * same columns and no key already present: plain append (no rewrite);
-    * otherwise: old rows whose key is not in ``df`` are aligned to ``df``'s
-      columns and unioned with ``df``; the result is checkpointed into the shared
-      checkpoint folder (so it no longer reads ``path``) and then overwrites
-      ``path``.
+    * otherwise: old rows whose key is not in ``df`` are aligned to ``df``'s columns and written
+      together with ``df`` beside the table, which is then replaced by renames. The table is whole at
+      every moment.
     """
     keys = [key] if isinstance(key, str) else list(key)
+    if df.groupBy(*keys).count().where("count > 1").limit(1).count():
+        raise ValueError(f"the rows to merge repeat a key {keys}")
+    recover_table(spark, path)
     old = read_table(spark, path)
     if old is None:
         df.write.mode("overwrite").parquet(path)
         return spark.read.parquet(path)
     same_schema = [(f.name, f.dataType) for f in old.schema.fields] == [(f.name, f.dataType) for f in df.schema.fields]
-    new_keys = df.select(*keys).distinct()
-    if same_schema and old.join(new_keys, keys, "left_semi").limit(1).count() == 0:
+    given = df.select(*[F.col(k).alias(f"__new_{k}") for k in keys])
+    same_key = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__new_{k}")) for k in keys])
+    if same_schema and old.join(given, same_key, "left_semi").limit(1).count() == 0:
         df.write.mode("append").parquet(path)
         return spark.read.parquet(path)
-    kept = align_columns(old.join(new_keys, keys, "left_anti"), df)
-    work_dir(spark)  # makes sure a checkpoint folder is set
-    merged = kept.unionByName(df).checkpoint(eager=True)
-    merged.write.mode("overwrite").parquet(path)
+    staged = f"{path.rstrip('/')}__staged_{uuid.uuid4().hex[:12]}"
+    align_columns(old.join(given, same_key, "left_anti"), df).unionByName(df).write.parquet(staged)
+    replace_table(spark, staged, path)
+    spark.catalog.refreshByPath(path)
     return spark.read.parquet(path)
 
 

@@ -12,12 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ridestar.functions.time import ntz_to_instant, wall_clock_text
-from ridestar.operators.joins import join_small
 from ridestar.spec import TOPIC_PARTITIONS
 
-# Dimension tables of TPC-H with a size fixed by the spec (25 nations); checked anyway.
-NATION_MAX_ROWS = 10_000
-
 TIMEZONE = "America/New_York"
 
 
@@ -38,9 +34,8 @@ def trip_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed trip rows (payload keys as columns) plus Kafka metadata columns.
 
     Join plan: lineitem and orders are both large and meet on the order key
-    (sort-merge or AQE's choice); part/customer/supplier are joined on their keys
-    and left to the planner (broadcast only under Spark's size threshold);
-    nation is size-checked before it is broadcast.
+    (sort-merge or AQE's choice); part/customer/supplier/nation are joined on their keys
+    and left to the planner (broadcast only under Spark's size threshold).
     """
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
@@ -60,8 +55,7 @@ def trip_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(part, F.col("l_partkey") == part.p_partkey)
         .join(supp, F.col("l_suppkey") == supp.s_suppkey)
     )
-    j = join_small(j, src_nation, "c_nationkey", max_rows=NATION_MAX_ROWS)
-    j = join_small(j, dst_nation, "s_nationkey", max_rows=NATION_MAX_ROWS)
+    j = j.join(src_nation, "c_nationkey").join(dst_nation, "s_nationkey")
 
     trip_dt = F.timestamp_add("HOUR", F.col("l_linenumber"), F.col("o_orderdate"))
     temperature = F.when(F.col("l_linenumber") == 6, F.lit(None).cast("double")).otherwise(

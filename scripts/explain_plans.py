@@ -16,7 +16,6 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def main() -> None:
     from ridestar.plans import checks as C
     from ridestar.plans import core, marts, quality, staging
-    from ridestar.plans.pipeline import DIM_BROADCAST_MAX_ROWS
     from ridestar.session import local_session
 
     wh = sys.argv[1].rstrip("/")
@@ -28,7 +27,7 @@ def main() -> None:
         "dim_cabs": core.dim_cabs(stg),
         "dim_locations": core.dim_locations(stg),
         "dim_weather": core.dim_weather(stg),
-        "mart_surge_analysis": marts.mart_surge_analysis(fact, t["dim_locations"], t["dim_cabs"], DIM_BROADCAST_MAX_ROWS),
+        "mart_surge_analysis": marts.mart_surge_analysis(fact, t["dim_locations"], t["dim_cabs"]),
         "mart_trip_trends": marts.mart_trip_trends(fact, t["dim_datetime"], t["dim_cabs"]),
         "dq_metrics": quality.dq_metrics(stg, fact),
         "relationships": C.check_counts(t | {C.STG: stg}, [c for c in C.DECLARED_CHECKS if c.kind == "relationships"][:1]),

@@ -23,7 +23,9 @@ def _ride(tid, **kw):
 def test_cab_key_null_and_empty_share_key(spark):
     stg = staging_rows(spark, [_ride("a", product_id=None), _ride("b", product_id="")])
     cabs = core.dim_cabs(stg).collect()
-    assert len(cabs) == 2 and len({r.cab_key for r in cabs}) == 1   # upstream parity: 2 rows, 1 key
+    assert [(r.cab_provider, r.product_id, r.cab_tier) for r in cabs] == [("Uber", "", "UberX")]   # one row per key
+    trips = marts.mart_trip_trends(core.fact_trips(stg), core.dim_datetime(stg), core.dim_cabs(stg)).collect()
+    assert [r.total_trips for r in trips] == [2]
 
 
 def test_null_neighbourhood_gives_null_key(spark):

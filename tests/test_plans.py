@@ -54,7 +54,7 @@ def warehouse(spark, tmp_path_factory):
 
 def test_mart_prunes_columns_and_broadcasts_small_dims(warehouse):
     t = warehouse.tables
-    text = plan(marts.mart_surge_analysis(t["fact_trips"], t["dim_locations"], t["dim_cabs"], 200_000))
+    text = plan(marts.mart_surge_analysis(t["fact_trips"], t["dim_locations"], t["dim_cabs"]))
     fact_schema = [ln for ln in text.splitlines() if ln.startswith("ReadSchema") and "trip_id" in ln][0]
     assert "kafka_offset" not in fact_schema and "temperature" not in fact_schema
     assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
@@ -80,16 +80,18 @@ def test_id_aggregates_on_bucketed_fact_need_no_shuffle(warehouse):
     assert "hashpartitioning" not in text                      # only the single-partition final exchange
 
 
-def test_broadcast_only_under_proven_bound(spark):
-    """With automatic broadcasts off, only the size-checked hint broadcasts, and only under the bound."""
-    from ridestar.operators.joins import join_small
+def test_registered_marts_read_pruned_staging_and_broadcast_by_size(spark):
+    from ridestar import queries as Q
 
-    big = spark.range(1000).withColumnRenamed("id", "k")
-    small = spark.range(50).withColumnRenamed("id", "k")
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        assert "BroadcastHashJoin" in plan(join_small(big, small, "k", max_rows=100))
-        assert "BroadcastHashJoin" not in plan(join_small(big, small, "k", max_rows=10))
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    text = plan(Q.REGISTRY["mart_surge_analysis"](spark, SF))
+    schemas = [ln for ln in text.splitlines() if ln.startswith("ReadSchema")]
+    assert schemas and all("pressure" not in ln and "kafka_offset" not in ln for ln in schemas)
+    assert "ExistingRDD" not in text
+    assert "GlobalLimit" not in text and "CartesianProduct" not in text
+
+
+def test_single_consumers_are_lazy_and_parse_once(spark):
+    from ridestar import queries as Q
+
+    for name in ("dim_cabs", "assert_lag"):
+        assert plan(Q.REGISTRY[name](spark, SF)).count("from_json(") == 1
