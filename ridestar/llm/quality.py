@@ -7,8 +7,8 @@ shown. With a class prior ``pi`` and a loss l, the risk of a scorer g is
 
 where U is unlabelled text. When the second term falls below zero the step goes the other
 way on that term alone (the non-negative correction). The prior is estimated from the
-same data: a plain positive-against-unlabelled scorer is fitted on one half, and on the other
-half pi is the least ratio of the shares of U and P above a threshold.
+same data: a plain positive-against-unlabelled scorer is fitted on one half and measured on the other,
+and pi is the least ratio of the shares of U and P above a threshold (mean of both halves).
 
 Features are shares of characters and of pairs of character classes, and the shape of words and
 lines, all from the text alone. The fit uses at most ``max_rows`` positives and ``max_rows``
@@ -128,17 +128,19 @@ def _against(p: np.ndarray, u: np.ndarray, steps: int, rate: float, ridge: float
     return w
 
 
-def estimate_prior(p: np.ndarray, u: np.ndarray, least_share: float = 0.3) -> float:
-    """Share of positives in U: the least of U(S) / P(S) over upper sets S that hold enough of P."""
-    half_p, half_u = len(p) // 2, len(u) // 2
-    if min(half_p, half_u) == 0:
+def estimate_prior(p: np.ndarray, u: np.ndarray, least_share: float = 0.75) -> float:
+    """Share of positives in U: the least of U(S) / P(S) over upper sets S that hold enough of P, by cross-fitting."""
+    if min(len(p), len(u)) < 4:
         return 0.5
-    w = _against(p[:half_p], u[:half_u], 200, 0.05, 1e-3)
-    sp, su = np.sort(p[half_p:] @ w), np.sort(u[half_u:] @ w)
-    at = np.quantile(sp, np.linspace(0.02, 1 - least_share, 40))
-    above_p = 1 - np.searchsorted(sp, at, side="left") / len(sp)
-    above_u = 1 - np.searchsorted(su, at, side="left") / len(su)
-    return float(np.clip(np.min(above_u / np.maximum(above_p, 1e-9)), 0.05, 0.98))
+    ratios = []
+    for side in (0, 1):   # fitted on one half, measured on the other
+        w = _against(p[side::2], u[side::2], 200, 0.05, 1e-3)
+        sp, su = np.sort(p[1 - side::2] @ w), np.sort(u[1 - side::2] @ w)
+        at = np.quantile(sp, np.linspace(0.02, 1 - least_share, 24))
+        above_p = 1 - np.searchsorted(sp, at, side="left") / len(sp)
+        above_u = 1 - np.searchsorted(su, at, side="left") / len(su)
+        ratios.append(above_u / np.maximum(above_p, 1e-9))
+    return float(np.clip(np.mean(ratios, axis=0).min(), 0.05, 0.98))
 
 
 def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float | None = None, steps: int = 400,
