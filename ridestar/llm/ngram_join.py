@@ -311,11 +311,24 @@ def _star_pairs(posts: DataFrame, classes: DataFrame, num: int, den: int) -> Dat
     return pairs.groupBy("c").agg(best).select(F.col("c").alias("a"), (-F.col("best.b")).alias("b"))
 
 
-def _cross_pairs(posts: DataFrame, classes: DataFrame, parts: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs of classes of different components that pass the multi-match, size and rank filters."""
+def hopeful(posts: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
+    """Postings that a link can rest on, with n, matches and ``m``, the number of the class's postings of lower rank.
+
+    A shingle of lower rank than a shared prefix shingle is shared only if it is in both prefixes, so the ``r - m``
+    ones that no other class has in its prefix are lost to every partner found here. Where that leaves less than the
+    least overlap the posting goes: of linked classes all shared prefix shingles stay.
+    """
     info = classes.select(F.col("c").alias("id"), "n", "matches")
+    place = Window.partitionBy("c").orderBy("r")
+    need = F.floor((F.col("n") * num + (den - 1)) / den).cast("long")
+    return (posts.withColumn("m", F.row_number().over(place) - 1).join(info, F.col("c") == F.col("id")).drop("id")
+            .where(F.col("n") - (F.col("r") - F.col("m")) >= need))
+
+
+def _cross_pairs(posts: DataFrame, parts: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs of classes of different components that pass the multi-match, size and rank filters."""
     part = parts.select(F.col("node").alias("node"), "component")
-    rows = (posts.select("t", "c", "r").join(info, F.col("c") == F.col("id")).drop("id")
+    rows = (posts.select("t", "c", "r", "m", "n", "matches")
             .join(part, F.col("c") == F.col("node"), "left")
             .withColumn("part", F.coalesce("component", "c")).drop("node", "component"))
     mixed = (rows.groupBy("t").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high")
@@ -329,8 +342,11 @@ def _cross_pairs(posts: DataFrame, classes: DataFrame, parts: DataFrame, num: in
         need = F.floor((n * num + (den - 1)) / den).cast("long")
         return F.col(f"{side}.r") < n - need + F.col("x.matches")
 
+    # shared shingles up to this one: at most the fewer postings below it on either side, and itself
+    most = 1 + F.least("x.m", "y.m") + F.least(F.col("x.n") - F.col("x.r") - 1, F.col("y.n") - F.col("y.r") - 1)
     shared = (x.join(y, (F.col("x.t") == F.col("y.t")) & (F.col("x.part") != F.col("y.part")) & larger
-                     & (F.col("y.n") * den >= F.col("x.n") * num) & within("x") & within("y"))
+                     & (F.col("y.n") * den >= F.col("x.n") * num) & within("x") & within("y")
+                     & (most * (den + num) >= (F.col("x.n") + F.col("y.n")) * num))
               .groupBy(F.col("x.c").alias("a"), F.col("y.c").alias("b"))
               .agg(F.count(F.lit(1)).alias("k"), F.max("x.r").alias("ra"), F.max("y.r").alias("rb"),
                    F.first("x.n").alias("na"), F.first("y.n").alias("nb"), F.first("x.matches").alias("want")))
@@ -349,7 +365,7 @@ def near_classes(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) ->
                                              F.min("prefix").alias("prefix"))
     classes = written(reps.select(F.monotonically_increasing_id().alias("c"), "hi", "lo", "n", "matches", "prefix",
                                   "first.rep", "first.body", "first.id_key"), "near-classes")
-    posts = written(postings(classes), "near-postings")
+    posts = written(hopeful(postings(classes), classes, num, den), "near-postings")
 
     def links(pairs: DataFrame) -> DataFrame:
         """The pairs that link, verified on whole sets."""
@@ -360,7 +376,7 @@ def near_classes(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) ->
         return written(verified(pairs, sets, num, den), "near-links")
 
     parts = components(links(_star_pairs(posts, classes, num, den)))
-    more = links(_cross_pairs(posts, classes, parts, num, den))
+    more = links(_cross_pairs(posts, parts, num, den))
     # links of the second round join components of the first
     nodes = parts.select(F.col("node").alias("id"), "component")
     lifted = (more.join(nodes, F.col("a") == F.col("id"), "left").withColumn("a", F.coalesce("component", "a")).select("a", "b")
