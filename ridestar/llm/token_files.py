@@ -98,7 +98,8 @@ def library_table(path: str) -> UnitTable:
         def many(texts: list[str]) -> Iterator[bytes]:
             for i in range(0, len(texts), 4096):
                 for e in t.encode_batch_fast(texts[i:i + 4096], add_special_tokens=False):
-                    yield np.array(e.ids, dtype="<u4").tobytes()
+                    ids = e.ids
+                    yield struct.pack(f"<{len(ids)}I", *ids)
 
         _TABLES[path] = UnitTable(many)
     return _TABLES[path]
