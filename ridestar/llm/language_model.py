@@ -212,6 +212,18 @@ def build_filter(staged: DataFrame, order: int, bins: int, max_bytes: int) -> Fi
 
 # ------------------------------------------------------------------ exact word counts
 
+def pack_counts(counts: np.ndarray) -> bytes:
+    """Counts as one byte each; those of 255 and more follow as 64-bit integers."""
+    return np.minimum(counts, 255).astype(np.uint8).tobytes() + counts[counts >= 255].astype(np.int64).tobytes()
+
+
+def unpack_counts(data, n: int, at: int = 0) -> np.ndarray:
+    out = np.frombuffer(data, dtype=np.uint8, count=n, offset=at).astype(np.int64)
+    large = np.flatnonzero(out == 255)
+    out[large] = np.frombuffer(data, dtype=np.int64, count=len(large), offset=at + n)
+    return out
+
+
 def _distinct_words(t: Tokens) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(t.hashes, return_inverse=True)
 
@@ -227,20 +239,41 @@ def word_counts(staged: DataFrame, bins: int) -> DataFrame:
                 t = Tokens.of(rows.column(1))
                 h, back = _distinct_words(t)
                 train = ~rows.column(2).to_numpy(zero_copy_only=False)
-                n = np.bincount(back[train[t.doc]], minlength=len(h)).astype(np.uint32)
-                yield C.batch_of(list(C.records(name, B.bin_of(h, bins), bins, [h, n])))
+                n = np.bincount(back[train[t.doc]], minlength=len(h))
+                ends = np.searchsorted(B.bin_of(h, bins), np.arange(bins + 1))   # bins are ranges of the hash: sorted
+                yield C.batch_of([(name, b, np.uint32(z - a).tobytes() + h[a:z].tobytes() + pack_counts(n[a:z]))
+                                  for b, (a, z) in enumerate(zip(ends[:-1], ends[1:])) if z > a])
 
     def answer(batches):
         for b, sent in C.by_bin(batches):
-            parts = [C.split(d, [np.uint64, np.uint32]) for _, d in sent]
-            h, total = _combined([(k, n.astype(np.int64)) for k, n in parts])
-            out = [(c, b, total[np.searchsorted(h, k)].tobytes()) for (c, _), (k, _) in zip(sent, parts)]
+            parts = []
+            for _, d in sent:
+                n = int(np.frombuffer(d, dtype=np.uint32, count=1)[0])
+                parts.append((np.frombuffer(d, dtype=np.uint64, count=n, offset=4), unpack_counts(d, n, 4 + 8 * n)))
+            h, total = _combined(parts)
+            out = [(c, b, pack_counts(total[np.searchsorted(h, k)])) for (c, _), (k, _) in zip(sent, parts)]
             summary = np.array([total.sum(), np.count_nonzero(total)], dtype=np.int64)
             yield C.batch_of([*out, (-1, b, summary.tobytes())])
 
     return staged.mapInArrow(ask, C.PIECE).repartitionById(bins, "bin").mapInArrow(answer, C.PIECE)
 
 
+def token_probabilities(lm: Filter, t: Tokens, h: np.ndarray, back: np.ndarray, order: int, mu: float, n: int, v: int) -> np.ndarray:
+    """The model's probability of each token, given those before it; ``h[back]`` are the token hashes."""
+    last = lm.counts(mix(h * LANES[3, 0] + U64(1)))[back]   # of the token itself, looked up once per distinct word
+    p = (last + 1) / (n + v + 1)
+    if order > 1:   # the word before; at a document's start that is an end token, as the one before it in the chunk
+        before = np.empty_like(last)
+        before[1:] = last[:-1]
+        before[:1] = lm.counts(mix(END.reshape(1) * LANES[3, 0] + U64(1)))
+    for k in range(2, order + 1):
+        if k > 2:
+            before = lm.counts(t.contexts(k)[-1])
+        here = lm.counts(t.grams(k)[-1])
+        p = (np.minimum(here, before) + mu * p) / (before + mu)
+    return p
+
+
 SCORES = "held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
@@ -264,19 +297,13 @@ def lm_scores(docs: DataFrame, order: int = 2, mu: float = MU, max_bytes: int =
                 rows = C.opened(body)
                 t = Tokens.of(rows.column(1))
                 h, back = _distinct_words(t)
-                got = C.answers(reply, np.int64)
-                c = np.concatenate([got[b] for b in sorted(got)]) if got else np.zeros(0, dtype=np.int64)
-                c = c[back]
+                got = C.answers(reply, np.uint8)
+                sent = np.bincount(B.bin_of(h, bins), minlength=bins)
+                c = np.concatenate([unpack_counts(got[b], sent[b]) for b in sorted(got)])[back]
                 docs_here = len(t.count)
                 base = np.bincount(t.doc, np.log10((c + 1.0) / (n + 1 * (v + 1))), minlength=docs_here)
                 known = np.bincount(t.doc, c > 0, minlength=docs_here).astype(np.int64)
-                grams = t.grams(order)
-                below = lm.counts(grams[0])
-                p = (below + 1) / (n + v + 1)
-                for gram, context in zip(grams[1:], t.contexts(order)):
-                    here, before = lm.counts(gram), lm.counts(context)
-                    p = (np.minimum(here, before) + mu * p) / (before + mu)
-                total = np.bincount(t.doc, np.log10(p), minlength=docs_here)
+                total = np.bincount(t.doc, np.log10(token_probabilities(lm, t, h, back, order, mu, n, v)), minlength=docs_here)
                 yield pa.RecordBatch.from_arrays(
                     [rows.column(0), rows.column(2), pa.array(t.count, pa.int64()), pa.array(known),
                      pa.array(np.full(docs_here, n, dtype=np.int64)), pa.array(base), pa.array(total)],
