@@ -239,25 +239,32 @@ def _meta(check: Check) -> list[Column]:
             F.lit(check.column).cast("string").alias("column_name"), F.lit(check.severity).alias("severity")]
 
 
-def check_counts(models: Mapping[str, DataFrame], checks: Sequence[Check] = DECLARED_CHECKS) -> DataFrame:
-    """One row per check: check_name, model, column_name, severity, failures, status."""
+def check_counts(models: Mapping[str, DataFrame], checks: Sequence[Check] = DECLARED_CHECKS,
+                 tests: Sequence[SingularTest] = ()) -> DataFrame:
+    """One row per check: check_name, model, column_name, severity, failures, status.
+
+    All row-level conditions on a model, those of ``tests`` included, are counted in one scan of it.
+    """
     parts: list[DataFrame] = []
-    row_level: dict[str, list[Check]] = {}
+    row_level: dict[str, list[tuple[str, str, Column]]] = {}
     for ck in checks:
         if ck.kind in ROW_LEVEL:
-            row_level.setdefault(ck.model, []).append(ck)
+            label = f"'{ck.name}', '{ck.model}', '{ck.column}', '{ck.severity}'"
+            row_level.setdefault(ck.model, []).append((ck.name, label, _violation(ck)))
         else:
             parts.append(_failure_count(ck, models).select(*_meta(ck), "failures"))
-    for model, cks in row_level.items():
-        counted = models[model].agg(*[F.count_if(_violation(ck)).alias(f"c{i}") for i, ck in enumerate(cks)])
-        rows = ", ".join(
-            f"'{ck.name}', '{ck.model}', '{ck.column}', '{ck.severity}', c{i}" for i, ck in enumerate(cks))
+    for t in tests:
+        label = f"'{t.name}', '{t.model}', cast(null as string), '{t.severity}'"
+        row_level.setdefault(t.model, []).append((t.name, label, t.violation()))
+    for model, conditions in row_level.items():
+        counted = models[model].agg(*[F.count_if(c).alias(f"c{i}") for i, (_, _, c) in enumerate(conditions)])
+        rows = ", ".join(f"{label}, c{i}" for i, (_, label, _) in enumerate(conditions))
         parts.append(counted.select(F.expr(
-            f"stack({len(cks)}, {rows}) as (check_name, model, column_name, severity, failures)")))
+            f"stack({len(conditions)}, {rows}) as (check_name, model, column_name, severity, failures)")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    thresholds = {ck.name: (ck.error_if, ck.warn_if) for ck in checks}
+    thresholds = {ck.name: (ck.error_if, ck.warn_if) for ck in checks} | {t.name: ("!=0", "!=0") for t in tests}
     status = F.lit("pass")
     for spec in sorted(set(thresholds.values())):
         names = [n for n, t in thresholds.items() if t == spec]
@@ -298,16 +305,23 @@ def assert_no_duplicates(fact: DataFrame, key: str = "trip_id") -> DataFrame:
     return duplicates(fact, [key], "duplicate_count")
 
 
+def not_positive(column: str = "price") -> Column:
+    return F.col(column).isNull() | (F.col(column) <= 0)
+
+
 def assert_positive(stg: DataFrame, column: str = "price") -> DataFrame:
-    return stg.where(F.col(column).isNull() | (F.col(column) <= 0)).select(
-        "trip_id", column, "cab_provider", "cab_tier", "ingestion_time")
+    return stg.where(not_positive(column)).select("trip_id", column, "cab_provider", "cab_tier", "ingestion_time")
+
+
+def too_late(max_minutes: int = LAG_SLA_MINUTES) -> Column:
+    """TRUE where both times are known and lie more than ``max_minutes`` apart."""
+    return F.coalesce(minutes_between("kafka_timestamp", "ingestion_time") > max_minutes, F.lit(False))
 
 
 def assert_lag(fact: DataFrame, max_minutes: int = LAG_SLA_MINUTES) -> DataFrame:
-    lag = minutes_between("kafka_timestamp", "ingestion_time")
-    return fact.where(F.col("ingestion_time").isNotNull() & F.col("kafka_timestamp").isNotNull()
-                      & (lag > max_minutes)).select(
-        "trip_id", "kafka_timestamp", "ingestion_time", lag.alias("lag_minutes"))
+    return fact.where(too_late(max_minutes)).select(
+        "trip_id", "kafka_timestamp", "ingestion_time",
+        minutes_between("kafka_timestamp", "ingestion_time").alias("lag_minutes"))
 
 
 @dataclass(frozen=True)
@@ -316,6 +330,8 @@ class SingularTest:
     model: str
     severity: str
     rows: Callable[[Mapping[str, DataFrame]], DataFrame] = field(compare=False)
+    # the failing rows' condition, if the test is one on single rows of its model
+    violation: Callable[[], Column] | None = field(default=None, compare=False)
 
 
 # --- fixed values: singular tests and severities (no-duplicates is documented as error) ---
@@ -324,8 +340,8 @@ SINGULAR_TESTS: tuple[SingularTest, ...] = (
                  lambda m: assert_reconciled(m[STG], m["fact_trips"])),
     SingularTest("assert_completeness_critical_fields", STG, WARN, lambda m: assert_complete(m[STG])),
     SingularTest("assert_no_duplicate_trip_ids", "fact_trips", ERROR, lambda m: assert_no_duplicates(m["fact_trips"])),
-    SingularTest("assert_price_positive", STG, WARN, lambda m: assert_positive(m[STG])),
-    SingularTest("assert_timeliness_ingestion_lag", "fact_trips", WARN, lambda m: assert_lag(m["fact_trips"])),
+    SingularTest("assert_price_positive", STG, WARN, lambda m: assert_positive(m[STG]), not_positive),
+    SingularTest("assert_timeliness_ingestion_lag", "fact_trips", WARN, lambda m: assert_lag(m["fact_trips"]), too_late),
 )
 
 
@@ -346,7 +362,10 @@ def singular_counts(models: Mapping[str, DataFrame], tests: Sequence[SingularTes
 def run_checks(models: Mapping[str, DataFrame], checks: Sequence[Check] = DECLARED_CHECKS,
                tests: Sequence[SingularTest] = SINGULAR_TESTS) -> DataFrame:
     """Every declared check and singular test as one result table."""
-    return check_counts(models, checks).unionByName(singular_counts(models, tests))
+    by_row = [t for t in tests if t.violation]
+    out = check_counts(models, checks, by_row)
+    others = [t for t in tests if not t.violation]
+    return out.unionByName(singular_counts(models, others)) if others else out
 
 
 # ------------------------------------------------------------------ verdict
