@@ -25,7 +25,8 @@ from pyspark.sql import types as T
 
 from ridestar.functions.json import json_double, json_long, json_string, strict_variant
 from ridestar.operators.dedup import dedup_latest
-from ridestar.session import allow_repeated_keys
+from ridestar.session import allow_repeated_keys, scratch_path
+from ridestar.sources.tables import read_table, write_table
 from ridestar.spec import DOUBLE, LONG, METADATA_COLUMNS, PAYLOAD_FIELDS, STRING
 
 _TYPED = "__typed"
@@ -127,3 +128,30 @@ def stg_events(bronze: DataFrame) -> DataFrame:
     """The staging model: parse, keep rows with an id, keep the latest row per trip_id."""
     parsed = parse_events(bronze).where(F.col("trip_id").isNotNull())
     return dedup_latest(parsed, ["trip_id"], DEDUP_ORDER)
+
+
+BUCKET = "bucket"
+
+
+def merge_increment(bronze: DataFrame, path: str, buckets: int) -> DataFrame:
+    """Staging kept by increments: ``bronze`` holds new messages only (some ingest dates, say).
+
+    The table at ``path`` is partitioned by a hash bucket of the trip id. New messages are parsed and reduced to the
+    latest per trip, merged with the rows of the buckets they fall in, and only those buckets are replaced. The
+    result is that of a full run over all messages so far, whatever the order of increments; a
+    repeated increment changes nothing. The merged buckets are written to the shared folder first, so the table is
+    never read and replaced by one job.
+    """
+    spark = bronze.sparkSession
+    bucket = F.pmod(F.xxhash64("trip_id"), F.lit(buckets)).cast("int")
+    fresh = write_table(stg_events(bronze).withColumn(BUCKET, bucket), scratch_path(spark, "increment"))
+    touched = [r[BUCKET] for r in fresh.select(BUCKET).distinct().collect()]   # at most ``buckets`` numbers
+    old = read_table(spark, path)
+    merged = fresh
+    if old is not None:
+        both = old.where(F.col(BUCKET).isin(touched)).unionByName(fresh)
+        merged = write_table(dedup_latest(both, ["trip_id"], DEDUP_ORDER), scratch_path(spark, "merged"))
+    (merged.repartition(BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(BUCKET).parquet(path))
+    spark.catalog.refreshByPath(path)
+    return spark.read.parquet(path).drop(BUCKET)

@@ -21,6 +21,7 @@ from ridestar.operators.dedup import dedup_latest
 from ridestar.plans import core, marts, staging
 from ridestar.session import ensure_utc, scratch_path
 from ridestar.sources import testdata
+from ridestar.spec import STAGING_COLUMNS
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -158,6 +159,16 @@ def stg_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stable(staged(spark, sf_dir))
 
 
+@register("stg_incremental", O.with_models("SELECT * FROM stg"))
+def stg_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staging merged from two increments of messages, the later ones first: equal to the full run."""
+    ensure_utc(spark)
+    bronze = testdata.trip_bronze(spark, sf_dir)
+    path, late = scratch_path(spark, "staging"), F.col("offset") % 2 == 0
+    staging.merge_increment(bronze.where(late), path, buckets=8)
+    return stable(staging.merge_increment(bronze.where(~late), path, buckets=8).select(*STAGING_COLUMNS))
+
+
 # ------------------------------------------------------------------ single operators
 
 @register("dedup_latest", O.with_models(
