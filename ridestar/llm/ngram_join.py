@@ -16,10 +16,10 @@ Rounds. First each posting list proposes a star: its members against the least e
 links are contracted to components, so a large group of near copies is one node. Then pairs
 from different components that share a shingle are counted; a pair is verified if it has ``l`` matches
 and its sizes and last shared ranks still allow enough overlap. Pairs inside a component need no look:
-they cannot change it. Verified on whole sets, no pair is lost between components.
+they cannot change it. Verified on whole sets, no pair is lost between components. Sets travel to pairs of blocks of
+classes, once each, however many pairs two blocks have.
 
-Null texts are empty. Ties and repeated rows share a class. All joins are on hashed keys; sets
-that meet many partners are replicated over salted keys.
+Null texts are empty. Ties and repeated rows share a class. All joins are on hashed keys.
 """
 
 from __future__ import annotations
@@ -37,7 +37,7 @@ from ridestar.llm.words import LANES, U64, mix, pieces, text_column, windows, wo
 MAX_MATCHES = 4
 CELLS = 1 << 20
 BITS = 1 << 25
-SALT_ROWS = 256
+BLOCK = 64
 CELL = np.dtype([("cell", "<u4"), ("n", "<u4")])
 POSTING = np.dtype([("t", "<u8"), ("c", "<i8"), ("r", "<u4")])
 
@@ -263,30 +263,40 @@ def class_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
 
 
 def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs (a, b) whose sets link. ``b`` may meet any number of ``a``: its set goes to as many salted keys."""
-    load = pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / F.lit(SALT_ROWS)).cast("int").alias("salts"))
-    large = (sets.join(load, F.col("c") == F.col("b")).select(
-        F.col("b").alias("b2"), F.col("items").alias("items_b"), "salts",
-        F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt2")))
-    salted = (pairs.select("a", "b").join(load.withColumnRenamed("b", "b3"), F.col("b") == F.col("b3"))
-              .select("a", "b", F.pmod(F.xxhash64("a"), F.col("salts")).cast("int").alias("salt")))
-    both = (salted.join(sets.select(F.col("c").alias("a2"), F.col("items").alias("items_a")), F.col("a") == F.col("a2"))
-            .join(large, (F.col("b") == F.col("b2")) & (F.col("salt") == F.col("salt2")))
-            .select("a", "b", "items_a", "items_b"))
-
-    def check(batches):
-        for batch in batches:
-            keep = np.zeros(batch.num_rows, dtype=bool)
-            for i in range(batch.num_rows):
-                x, y = (np.frombuffer(batch.column(c)[i].as_buffer(), dtype="<u8") for c in (2, 3))
-                if len(x) > len(y):
-                    x, y = y, x
-                at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-                common = int(np.count_nonzero(y[at] == x))
-                keep[i] = den * common >= num * (len(x) + len(y) - common)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep))
-
-    return both.mapInArrow(check, "a long, b long")
+    """The pairs (a, b) whose sets link.
+
+    Sets travel to pairs of blocks, not to pairs: classes that one class is paired with most stand in a block of at
+    most about ``BLOCK`` classes with it, pairs go to the pair of their blocks, and each of the two blocks sends a set once.
+    """
+    sides = pairs.select(F.col("a").alias("c"), F.col("b").alias("hub")).union(pairs.select("b", F.col("b")))
+    hubs = sides.groupBy("c").agg(F.min("hub").alias("hub"))
+    load = hubs.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).alias("parts"))
+    blocks = written(hubs.join(load, "hub").select("c", F.xxhash64("hub", F.pmod(F.xxhash64("c"), F.col("parts"))).alias("block")),
+                     "near-blocks")
+
+    def block_of(side: str) -> DataFrame:
+        return blocks.select(F.col("c").alias(side), F.col("block").alias(f"block_{side}"))
+
+    dealt = written(pairs.join(block_of("a"), "a").join(block_of("b"), "b"), "near-dealt")
+    both = dealt.select(F.col("block_a").alias("one"), F.col("block_b").alias("two")).distinct()
+    ends = both.select("one", "two", F.col("one").alias("block")).union(both.where("one <> two").select("one", "two", "two"))
+    sent = ends.join(blocks, "block").join(sets, "c").select("one", "two", "c", "items")
+
+    def check(left: pa.Table, right: pa.Table) -> pa.Table:
+        at = {c: i for i, c in enumerate(right.column("c").to_pylist())}
+        items = [np.frombuffer(v.as_buffer(), dtype="<u8") for v in right.column("items").combine_chunks()]
+        a, b = left.column("a").to_pylist(), left.column("b").to_pylist()
+        keep = np.zeros(len(a), dtype=bool)
+        for i, (c, d) in enumerate(zip(a, b)):
+            x, y = items[at[c]], items[at[d]]
+            if len(x) > len(y):
+                x, y = y, x
+            place = np.minimum(np.searchsorted(y, x), len(y) - 1)
+            common = int(np.count_nonzero(y[place] == x))
+            keep[i] = den * common >= num * (len(x) + len(y) - common)
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())}).filter(pa.array(keep))
+
+    return dealt.groupBy("block_a", "block_b").cogroup(sent.groupBy("one", "two")).applyInArrow(check, "a long, b long")
 
 
 def _enough(k: str, ra: str, rb: str, na: str, nb: str, num: int, den: int) -> Column:
