@@ -35,10 +35,10 @@ from ridestar.llm.space import stay, written
 from ridestar.llm.words import LANES, U64, mix, pieces, text_column, windows, words_of
 
 MAX_MATCHES = 4
-CELLS = 1 << 20
+CELLS = 1 << 22
+STEPS = 6
 BITS = 1 << 25
 BLOCK = 64
-CELL = np.dtype([("cell", "<u4"), ("n", "<u4")])
 POSTING = np.dtype([("t", "<u8"), ("c", "<i8"), ("r", "<u4")])
 
 
@@ -65,9 +65,13 @@ def shingles(column: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def frequency_sketch(docs: DataFrame, k: int, cells: int = CELLS) -> np.ndarray:
-    """Shingle counts of all texts by hash cell: ``cells`` numbers, whatever the size of the corpus."""
-    spark = docs.sparkSession
-    n = B.bin_count(spark)
+    """Logarithmic shingle counts of all texts by hash cell: ``cells`` bytes, whatever the size of the corpus.
+
+    A task counts up to 255 a cell; bins (ranges of cells) add the tasks' counts and return ``STEPS`` levels per
+    doubling.
+    """
+    n = B.bin_count(docs.sparkSession)
+    ends = np.arange(n + 1) * cells // n
 
     def count(batches):
         total = np.zeros(cells, dtype=np.int64)
@@ -75,27 +79,28 @@ def frequency_sketch(docs: DataFrame, k: int, cells: int = CELLS) -> np.ndarray:
             column = text_column(batch.column(0))
             for i, j in pieces(column):
                 h, _ = shingles(column[i:j], k)
-                total += np.bincount((h & U64(cells - 1)).astype(np.int64), minlength=cells)
-        at = np.flatnonzero(total)
-        records = np.zeros(len(at), dtype=CELL)
-        records["cell"], records["n"] = at, np.minimum(total[at], 0xFFFFFFFF)
-        yield B.packed(records, (at * n // cells).astype(np.int32), n)
+                at, times = np.unique((h & U64(cells - 1)).astype(np.int64), return_counts=True)
+                total[at] += times
+        small = np.minimum(total, 255).astype(np.uint8)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.arange(n), pa.int32()), pa.array([small[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:])], pa.binary())],
+            names=["bin", "data"])
 
     def merge(batches):
-        got = B.unpacked(batches, CELL)
-        if len(got):
-            cell, where = np.unique(got["cell"], return_inverse=True)
-            out = np.zeros(len(cell), dtype=CELL)
-            out["cell"] = cell
-            out["n"] = np.minimum(np.bincount(where, got["n"].astype(float)), 0xFFFFFFFF)
-            yield pa.RecordBatch.from_arrays([pa.array([0], pa.int32()), pa.array([out.tobytes()], pa.binary())],
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for b, v in zip(batch.column(0).to_pylist(), batch.column(1)):
+                part = np.frombuffer(v.as_buffer(), dtype=np.uint8)
+                sums[b] = sums.get(b, np.zeros(len(part), dtype=np.int64)) + part
+        for b, total in sums.items():
+            level = np.minimum(255, np.log2(np.maximum(total, 1)) * STEPS).astype(np.uint8)
+            yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([level.tobytes()], pa.binary())],
                                              names=["bin", "data"])
 
-    sums = B.dealt(docs.select("text").mapInArrow(count, B.SCHEMA), n).mapInArrow(merge, B.SCHEMA)
-    sketch = np.zeros(cells, dtype=np.int64)
-    for value in sums.toArrow().column("data").to_pylist():
-        part = np.frombuffer(value, dtype=CELL)
-        sketch[part["cell"]] += part["n"]
+    found = B.dealt(docs.select("text").mapInArrow(count, B.SCHEMA), n).mapInArrow(merge, B.SCHEMA).toArrow()
+    sketch = np.zeros(cells, dtype=np.uint8)
+    for b, value in zip(found.column("bin").to_pylist(), found.column("data").to_pylist()):
+        sketch[ends[b]:ends[b + 1]] = np.frombuffer(value, dtype=np.uint8)
     return sketch
 
 
@@ -104,15 +109,16 @@ class Order:
 
     def __init__(self, sketch: np.ndarray):
         self.mask = U64(len(sketch) - 1)
-        self.level = np.minimum(255, np.log2(np.maximum(sketch, 1)) * 6).astype(np.uint64)
-        self.cost = np.maximum(sketch - np.median(sketch), 0).astype(np.float64)
+        self.level = sketch
+        count = np.exp2(np.arange(256) / STEPS)
+        self.cost_of = np.maximum(count - count[int(np.median(sketch))], 0)
 
     def keys(self, h: np.ndarray) -> np.ndarray:
         """64-bit keys: rare shingles small; a key identifies its shingle."""
-        return (self.level[(h & self.mask).astype(np.int64)] << U64(56)) | (h >> U64(8))
+        return (self.level[(h & self.mask).astype(np.int64)].astype(np.uint64) << U64(56)) | (h >> U64(8))
 
     def costs(self, h: np.ndarray) -> np.ndarray:
-        return self.cost[(h & self.mask).astype(np.int64)]
+        return self.cost_of[self.level[(h & self.mask).astype(np.int64)]]
 
 
 def least_overlap(n, num: int, den: int):
