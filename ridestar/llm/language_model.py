@@ -7,9 +7,11 @@ Filter. A count ``c`` is quantised to level ``1 + floor(log_b c)``; an n-gram of
 times, as (n-gram, 1) to (n-gram, q). A look-up probes (n-gram, 1), (n-gram, 2), ... until one
 is missing; the last one found gives the count, as the middle of its level. Counts
 are never under their level, and an error of ``d`` levels has the ``d``-th power of the filter's
-false-positive rate. The filter is made of one segment per hash bin, each sized by its own entries and
-at most ``max_bytes`` / bins, so the whole is bounded by ``max_bytes``; beyond that bound the rate
-of false positives rises, no n-gram is left out. The filter is broadcast.
+false-positive rate. The filter is made of one segment per hash bin, each of ``ENTRY_BITS`` per entry
+whatever the size of the corpus, so that rate does not rise with it. The segments are written to the shared
+folder and broadcast in groups of neighbouring bins of at most ``max_bytes`` each (one segment at least: the
+number of bins is to be sized to the data). Chunks are scored with the last group; each group before it is a pass
+over the chunks, which notes the levels of their distinct n-grams in its range, a byte each.
 
 Score. p1(w) = (c(w) + 1) / (N + V + 1) and, for each higher order,
 p(w | h) = (c(h w) + mu * p(w | shorter h)) / (c(h) + mu), with all counts from the filter and c(h w)
@@ -26,6 +28,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -111,11 +114,13 @@ def _probes(which: np.ndarray, key: np.ndarray, level, sizes: np.ndarray) -> tup
     return block, bits
 
 
-def segment(which: int, keys: np.ndarray, counts: np.ndarray, max_blocks: int) -> np.ndarray:
-    """The filter segment of one bin's n-grams."""
+def segment(which: int, keys: np.ndarray, counts: np.ndarray, max_blocks: int | None = None) -> np.ndarray:
+    """The filter segment of one bin's n-grams, sized by its entries (a bound raises the rate of false positives)."""
     levels = level_of(counts)
     entries = int(levels.sum())
-    size = max(1, min(max_blocks, -(-entries * ENTRY_BITS // 64)))
+    size = max(1, -(-entries * ENTRY_BITS // 64))
+    if max_blocks is not None:
+        size = min(size, max_blocks)
     out = np.zeros(size, dtype=np.uint64)
     sizes = np.uint64(size)
     alive = np.arange(len(keys))
@@ -132,29 +137,40 @@ def segment(which: int, keys: np.ndarray, counts: np.ndarray, max_blocks: int) -
 
 
 class Filter:
-    """Counts of n-grams from membership probes."""
+    """Counts of n-grams of bins ``first`` to ``last`` (exclusive; all unless given) from membership probes."""
 
-    def __init__(self, segments: dict[int, bytes], bins: int):
-        parts = [np.frombuffer(segments.get(b, b""), dtype=np.uint64) for b in range(bins)]
+    def __init__(self, segments: dict[int, bytes], bins: int, first: int = 0, last: int | None = None):
+        self.first, self.last = first, bins if last is None else last
+        parts = [np.frombuffer(segments.get(b, b""), dtype=np.uint64) for b in range(self.first, self.last)]
         self.sizes = np.array([max(1, len(p)) for p in parts], dtype=np.uint64)
         self.blocks = np.concatenate([p if len(p) else np.zeros(1, dtype=np.uint64) for p in parts])
         self.starts = np.concatenate([[0], np.cumsum(self.sizes)[:-1]]).astype(np.int64)
         self.bins = bins
 
-    def counts(self, grams: np.ndarray) -> np.ndarray:
-        """Estimated count of each n-gram hash (0: surely not there)."""
-        distinct, back = np.unique(grams, return_inverse=True)
+    def of(self, grams: np.ndarray) -> np.ndarray:
+        """Which n-gram hashes are of this filter's bins."""
+        which = B.bin_of(grams, self.bins)
+        return (which >= self.first) & (which < self.last)
+
+    def levels(self, distinct: np.ndarray) -> np.ndarray:
+        """Level of each n-gram hash, all of this filter's bins (0: surely not there)."""
         which, key = keys_of(distinct, self.bins)
-        found = np.zeros(len(distinct), dtype=np.int64)
+        found = np.zeros(len(distinct), dtype=np.uint8)
         alive = np.arange(len(distinct))
         level = 0
         while len(alive) and level < len(LEVELS):
             level += 1
             w = which[alive]
-            block, bits = _probes(w, key[alive], np.full(len(alive), level), self.sizes[w])
-            alive = alive[self.blocks[self.starts[w] + block] & bits == bits]
+            at = w - self.first
+            block, bits = _probes(w, key[alive], np.full(len(alive), level), self.sizes[at])
+            alive = alive[self.blocks[self.starts[at] + block] & bits == bits]
             found[alive] = level
-        return _MIDDLE[found][back]
+        return found
+
+    def counts(self, grams: np.ndarray) -> np.ndarray:
+        """Estimated count of each n-gram hash (0: surely not there)."""
+        distinct, back = np.unique(grams, return_inverse=True)
+        return _MIDDLE[self.levels(distinct)][back]
 
 
 def _combined(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -167,8 +183,8 @@ def _combined(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, n
     return keys[first], np.add.reduceat(counts, first) if len(first) else counts
 
 
-def build_filter(staged: DataFrame, order: int, bins: int, max_bytes: int) -> Filter:
-    """Counts the n-grams of the training rows of ``staged`` (doc_id, text, held) and enters them."""
+def filter_segments(staged: DataFrame, order: int, bins: int) -> DataFrame:
+    """Counts the n-grams of the training rows of ``staged`` (doc_id, text, held) and enters them: (bin, data)."""
     kinds = [np.uint32, np.uint8, np.uint16]
 
     def send(parts):
@@ -204,10 +220,27 @@ def build_filter(staged: DataFrame, order: int, bins: int, max_bytes: int) -> Fi
         for b, sent in C.by_bin(batches):
             low, high, count = (np.concatenate(p) for p in zip(*(C.split(d, kinds) for _, d in sent)))
             key, total = _combined([((high.astype(np.uint64) << U64(32)) | low, count.astype(np.int64))])
-            yield C.batch_of([(0, b, segment(b, key, total, max(1, max_bytes // 8 // bins)).tobytes())])
+            yield C.batch_of([(0, b, segment(b, key, total).tobytes())])
+
+    sent = staged.mapInArrow(deal, C.PIECE).repartitionById(bins, "bin")
+    return written(sent.mapInArrow(enter, C.PIECE).select("bin", "data"), "filter")
+
 
-    rows = staged.mapInArrow(deal, C.PIECE).repartitionById(bins, "bin").mapInArrow(enter, C.PIECE).toArrow()
-    return Filter(dict(zip(rows.column("bin").to_pylist(), rows.column("data").to_pylist())), bins)
+def groups_of(sizes: dict[int, int], bins: int, max_bytes: int) -> list[tuple[int, int]]:
+    """Runs of bins (first, last exclusive) that cover all bins; segments of a run have ``max_bytes`` together, or it is one bin."""
+    out, first, held = [], 0, 0
+    for b in range(bins):
+        size = sizes.get(b, 0)
+        if b > first and held + size > max_bytes:
+            out.append((first, b))
+            first, held = b, 0
+        held += size
+    return [*out, (first, bins)]
+
+
+def load_filter(segments: DataFrame, bins: int, first: int, last: int) -> Filter:
+    rows = segments.where((F.col("bin") >= first) & (F.col("bin") < last)).toArrow()
+    return Filter(dict(zip(rows.column("bin").to_pylist(), (d.as_buffer() for d in rows.column("data")))), bins, first, last)
 
 
 # ------------------------------------------------------------------ exact word counts
@@ -258,18 +291,52 @@ def word_counts(staged: DataFrame, bins: int) -> DataFrame:
     return staged.mapInArrow(ask, C.PIECE).repartitionById(bins, "bin").mapInArrow(answer, C.PIECE)
 
 
-def token_probabilities(lm: Filter, t: Tokens, h: np.ndarray, back: np.ndarray, order: int, mu: float, n: int, v: int) -> np.ndarray:
-    """The model's probability of each token, given those before it; ``h[back]`` are the token hashes."""
-    last = lm.counts(mix(h * LANES[3, 0] + U64(1)))[back]   # of the token itself, looked up once per distinct word
+def grams_asked(t: Tokens, h: np.ndarray, order: int) -> list[np.ndarray]:
+    """The n-gram hashes a chunk looks up: its distinct tokens ``h``, the end token, then per order from 2 contexts (from 3) and n-grams."""
+    out = [mix(h * LANES[3, 0] + U64(1)), mix(END.reshape(1) * LANES[3, 0] + U64(1))]
+    for k in range(2, order + 1):
+        if k > 2:
+            out.append(t.contexts(k)[-1])
+        out.append(t.grams(k)[-1])
+    return out
+
+
+def probe(staged: DataFrame, model: Broadcast, order: int, name: int) -> DataFrame:
+    """For each chunk the levels of its distinct n-grams in the filter's bins, by hash, as an answer of bin ``name``."""
+
+    def ask(batches):
+        lm = model.value
+        for batch in batches:
+            for chunk, body in zip(batch.column(0).to_pylist(), batch.column(1)):
+                t = Tokens.of(C.opened(body).column(1))
+                grams = [g[lm.of(g)] for g in grams_asked(t, np.unique(t.hashes), order)]
+                yield C.batch_of([(chunk, name, lm.levels(np.unique(np.concatenate(grams))).tobytes())])
+
+    return written(staged.mapInArrow(ask, C.PIECE), "levels")
+
+
+def gram_counts(lm: Filter, asked: list[np.ndarray], before: np.ndarray) -> list[np.ndarray]:
+    """Counts of the n-grams of each array; ``before`` has the levels of the distinct ones in bins under the filter's."""
+    if lm.first == 0:
+        return [lm.counts(g) for g in asked]
+    distinct, back = np.unique(np.concatenate(asked), return_inverse=True)
+    counts = _MIDDLE[np.concatenate([before, lm.levels(distinct[len(before):])])][back]   # bins are ranges of the hash
+    return np.split(counts, np.cumsum([len(g) for g in asked])[:-1])
+
+
+def token_probabilities(found: list[np.ndarray], back: np.ndarray, order: int, mu: float, n: int, v: int) -> np.ndarray:
+    """The model's probability of each token, given those before it; ``found`` has the counts of ``grams_asked``."""
+    words, end, *found = found
+    last = words[back]   # of the token itself, looked up once per distinct word
     p = (last + 1) / (n + v + 1)
     if order > 1:   # the word before; at a document's start that is an end token, as the one before it in the chunk
         before = np.empty_like(last)
         before[1:] = last[:-1]
-        before[:1] = lm.counts(mix(END.reshape(1) * LANES[3, 0] + U64(1)))
+        before[:1] = end
     for k in range(2, order + 1):
         if k > 2:
-            before = lm.counts(t.contexts(k)[-1])
-        here = lm.counts(t.grams(k)[-1])
+            before, *found = found
+        here, *found = found
         p = (np.minimum(here, before) + mu * p) / (before + mu)
     return p
 
@@ -286,8 +353,16 @@ def lm_scores(docs: DataFrame, order: int = 2, mu: float = MU, max_bytes: int =
     replies = written(word_counts(staged, bins), "word-counts")
     summary = [np.frombuffer(r["data"], dtype=np.int64) for r in replies.where("chunk = -1").select("data").collect()]
     n, v = (int(x) for x in np.sum(summary, axis=0)) if summary else (0, 0)
-    model = spark.sparkContext.broadcast(build_filter(staged, order, bins, max_bytes))
-    counts = C.gathered(replies.where("chunk >= 0"), "counts")
+    segments = filter_segments(staged, order, bins)
+    sizes = {r["bin"]: r["n"] for r in segments.select("bin", F.octet_length("data").alias("n")).collect()}
+    *earlier, last = groups_of(sizes, bins, max_bytes)
+    replies = replies.where("chunk >= 0")
+    for g, (a, z) in enumerate(earlier):
+        part = spark.sparkContext.broadcast(load_filter(segments, bins, a, z))
+        replies = replies.unionByName(probe(staged, part, order, bins + g))
+        part.destroy()
+    model = spark.sparkContext.broadcast(load_filter(segments, bins, *last))
+    counts = C.gathered(replies, "counts")
     asked = staged.join(counts, F.col("chunk") == F.col("counts_chunk"), "left").select("chunk", "body", "counts")
 
     def score(batches):
@@ -299,11 +374,13 @@ def lm_scores(docs: DataFrame, order: int = 2, mu: float = MU, max_bytes: int =
                 h, back = _distinct_words(t)
                 got = C.answers(reply, np.uint8)
                 sent = np.bincount(B.bin_of(h, bins), minlength=bins)
-                c = np.concatenate([unpack_counts(got[b], sent[b]) for b in sorted(got)])[back]
+                c = np.concatenate([unpack_counts(got[b], sent[b]) for b in sorted(got) if b < bins])[back]
+                before = np.concatenate([np.zeros(0, dtype=np.uint8), *(got[b] for b in sorted(got) if b >= bins)])
+                found = gram_counts(lm, grams_asked(t, h, order), before)
                 docs_here = len(t.count)
                 base = np.bincount(t.doc, np.log10((c + 1.0) / (n + 1 * (v + 1))), minlength=docs_here)
                 known = np.bincount(t.doc, c > 0, minlength=docs_here).astype(np.int64)
-                total = np.bincount(t.doc, np.log10(token_probabilities(lm, t, h, back, order, mu, n, v)), minlength=docs_here)
+                total = np.bincount(t.doc, np.log10(token_probabilities(found, back, order, mu, n, v)), minlength=docs_here)
                 yield pa.RecordBatch.from_arrays(
                     [rows.column(0), rows.column(2), pa.array(t.count, pa.int64()), pa.array(known),
                      pa.array(np.full(docs_here, n, dtype=np.int64)), pa.array(base), pa.array(total)],

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from fixtures import SF, awkward, documents, empty, prose
 
-from ridestar.llm.language_model import (BASE, LEVELS, Filter, keys_of, level_of, lm_scores, segment)
+from ridestar.llm.language_model import (BASE, LEVELS, Filter, groups_of, keys_of, level_of, lm_scores, segment)
 from ridestar.llm.words import mix
 
 
@@ -108,6 +108,32 @@ def test_filter_never_underestimates_and_rarely_errs():
     assert len(small.blocks) == 500 and (small.counts(grams) >= low).all()
 
 
+@pytest.mark.parametrize("order", [1, 2, 3])
+def test_scores_do_not_depend_on_the_bytes_broadcast_at_once(spark, order):
+    df = documents(spark, prose(300, 4, vocabulary=120)).repartition(3)
+
+    def scores(**kw):
+        return {r.doc_id: r.score for r in lm_scores(df, order=order, **kw).collect()}
+
+    whole = scores()
+    for max_bytes in (1, 3000):   # a group per bin; a few groups
+        assert scores(max_bytes=max_bytes) == pytest.approx(whole, rel=1e-12)
+
+
+def test_groups_cover_all_bins_within_the_bound():
+    assert groups_of({}, 4, 10) == [(0, 4)]
+    assert groups_of({0: 6, 1: 4, 2: 1, 3: 30, 4: 2}, 6, 10) == [(0, 2), (2, 3), (3, 4), (4, 6)]
+
+
+def test_rate_of_false_positives_does_not_rise_with_entries():
+    rng = np.random.default_rng(4)
+    unseen = mix(rng.integers(0, 2**63, 100_000, dtype=np.uint64) | np.uint64(1 << 63))
+    for n in (10_000, 1_000_000):
+        key = np.unique(keys_of(mix(rng.integers(0, 2**63, n, dtype=np.uint64)), 1)[1])
+        f = Filter({0: segment(0, key, np.ones(len(key), dtype=np.int64)).tobytes()}, 1)
+        assert np.mean(f.counts(unseen) > 0) < 0.05
+
+
 def test_levels_are_powers_of_the_base():
     c = np.arange(1, 5000)
     assert (level_of(c) >= 1).all() and level_of(np.array([1]))[0] == 1
