@@ -2,7 +2,9 @@
 
 Base spans come from three patterns (assign, access, hex). The method adds ``random`` spans:
 
-* Tokens are maximal runs of ``[A-Za-z0-9+/=_-]`` of ``MIN_TOKEN`` characters or more. The
+* Tokens are maximal runs of ``[A-Za-z0-9+/_-]`` with the ``=`` that pad them, of ``MIN_TOKEN`` characters
+  or more: a ``=`` before another token character ends a name. The parts of a run between ``/`` that are long enough
+  are tokens too, each tested by itself; where a whole run is found its parts are not reported. The
   encoding is the smallest alphabet that holds the token: decimal, hexadecimal, base32,
   base36, base62, base64 (separators and padding aside).
 * Against prose (null hypothesis), whose symbol shares and rate of change between
@@ -45,7 +47,8 @@ HINTS = ("passw", "secret", "token", "api")
 
 MIN_TOKEN = 16
 ORDINARY = range(4, MIN_TOKEN)
-TOKEN = re.compile(rf"[A-Za-z0-9+/=_-]{{{MIN_TOKEN},}}")
+TOKEN = re.compile(r"[A-Za-z0-9+/_-]++(?:=++(?![A-Za-z0-9+/_-]))?")
+PART = re.compile(r"[^/]+")
 DIGITS = "0123456789"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ALPHABETS = [
@@ -196,6 +199,15 @@ class Scan:
             yield d, at, data[s:e].tobytes().decode("utf-8", "replace")
 
 
+def tokens_of(word: str) -> Iterator[list[tuple[int, str]]]:
+    """(offset, token) of each run of a long word: the run itself, then its parts between slashes."""
+    for m in TOKEN.finditer(word):
+        run, at = m[0], m.start()
+        if len(run) >= MIN_TOKEN:
+            parts = [(at + x.start(), x[0]) for x in PART.finditer(run) if MIN_TOKEN <= len(x[0]) < len(run)] if "/" in run else []
+            yield [(at, run), *parts]
+
+
 def assigned(text: str) -> list[tuple[int, int, int]]:
     low = text.lower()
     if not any(h in low for h in HINTS):
@@ -237,9 +249,9 @@ def prose_counts(docs: DataFrame) -> dict[int, int]:
                 total[PAIRS] += int(np.count_nonzero(pair))
                 total[SWITCH] += int(np.count_nonzero(pair & (kind[1:] != kind[:-1])))
                 for _, _, word in scan.long_words():
-                    for m in TOKEN.finditer(word):
-                        total[TOKENS] += 1
-                        total[TOKEN_CHARS] += m.end() - m.start()
+                    for tokens in tokens_of(word):
+                        total[TOKENS] += len(tokens)
+                        total[TOKEN_CHARS] += sum(len(t) for _, t in tokens)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_pydict({"k": pa.array(at, pa.int32()), "n": pa.array(total[at], pa.int64())})
 
@@ -256,8 +268,8 @@ def p_histogram(docs: DataFrame, prose: Prose) -> dict[int, int]:
             column = text_column(batch.column(0))
             for i, j in pieces(column):
                 for _, _, word in Scan(column[i:j]).long_words():
-                    for m in TOKEN.finditer(word):
-                        total[p_bin(m[0], prose)] += 1
+                    for tokens in tokens_of(word):
+                        total.update(p_bin(t, prose) for _, t in tokens)
         yield pa.RecordBatch.from_pydict({"b": pa.array(list(total), pa.int32()),
                                           "n": pa.array(list(total.values()), pa.int64())})
 
@@ -278,15 +290,16 @@ def secret_spans(docs: DataFrame, fdr: float = 0.01, alpha: float = 0.001) -> Da
             for i, j in pieces(column):
                 part = column[i:j]
                 spans = [assigned(t) for t in part.to_pylist()]
-                random: list[tuple[int, int, int]] = []
+                random: list[list[tuple[int, int, int]]] = []
                 for d, at, word in Scan(part).long_words():
                     spans[d] += fixed_spans(at, word)
-                    for m in TOKEN.finditer(word):
-                        if p_bin(m[0], prose) >= least and looks_random(m[0], alpha):
-                            random.append((d, at + m.start(), at + m.end()))
-                for d, s, e in random:   # a token that a base span touches is found already
-                    if not any(k < 3 and a < e and s < b for a, k, b in spans[d]):
-                        spans[d].append((s, 3, e))
+                    random += [[(d, at + s, at + s + len(t)) for s, t in tokens
+                                if p_bin(t, prose) >= least and looks_random(t, alpha)] for tokens in tokens_of(word)]
+                # a token that a base span touches is found already, as are the parts of a run that is found
+                for run in random:
+                    for d, s, e in run:
+                        if not any(a < e and s < b for a, _, b in spans[d]):
+                            spans[d].append((s, 3, e))
                 out += [[{"kind": KINDS[k], "start": s, "end": e} for s, k, e in sorted(x)] for x in spans]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(span))], names=["doc_id", "spans"])
 

@@ -6,7 +6,7 @@ import re
 from fixtures import SCHEMA, SF, awkward, documents, empty, prose
 
 from ridestar.llm.secrets import (BINS, Prose, digest_columns, encoding, looks_random, p_bin, prose_p, randomness,
-                                  secret_spans, threshold)
+                                  secret_spans, threshold, tokens_of)
 
 PROSE = Prose(0.08, 0.009, 0.017, 18.0)
 
@@ -71,6 +71,31 @@ def test_random_tokens_are_found_and_prose_is_left_alone(spark):
     assert not any(v for d, v in got.items() if d not in planted)
 
 
+def test_random_tokens_in_assignments_and_urls_are_found(spark):
+    rng = random.Random(9)
+    planted, texts = {}, prose(300, 6, vocabulary=3000)
+    shapes = ["AWS_ACCESS_KEY_ID_VALUE={}", "https://host.example/a?v=1&sig={}", "AccountKey={}==;Endpoint=x",
+              "https://hooks.example.com/services/incoming/webhooks/{}", "name=other=value={}"]
+    for i in range(0, 300, 6):
+        shape = shapes[i // 6 % len(shapes)]
+        token = random_token(rng, "hex", 24) if "/webhooks/" in shape else re.sub("[+/]", "x", random_token(rng, "base64", 30))
+        place = shape.format(token)
+        start = len(texts[i]) + 1 + place.index(token)
+        texts[i] = f"{texts[i]} {place} end"
+        planted[i + 1] = [(start, start + len(token) + 2 * ("==" in shape))]
+    got = {r.doc_id: [(s.start, s.end) for s in r.spans if s.kind == "random"] for r in secret_spans(documents(spark, texts)).collect()}
+    assert sum(any(a <= s and e <= b for a, b in got[d]) for d, [(s, e)] in planted.items()) >= 0.9 * len(planted)
+    assert not any(v for d, v in got.items() if d not in planted)
+
+
+def test_tokens_end_at_inner_equals_signs_and_have_parts():
+    a, b, c = "a" * 16, "b" * 20, "c" * 17
+    assert list(tokens_of(f"{a}={b}==;x={c}=")) == [[(0, a)], [(17, b + "==")], [(42, c + "=")]]
+    assert list(tokens_of(f"({a}==={b}")) == [[(1, a)], [(20, b)]]
+    assert list(tokens_of(f"x/{a}//{b}=")) == [[(0, f"x/{a}//{b}="), (2, a), (20, b + "=")]]
+    assert list(tokens_of("short=value/here")) == []
+
+
 def test_randomness_tests_hold_their_level():
     rng = random.Random(1)
     for kind, size in (("hex", 20), ("base64", 30), ("base32", 25)):
