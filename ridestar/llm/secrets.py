@@ -5,13 +5,14 @@ Base spans come from three patterns (assign, access, hex). The method adds ``ran
 * Tokens are maximal runs of ``[A-Za-z0-9+/_-]`` with the ``=`` that pad them, of ``MIN_TOKEN`` characters
   or more: a ``=`` before another token character ends a name. The parts of a run between ``/`` that are long enough
   are tokens too, each tested by itself; where a whole run is found its parts are not reported. The
-  encoding is the smallest alphabet that holds the token: decimal, hexadecimal, base32,
+  encoding is the smallest alphabet that holds the token: decimal, hexadecimal, one case of letters, base32,
   base36, base62, base64 (separators and padding aside).
 * Against prose (null hypothesis), whose symbol shares and rate of change between
   character classes are counted over the whole corpus: a chi-squared statistic (too even
   for prose, by its exact mean and variance under those shares) and a runs statistic (more
   runs of one class than prose has, by a Chernoff bound). Their Bonferroni combination
-  is the token's p-value.
+  is the token's p-value. A token of one class is weighed by its evenness alone, against prose's shares
+  within that class: digits, which prose has nearly even, need length or skewed prose to tell.
 * Over all tokens of the corpus a Benjamini-Hochberg procedure at rate ``fdr`` weighs
   p-values by token length (long tokens, whose tests have power, get more of the error
   budget; weights average one). It works on a histogram of p-values with fixed bins.
@@ -52,7 +53,8 @@ PART = re.compile(r"[^/]+")
 DIGITS = "0123456789"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ALPHABETS = [
-    ("decimal", DIGITS), ("hex", DIGITS + "abcdef"), ("hex", DIGITS + "ABCDEF"), ("base32", UPPER + "234567"),
+    ("decimal", DIGITS), ("hex", DIGITS + "abcdef"), ("hex", DIGITS + "ABCDEF"), ("upper", UPPER), ("lower", UPPER.lower()),
+    ("base32", UPPER + "234567"),
     ("base36", DIGITS + UPPER.lower()), ("base36", DIGITS + UPPER), ("base62", DIGITS + UPPER + UPPER.lower()),
     ("base64", DIGITS + UPPER + UPPER.lower() + "+/"), ("base64", DIGITS + UPPER + UPPER.lower() + "-_"),
     ("base64", DIGITS + UPPER + UPPER.lower() + "+/-_"),
@@ -75,6 +77,7 @@ class Prose:
     cube: float
     change: float
     mean_length: float
+    within: tuple[tuple[float, float], ...] = ()   # square and cube of the shares within digits, upper, lower
 
     @staticmethod
     def of(counts: dict[int, int]) -> Prose:
@@ -82,8 +85,13 @@ class Prose:
         shares = shares / max(shares.sum(), 1.0)
         change = (counts.get(SWITCH, 0) + 1) / (counts.get(PAIRS, 0) + 20)
         n = counts.get(TOKENS, 0)
+        within = []
+        for letters in (DIGITS, UPPER, UPPER.lower()):
+            x = np.array([counts.get(ord(c), 0) + 1 for c in letters], dtype=float)
+            x /= x.sum()
+            within.append((float((x**2).sum()), float((x**3).sum())))
         return Prose(float((shares**2).sum()), float((shares**3).sum()), min(change, 0.5),
-                     counts.get(TOKEN_CHARS, 0) / n if n else MIN_TOKEN)
+                     counts.get(TOKEN_CHARS, 0) / n if n else MIN_TOKEN, tuple(within))
 
 
 def lower_tail(z: float) -> float:
@@ -99,10 +107,13 @@ def prose_p(token: str, prose: Prose) -> float:
     n = len(token)
     codes = _CLASS[np.frombuffer(token.encode("ascii"), dtype=np.uint8)]
     changes = int(np.count_nonzero(codes[1:] != codes[:-1]))
-    if changes == 0:
-        return 1.0
     same = sum(c * (c - 1) for c in Counter(token).values())
     q, t = prose.square, prose.cube
+    if changes == 0:
+        if codes[0] == 4:   # signs only
+            return 1.0
+        if prose.within:
+            q, t = prose.within[codes[0] - 1]
     mean = n * (n - 1) * q
     var = 4 * n * (n - 1) * (n - 2) * t + 2 * n * (n - 1) * q - 2 * n * (n - 1) * (2 * n - 3) * q * q
     even = lower_tail((same - mean) / math.sqrt(var)) if var > 0 else 1.0

@@ -88,6 +88,17 @@ def test_random_tokens_in_assignments_and_urls_are_found(spark):
     assert not any(v for d, v in got.items() if d not in planted)
 
 
+def test_random_tokens_of_one_class_are_found(spark):
+    rng = random.Random(10)
+    texts = [f"{t} 2019 2020 Since THAT" for t in prose(300, 7, vocabulary=3000)]
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    for i, alphabet, n in ((20, letters, 200), (120, letters.upper(), 200), (220, "0123456789", 23)):   # 24 digits are a hex span
+        texts[i] += " " + "".join(rng.choice(alphabet) for _ in range(n))
+    texts += ["theseareallordinarywordsofproseputtogether", "2019202020192020201920202019"]
+    got = {r.doc_id: [s.end - s.start for s in r.spans if s.kind == "random"] for r in secret_spans(documents(spark, texts)).collect()}
+    assert {d: v for d, v in got.items() if v} == {21: [200], 121: [200], 221: [23]}
+
+
 def test_tokens_end_at_inner_equals_signs_and_have_parts():
     a, b, c = "a" * 16, "b" * 20, "c" * 17
     assert list(tokens_of(f"{a}={b}==;x={c}=")) == [[(0, a)], [(17, b + "==")], [(42, c + "=")]]
