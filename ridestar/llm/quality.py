@@ -94,6 +94,7 @@ class Model:
     weights: np.ndarray
     bias: float
     prior: float
+    fitted: bool = True
 
     def margins(self, x: np.ndarray) -> np.ndarray:
         return np.clip((x - self.mean) / self.scale, -5, 5) @ self.weights + self.bias
@@ -148,7 +149,7 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float | None = None
     """Minimises the non-negative risk with the logistic loss."""
     width = positive.shape[1]
     if len(positive) == 0 or len(unlabelled) == 0:
-        return Model(np.zeros(width), np.ones(width), np.zeros(width), 0.0, 0.5)
+        return Model(np.zeros(width), np.ones(width), np.zeros(width), 0.0, 0.5, False)
     both = np.vstack([positive, unlabelled])
     mean, scale = both.mean(0), np.maximum(both.std(0), 1e-3)
 
@@ -252,8 +253,14 @@ def quality_scores(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS)
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
-    """The rows of ``docs`` that the classifier accepts, all columns as they were."""
+    """The rows of ``docs`` that the classifier accepts, all columns as they were.
+
+    Without a positive label outside the held-out fold, or without an unlabelled row, nothing is fitted: every score is
+    0.5, which says nothing of a row, and all rows are kept.
+    """
     model = train(docs, labels, max_rows)
+    if not model.fitted:
+        return docs
     at = docs.columns.index("text")
 
     def choose(batches):

@@ -73,6 +73,14 @@ def test_few_or_no_labels(spark):
     assert quality_scores(docs, both).count() == 40
 
 
+def test_all_rows_stay_if_nothing_was_fitted(spark):
+    docs, labels = corpus(spark, 40)
+    assert sorted(keep_good(docs, labels.where("false")).collect()) == sorted(docs.collect())
+    every = docs.selectExpr("doc_id", "1 as quality", "0 as toxic")   # only rows of the held-out fold are without a label in use
+    learnt = docs.where(~held_out(F.col("doc_id")))
+    assert keep_good(learnt, every).count() == learnt.count()
+
+
 def test_bound_on_rows(spark):
     docs, labels = corpus(spark)
     model = train(docs, labels, max_rows=50)
