@@ -8,7 +8,8 @@ meets ``error_if``; a ``warn`` check (the default) warns when it meets
 ``warn_if``; both thresholds default to ``!= 0``.
 
 Scan plan for counting: all row-level checks (``not_null``,
-``expression_is_true``) of one model are counted in a single aggregate pass;
+``expression_is_true``) of one model are counted in a single aggregate pass, or
+with no pass at all while the model is written (``Observed``);
 each set-level check (``unique``, ``accepted_values``, ``relationships``) is one
 aggregation or anti join.
 """
@@ -19,7 +20,8 @@ import operator
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ridestar.functions.numeric import pct
@@ -239,21 +241,59 @@ def _meta(check: Check) -> list[Column]:
             F.lit(check.column).cast("string").alias("column_name"), F.lit(check.severity).alias("severity")]
 
 
+class Observed:
+    """Row-level checks counted by the jobs that write the models: they cost no scan of their own.
+
+    A task counts the rows it writes; a task that is run again counts once. ``watch`` a model's rows, write the result, then
+    read ``counts``.
+    """
+
+    def __init__(self, checks: Sequence[Check] = (), tests: Sequence[SingularTest] = ()):
+        self._conditions: dict[str, list[tuple[str, Column]]] = {}
+        for ck in checks:
+            if ck.kind in ROW_LEVEL:
+                self._conditions.setdefault(ck.model, []).append((ck.name, _violation(ck)))
+        for t in tests:
+            if t.violation:
+                self._conditions.setdefault(t.model, []).append((t.name, t.violation()))
+        self._watched: dict[str, Observation] = {}
+
+    def watch(self, model: str, df: DataFrame) -> DataFrame:
+        """``df`` as it is; writing it counts the failing rows of the model's row-level checks."""
+        conditions = self._conditions.get(model)
+        if not conditions:
+            return df
+        self._watched[model] = Observation()
+        return df.observe(self._watched[model], *[F.count_if(c).alias(f"c{i}") for i, (_, c) in enumerate(conditions)])
+
+    def counts(self) -> dict[str, int]:
+        """Failing rows by check name, of the models written so far."""
+        return {name: int(seen.get[f"c{i}"] or 0) for model, seen in self._watched.items()
+                for i, (name, _) in enumerate(self._conditions[model])}
+
+
 def check_counts(models: Mapping[str, DataFrame], checks: Sequence[Check] = DECLARED_CHECKS,
-                 tests: Sequence[SingularTest] = ()) -> DataFrame:
+                 tests: Sequence[SingularTest] = (), counted: Mapping[str, int] | None = None) -> DataFrame:
     """One row per check: check_name, model, column_name, severity, failures, status.
 
-    All row-level conditions on a model, those of ``tests`` included, are counted in one scan of it.
+    All row-level conditions on a model, those of ``tests`` included, are counted in one scan of it. ``counted``: failing rows
+    of checks that are known already, by name (see ``Observed``); a model all of whose row-level checks are known is not scanned.
     """
     parts: list[DataFrame] = []
     row_level: dict[str, list[tuple[str, str, Column]]] = {}
-    for ck in checks:
+    counted = counted or {}
+    known = [(ck.name, ck.model, ck.column, ck.severity, counted[ck.name]) for ck in checks if ck.name in counted]
+    known += [(t.name, t.model, None, t.severity, counted[t.name]) for t in tests if t.name in counted]
+    if known:
+        spark = next(iter(models.values())).sparkSession
+        parts.append(spark.createDataFrame(known, "check_name string, model string, column_name string, severity string, failures long"))
+    for ck in (ck for ck in checks if ck.name not in counted):
         if ck.kind in ROW_LEVEL:
             label = f"'{ck.name}', '{ck.model}', '{ck.column}', '{ck.severity}'"
             row_level.setdefault(ck.model, []).append((ck.name, label, _violation(ck)))
         else:
             parts.append(_failure_count(ck, models).select(*_meta(ck), "failures"))
-    for t in tests:
+    for t in (t for t in tests if t.name not in counted):
         label = f"'{t.name}', '{t.model}', cast(null as string), '{t.severity}'"
         row_level.setdefault(t.model, []).append((t.name, label, t.violation()))
     for model, conditions in row_level.items():
@@ -360,10 +400,10 @@ def singular_counts(models: Mapping[str, DataFrame], tests: Sequence[SingularTes
 
 
 def run_checks(models: Mapping[str, DataFrame], checks: Sequence[Check] = DECLARED_CHECKS,
-               tests: Sequence[SingularTest] = SINGULAR_TESTS) -> DataFrame:
-    """Every declared check and singular test as one result table."""
+               tests: Sequence[SingularTest] = SINGULAR_TESTS, counted: Mapping[str, int] | None = None) -> DataFrame:
+    """Every declared check and singular test as one result table; ``counted`` as in ``check_counts``."""
     by_row = [t for t in tests if t.violation]
-    out = check_counts(models, checks, by_row)
+    out = check_counts(models, checks, by_row, counted)
     others = [t for t in tests if not t.violation]
     return out.unionByName(singular_counts(models, others)) if others else out
 
@@ -457,14 +497,20 @@ def read_failures(spark, base: str, check: Check | SingularTest, models: Mapping
 
     base = base.rstrip("/")
     if isinstance(check, SingularTest):
-        return spark.read.parquet(f"{base}/{check.name}")
-    if check.kind in ROW_LEVEL:
+        place, schema = check.name, check.rows(models).schema
+    elif check.kind in ROW_LEVEL:
+        place = f"row_checks/{check.model}"
         schema = T.StructType(models[check.model].schema.fields + [T.StructField("check_name", T.StringType())])
-        df = spark.read.schema(schema).parquet(f"{base}/row_checks/{check.model}")
     else:
+        place = "set_checks"
         schema = T.StructType([T.StructField("value_field", T.StringType()), T.StructField("n_records", T.LongType()),
                                T.StructField("check_name", T.StringType())])
-        df = spark.read.schema(schema).parquet(f"{base}/set_checks")
+    try:
+        df = spark.read.schema(schema).parquet(f"{base}/{place}")
+    except AnalysisException:   # a run that found no such failures stored none
+        df = spark.createDataFrame([], schema)
+    if isinstance(check, SingularTest):
+        return df
     return df.where(F.col("check_name") == check.name).drop("check_name")
 
 

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ridestar.plans import checks as C
 from ridestar.plans import core, marts, quality, staging
+from ridestar.plans.silver import Silver
 from ridestar.session import input_bytes, size_shuffles
 from ridestar.sources.tables import Models, register_view, upsert, write_table
 
@@ -85,7 +86,7 @@ def run_pipeline(spark: SparkSession, bronze: DataFrame, base: str, key_mode: st
                  measured_at: _dt.datetime | None = None, store_failures: bool = True,
                  raise_on_error: bool = False, marts_as_views: bool = False,
                  bronze_path: str | None = None, table_prefix: str | None = None,
-                 threads: int = THREADS, checks: tuple = C.DECLARED_CHECKS) -> RunResult:
+                 threads: int = THREADS, checks: tuple = C.DECLARED_CHECKS, incremental: bool = False) -> RunResult:
     """Run every model once, in dependency order; staging and core are written tables.
 
     ``marts_as_views``: register the marts as temp views (computed when read)
@@ -94,6 +95,11 @@ def run_pipeline(spark: SparkSession, bronze: DataFrame, base: str, key_mode: st
     ``table_prefix + model`` (external, at ``base/model``); the default prefix is made
     from ``base``, so runs with different bases do not share tables. The quality mart of a run is written even
     if its checks fail and ``raise_on_error`` ends the run afterwards.
+
+    ``incremental``: staging is the table of ``plans.silver`` at ``base``, into which only those messages of ``bronze`` are merged
+    that no run before has covered, and the quality mart is merged from that table's stored states. The results are those
+    of a full run over all messages so far. Row-level checks are counted by the jobs that write the models (those of the
+    incremental staging by a scan, as a merge writes only what changed), and failing rows are stored only for checks that failed.
     """
     base = base.rstrip("/")
     if table_prefix is None:
@@ -103,11 +109,19 @@ def run_pipeline(spark: SparkSession, bronze: DataFrame, base: str, key_mode: st
         size_shuffles(spark, input_bytes(spark, bronze_path))
     m = define_models(bronze, key_mode)
 
+    seen = C.Observed(checks, C.SINGULAR_TESTS)
+
     def write(n: str) -> Callable[[], DataFrame]:
-        return lambda: write_table(m.ref(n), f"{base}/{n}", bucket_by=BUCKETED.get(n, ()),
+        return lambda: write_table(seen.watch(n, m.ref(n)), f"{base}/{n}", bucket_by=BUCKETED.get(n, ()),
                                    table=f"{table_prefix}{n}")
 
-    stg = run_level(r, "staging", {"staging": write(C.STG)}, threads)["staging"]
+    table = Silver(spark, f"{base}/{C.STG}") if incremental else None
+
+    def merge() -> DataFrame:
+        table.merge(bronze)
+        return table.read()
+
+    stg = run_level(r, "staging", {"staging": merge if incremental else write(C.STG)}, threads)["staging"]
     m.set(C.STG, stg)                        # dependents read the written table, not the plan
     r.tables[C.STG] = stg
     for n, df in run_level(r, "core", {n: write(n) for n in CORE_TABLES}, threads).items():
@@ -119,16 +133,15 @@ def run_pipeline(spark: SparkSession, bronze: DataFrame, base: str, key_mode: st
     else:
         r.tables.update(run_level(r, "marts", {n: write(n) for n in MART_TABLES}, threads))
     t = r.tables
+    results = _timed(r, "checks", lambda: write_table(
+        C.run_checks(t, checks, counted=seen.counts()), f"{base}/dq_check_results"))
     if store_failures:
-        # One pass over the models writes the failing rows; the counts are read back from that store.
-        store = f"{base}/dq_failures"
-        run_level(r, "store_failures", {"store_failures": lambda: C.write_failures(t, store, checks, threads=threads)}, 1)
-        counted = C.results_from_store(spark, store, t, checks)
-    else:
-        counted = C.run_checks(t, checks)
-    results = _timed(r, "checks", lambda: write_table(counted, f"{base}/dq_check_results"))
+        bad = {x.check_name for x in results.where("failures > 0").select("check_name").collect()}   # at most a name per check
+        run_level(r, "store_failures", {"store_failures": lambda: C.write_failures(
+            t, f"{base}/dq_failures", [ck for ck in checks if ck.name in bad],
+            [x for x in C.SINGULAR_TESTS if x.name in bad], threads=threads)}, 1)
     r.check_results = results
-    dq = quality.dq_metrics(t[C.STG], t["fact_trips"], measured_at)
+    dq = table.metrics(measured_at) if incremental else quality.dq_metrics(t[C.STG], t["fact_trips"], measured_at)
     r.tables["mart_data_quality_metrics"] = _timed(
         r, "mart_data_quality_metrics", lambda: upsert(spark, dq, f"{base}/mart_data_quality_metrics", "measured_at"))
     r.report = C.evaluate(results) if raise_on_error else _report(results)

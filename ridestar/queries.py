@@ -159,14 +159,64 @@ def stg_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stable(staged(spark, sf_dir))
 
 
-@register("stg_incremental", O.with_models("SELECT * FROM stg"))
+_STG_BUT_OFFSETS = O.with_models("SELECT * EXCLUDE (kafka_offset) FROM stg")
+
+
+def _numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trip messages with dense offsets, written once: increments of them are parts of one topic."""
+    from ridestar.sources.tables import write_table
+
+    ensure_utc(spark)
+    return write_table(testdata.trip_topic(spark, sf_dir), scratch_path(spark, "topic"))
+
+
+@register("stg_incremental", _STG_BUT_OFFSETS)
 def stg_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Staging merged from two increments of messages, the later ones first: equal to the full run."""
+    """Staging merged from increments, later messages first, some of them repeated, one empty: equal to the full run."""
+    from ridestar.plans.silver import Silver
+
+    topic, late = _numbered(spark, sf_dir), F.col("offset") % 2 == 0
+    table = Silver(spark, scratch_path(spark, "silver"))
+    for part in (topic.where(late), topic.where(~late | (F.col("partition") % 3 == 0)), topic.where("false")):
+        table.merge(part)
+    return stable(table.read().drop("kafka_offset"))
+
+
+@register("stg_stream", O.with_models("SELECT * EXCLUDE (kafka_offset, ingestion_time) FROM stg"))
+def stg_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staging merged by a stream, a micro-batch a file; the stream is started twice. Ingestion times are the run's own."""
+    from ridestar.plans.silver import Silver
+    from ridestar.sources.kafka import read_event_files
+    from ridestar.streaming.silver_job import start_silver
+
+    source, base, checkpoint = (scratch_path(spark, n) for n in ("messages", "silver", "checkpoint"))
+    (_numbered(spark, sf_dir).select(
+        F.col("key").cast("binary").alias("key"), F.col("value").cast("binary").alias("value"), F.lit("trips").alias("topic"),
+        "partition", "offset", F.col("kafka_timestamp").alias("timestamp"), F.lit(0).alias("timestampType"))
+     .repartition(3).write.parquet(source))
+    for _ in range(2):
+        start_silver(read_event_files(spark, source, 1), base, checkpoint).awaitTermination()
+    return stable(Silver(spark, base).read().drop("kafka_offset", "ingestion_time"))
+
+
+@register("new_trips", O.with_models(
+    "SELECT trip_id, NOT bool_or(kafka_timestamp < TIMESTAMP '1995-06-01') AS is_new FROM trips "
+    "GROUP BY trip_id HAVING bool_or(kafka_timestamp >= TIMESTAMP '1995-06-01')"))
+def new_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of a later increment against the filters of an earlier one: those without a hit are new, hits are looked up."""
+    from ridestar.plans.silver import PART, filter_hits, id_filters
+    from ridestar.sources.tables import write_table
+
     ensure_utc(spark)
-    bronze = testdata.trip_bronze(spark, sf_dir)
-    path, late = scratch_path(spark, "staging"), F.col("offset") % 2 == 0
-    staging.merge_increment(bronze.where(late), path, buckets=8)
-    return stable(staging.merge_increment(bronze.where(~late), path, buckets=8).select(*STAGING_COLUMNS))
+    rows = testdata.trip_rows(spark, sf_dir).select(
+        F.col("id").alias("trip_id"), "kafka_timestamp", F.pmod(F.xxhash64("id"), F.lit(16)).cast("int").alias("bucket"))
+    rows = write_table(rows, scratch_path(spark, "ids"))
+    before = instant_to_ntz("kafka_timestamp") < F.lit("1995-06-01").cast("timestamp_ntz")
+    old, ids = (rows.where(c).select("trip_id", "bucket").distinct() for c in (before, ~before))
+    filters = write_table(id_filters(old).withColumn(PART, F.lit("old")), scratch_path(spark, "filters"))
+    hits = filter_hits(ids, filters)
+    known = old.join(hits.select("trip_id"), "trip_id", "left_semi").select("trip_id", F.lit(True).alias("known"))
+    return ids.join(known, "trip_id", "left").select("trip_id", F.col("known").isNull().alias("is_new"))
 
 
 # ------------------------------------------------------------------ single operators
@@ -245,6 +295,21 @@ def dq_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stable(out, _REVENUE_ROUND)
 
 
+@register("dq_metrics_states", O.with_models(O.dq_metrics_sql(MEASURED_AT)))
+def dq_metrics_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality mart merged from the partial states of three increments; no row of staging is read for it."""
+    import datetime as _dt
+
+    from ridestar.plans.silver import Silver
+
+    topic = _numbered(spark, sf_dir)
+    table = Silver(spark, scratch_path(spark, "silver"))
+    year = F.year(instant_to_ntz("ingestion_time"))
+    for part in (year < 1994, year >= 1996, year.between(1994, 1995)):
+        table.merge(topic.where(part))
+    return stable(table.metrics(_dt.datetime.fromisoformat(MEASURED_AT)), _REVENUE_ROUND)
+
+
 # ------------------------------------------------------------------ checks
 
 from ridestar.operators.reshape import null_counts as _null_counts  # noqa: E402
@@ -329,6 +394,17 @@ def check_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.run_checks(models(spark, sf_dir))
 
 
+@register("check_results_observed", O.with_models(_ALL_CHECKS_SQL))
+def check_results_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All checks, the row-level ones counted by the jobs that write the models."""
+    from ridestar.sources.tables import write_table
+
+    m = models(spark, sf_dir)
+    seen = C.Observed(C.DECLARED_CHECKS, C.SINGULAR_TESTS)
+    kept = {n: write_table(seen.watch(n, m[n]), scratch_path(spark, n)) for n in (C.STG, *m) if n != "stg"}
+    return C.run_checks(kept, counted=seen.counts())
+
+
 @register("verdict", O.with_models(
     "SELECT severity, status, count(*) AS checks, CAST(coalesce(sum(failures), 0) AS BIGINT) AS failing_rows "
     f"FROM ({_ALL_CHECKS_SQL}) GROUP BY severity, status"))

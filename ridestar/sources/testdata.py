@@ -8,7 +8,7 @@ topic is derived from ``events``. Every view is lazy and grows with its inputs.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ridestar.functions.time import ntz_to_instant, wall_clock_text
@@ -127,6 +127,12 @@ def trip_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def trip_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``trip_bronze`` as a topic numbers its messages: the offsets of each partition are dense and in the order given."""
+    given = Window.partitionBy("partition").orderBy("offset", "kafka_timestamp", "value")
+    return trip_bronze(spark, sf_dir).withColumn("offset", F.row_number().over(given).cast("long"))
+
+
 def event_topic(spark: SparkSession, sf_dir: str, partitions: int = TOPIC_PARTITIONS) -> DataFrame:
     """The ``events`` table as a Kafka-like topic (binary key/value, partition, offset, timestamp).
 

@@ -124,3 +124,30 @@ def test_counts_from_store_equal_direct_counts(spark, tmp_dir):
     C.write_failures(m, tmp_dir, threads=3)
     stored = sorted(map(tuple, C.results_from_store(spark, tmp_dir, m).collect()), key=str)
     assert stored == direct
+
+
+def test_checks_are_counted_while_the_models_are_written(spark, tmp_dir):
+    m = _models(spark, [_ride("a"), _ride("a", kafka_offset=1), _ride("b", cab_provider=None, price=None),
+                        _ride("c", surge_multiplier=0.5, ingestion_time=ts(200)), _ride(None)])
+    del m["stg"]
+    seen = C.Observed(C.DECLARED_CHECKS, C.SINGULAR_TESTS)
+    kept = {}
+    for name, df in m.items():
+        seen.watch(name, df).write.parquet(f"{tmp_dir}/{name}")
+        kept[name] = spark.read.parquet(f"{tmp_dir}/{name}")
+    counted = seen.counts()
+    rows = [ck for ck in C.DECLARED_CHECKS if ck.kind in C.ROW_LEVEL]
+    by_row = [t for t in C.SINGULAR_TESTS if t.violation]
+    assert set(counted) == {x.name for x in rows + by_row} and sum(n > 0 for n in counted.values()) > 3
+    direct, free = C.check_counts(kept, rows, by_row), C.check_counts(kept, rows, by_row, counted)
+    assert sorted(map(tuple, free.collect()), key=str) == sorted(map(tuple, direct.collect()), key=str)
+    # a scan less for each model
+    scans = [d._jdf.queryExecution().optimizedPlan().toString().count("parquet") for d in (direct, free)]
+    assert scans == [len(m), 0]
+
+
+def test_a_store_without_failures_reads_as_empty(spark, tmp_dir):
+    m = _models(spark, [_ride("a")])
+    C.write_failures(m, tmp_dir, [], [])
+    assert all(C.read_failures(spark, tmp_dir, x, m).count() == 0
+               for x in (C.DECLARED_CHECKS[0], C.DECLARED_CHECKS[1], C.SINGULAR_TESTS[3]))

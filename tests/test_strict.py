@@ -44,17 +44,6 @@ def test_text_around_a_message_is_never_ignored(spark):
             assert got[i][1] == price, value
 
 
-def test_increments_equal_a_full_run(spark, tmp_dir):
-    rows = [('{"id":"t%d","price":%d}' % (i * 7 % 23, i), i % 2, i, ts(i * 5 % 31)) for i in range(120)]
-    path = os.path.join(tmp_dir, "stg")
-    for part in (rows[80:], rows[:30], rows[30:80], rows[:30]):   # out of order, one twice
-        got = staging.merge_increment(bronze(spark, part), path, buckets=4)
-    want = staging.stg_events(bronze(spark, rows)).select("trip_id", "price", "kafka_offset")
-    assert sorted(map(tuple, got.select("trip_id", "price", "kafka_offset").collect())) == sorted(map(tuple, want.collect()))
-    one = staging.merge_increment(bronze(spark, [('{"id":"new"}', 0, 500, ts(99))]), path, buckets=4)
-    assert one.count() == 24
-
-
 def _write_csv(path, header, rows):
     os.makedirs(os.path.dirname(path), exist_ok=True)
     with open(path, "w", newline="") as f:
