@@ -4,13 +4,14 @@ Sets. A document's set holds the hashes of its distinct k-word shingles (fewer w
 sequence as one; no words: empty, linked with nothing). Documents with equal sets form a class; one
 class stands for all its copies from then on.
 
-Order. Shingles are ordered rare first by a frequency sketch of fixed size counted over all texts
-(any common order gives right results; the sketch only makes prefixes selective).
+Order. Shingles are ordered rare first by their counts over all texts, which chunks of texts ask of hash bins
+(any common order gives right results; the counts only make prefixes selective). A shingle found once is in no other set:
+it takes its rank in the prefix and goes no further.
 
 Prefixes. Two sets that link share at least ``l`` shingles among their first
 ``n - ceil(t * n) + l`` ones. Each class picks its own ``l`` (1 to ``MAX_MATCHES``): a longer prefix costs
 longer posting lists, but asks for more shared shingles before a pair is verified; both costs are
-estimated from the sketch. A pair uses the ``l`` of its larger set.
+estimated from the counts. A pair uses the ``l`` of its larger set.
 
 Rounds. First each posting list proposes a star: its members against the least edited one. Verified
 links are contracted to components, so a large group of near copies is one node. Then pairs
@@ -26,19 +27,21 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ridestar.llm import bins as B
+from ridestar.llm import chunks as C
 from ridestar.llm.components import components
 from ridestar.llm.space import stay, written
 from ridestar.llm.words import LANES, U64, mix, pieces, text_column, windows, words_of
 
 MAX_MATCHES = 4
-CELLS = 1 << 22
+KEY_BITS = 40
 STEPS = 6
 BITS = 1 << 25
 BLOCK = 64
+PREFIX = np.dtype([("t", "<u8"), ("r", "<u4")])
 POSTING = np.dtype([("t", "<u8"), ("c", "<i8"), ("r", "<u4")])
 
 
@@ -64,61 +67,49 @@ def shingles(column: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
     return out, doc
 
 
-def frequency_sketch(docs: DataFrame, k: int, cells: int = CELLS) -> np.ndarray:
-    """Logarithmic shingle counts of all texts by hash cell: ``cells`` bytes, whatever the size of the corpus.
+def shingle_levels(staged: DataFrame, k: int) -> DataFrame:
+    """(chunk, bin, data): for each distinct shingle of a chunk in that bin, in order, the level of its count over all texts.
 
-    A task counts up to 255 a cell; bins (ranges of cells) add the tasks' counts and return ``STEPS`` levels per
-    doubling.
+    A chunk sends ``KEY_BITS`` bits of each shingle and its count there; the bins, ranges of the hash, add up the counts. Levels
+    are ``STEPS`` per doubling; a shingle found once has level 0.
     """
-    n = B.bin_count(docs.sparkSession)
-    ends = np.arange(n + 1) * cells // n
+    n = B.bin_count(staged.sparkSession)
+    kinds = [np.uint32, np.uint8, np.uint8]
 
-    def count(batches):
-        total = np.zeros(cells, dtype=np.int64)
-        for batch in batches:
-            column = text_column(batch.column(0))
-            for i, j in pieces(column):
-                h, _ = shingles(column[i:j], k)
-                at, times = np.unique((h & U64(cells - 1)).astype(np.int64), return_counts=True)
-                total[at] += times
-        small = np.minimum(total, 255).astype(np.uint8)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(n), pa.int32()), pa.array([small[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:])], pa.binary())],
-            names=["bin", "data"])
-
-    def merge(batches):
-        sums: dict[int, np.ndarray] = {}
+    def deal(batches):
         for batch in batches:
-            for b, v in zip(batch.column(0).to_pylist(), batch.column(1)):
-                part = np.frombuffer(v.as_buffer(), dtype=np.uint8)
-                sums[b] = sums.get(b, np.zeros(len(part), dtype=np.int64)) + part
-        for b, total in sums.items():
-            level = np.minimum(255, np.log2(np.maximum(total, 1)) * STEPS).astype(np.uint8)
-            yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([level.tobytes()], pa.binary())],
-                                             names=["bin", "data"])
+            for chunk, body in zip(batch.column(0).to_pylist(), batch.column(1)):
+                h, times = np.unique(shingles(C.opened(body).column(3), k)[0], return_counts=True)
+                key = h & U64((1 << KEY_BITS) - 1)
+                rows = list(C.records(chunk, B.bin_of(h, n), n, [
+                    key.astype(np.uint32), (key >> U64(32)).astype(np.uint8), np.minimum(times, 255).astype(np.uint8)]))
+                if rows:
+                    yield C.batch_of(rows)
 
-    found = B.dealt(docs.select("text").mapInArrow(count, B.SCHEMA), n).mapInArrow(merge, B.SCHEMA).toArrow()
-    sketch = np.zeros(cells, dtype=np.uint8)
-    for b, value in zip(found.column("bin").to_pylist(), found.column("data").to_pylist()):
-        sketch[ends[b]:ends[b + 1]] = np.frombuffer(value, dtype=np.uint8)
-    return sketch
+    def meet(batches):
+        for b, sent in C.by_bin(batches):
+            low, high, count = zip(*(C.split(d, kinds) for _, d in sent))
+            key = (np.concatenate(high).astype(np.uint64) << U64(32)) | np.concatenate(low)
+            order = np.argsort(key)
+            ordered = key[order]
+            new = np.ones(len(key), dtype=bool)
+            new[1:] = ordered[1:] != ordered[:-1]
+            total = np.add.reduceat(np.concatenate(count)[order].astype(np.int64), np.flatnonzero(new))
+            level = np.empty(len(key), dtype=np.uint8)
+            level[order] = np.minimum(255, np.log2(total) * STEPS).astype(np.uint8)[np.cumsum(new) - 1]
+            ends = np.cumsum([len(x) for x in low])
+            yield C.batch_of([(c, b, level[z - len(x):z].tobytes()) for (c, _), x, z in zip(sent, low, ends)])
 
+    return staged.mapInArrow(deal, C.PIECE).repartitionById(n, "bin").mapInArrow(meet, C.PIECE)
 
-class Order:
-    """The common order of shingles and what a shingle is expected to cost."""
 
-    def __init__(self, sketch: np.ndarray):
-        self.mask = U64(len(sketch) - 1)
-        self.level = sketch
-        count = np.exp2(np.arange(256) / STEPS)
-        self.cost_of = np.maximum(count - count[int(np.median(sketch))], 0)
+#: How many other places a shingle of each level is expected in.
+COSTS = np.exp2(np.arange(256) / STEPS) - 1
 
-    def keys(self, h: np.ndarray) -> np.ndarray:
-        """64-bit keys: rare shingles small; a key identifies its shingle."""
-        return (self.level[(h & self.mask).astype(np.int64)].astype(np.uint64) << U64(56)) | (h >> U64(8))
 
-    def costs(self, h: np.ndarray) -> np.ndarray:
-        return self.cost_of[self.level[(h & self.mask).astype(np.int64)]]
+def ordered_keys(h: np.ndarray, level: np.ndarray) -> np.ndarray:
+    """64-bit keys: rare shingles small; a key identifies its shingle."""
+    return (level.astype(np.uint64) << U64(56)) | (h >> U64(8))
 
 
 def least_overlap(n, num: int, den: int):
@@ -141,40 +132,54 @@ def choose_matches(costs: np.ndarray, n: int, base: int) -> int:
     return best
 
 
-def profiles(docs: DataFrame, k: int, num: int, den: int, order_bc) -> DataFrame:
-    """doc_id, id_key and body (hashes of id and text), n, hi, lo (fingerprint of the set), matches, prefix (keys, packed) per row."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
+def profiles(staged: DataFrame, levels: DataFrame, k: int, num: int, den: int, kind: str) -> DataFrame:
+    """doc_id, id_key and body (hashes of id and text), n, hi, lo (fingerprint of the set), matches, prefix per row.
+
+    ``prefix``: (key, rank) of the prefix shingles that occur more than once, packed; no other set has the rest.
+    """
 
     def describe(batches):
-        order = order_bc.value
         for batch in batches:
-            column = text_column(batch.column(3))
-            for i, j in pieces(column):
-                h, doc = shingles(column[i:j], k)
-                key = order.keys(h)
+            for body, found in zip(batch.column(1), batch.column(2)):
+                rows = C.opened(body)
+                h, doc = shingles(rows.column(3), k)
+                distinct, back = np.unique(h, return_inverse=True)
+                got = C.answers(found, np.uint8)
+                level = np.concatenate([got[b] for b in sorted(got)]) if got else np.zeros(0, dtype=np.uint8)
+                key = ordered_keys(distinct, level)[back]
                 by = np.lexsort((key, doc))
                 h, key, doc = h[by], key[by], doc[by]
                 new = np.ones(len(h), dtype=bool)
                 new[1:] = (doc[1:] != doc[:-1]) | (key[1:] != key[:-1])
                 h, key, doc = h[new], key[new], doc[new]
-                first = np.searchsorted(doc, np.arange(j - i + 1))
+                first = np.searchsorted(doc, np.arange(rows.num_rows + 1))
                 n = np.diff(first)
-                hi, lo = (_sums(mix(h ^ U64(s)), first) for s in (0x5851F42D4C957F2D, 0x14057B7EF767814F))
-                cost = order.costs(h)
+                hi, lo = _fingerprints(h, first)
+                rank = (key >> U64(56)).astype(np.int64)
+                cost = COSTS[rank]
                 matches, prefix = [], []
-                for d in range(j - i):
+                for d in range(rows.num_rows):
                     a, size = first[d], int(n[d])
                     base = size - least_overlap(size, num, den) + 1 if size else 0
                     stop = min(size, base + MAX_MATCHES - 1)
                     matches.append(choose_matches(cost[a:a + stop], size, base) if size else 0)
-                    prefix.append(key[a:a + stop].tobytes())
+                    shared = np.flatnonzero(rank[a:a + stop])
+                    own = np.empty(len(shared), dtype=PREFIX)
+                    own["t"], own["r"] = key[a:a + stop][shared], shared
+                    prefix.append(own.tobytes())
                 yield pa.RecordBatch.from_arrays(
-                    [*[batch.column(c)[i:j] for c in range(3)], pa.array(n, pa.int64()), pa.array(hi.view(np.int64)),
+                    [*rows.columns[:3], pa.array(n, pa.int64()), pa.array(hi.view(np.int64)),
                      pa.array(lo.view(np.int64)), pa.array(matches, pa.int32()), pa.array(prefix, pa.binary())],
                     names=["doc_id", "id_key", "body", "n", "hi", "lo", "matches", "prefix"])
 
-    return docs.select("doc_id", *_row_key(), "text").mapInArrow(
-        describe, f"doc_id {kind}, id_key long, body long, n long, hi long, lo long, matches int, prefix binary")
+    asked = C.gathered(levels, "found")
+    return (staged.join(asked, F.col("chunk") == F.col("found_chunk"), "left").select("chunk", "body", "found").mapInArrow(
+        describe, f"doc_id {kind}, id_key long, body long, n long, hi long, lo long, matches int, prefix binary"))
+
+
+def _fingerprints(h: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit hashes of each set of shingles."""
+    return tuple(_sums(mix(h ^ U64(s)), first) for s in (0x5851F42D4C957F2D, 0x14057B7EF767814F))
 
 
 def _sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -189,13 +194,13 @@ def postings(classes: DataFrame) -> DataFrame:
 
     def deal(batches):
         for batch in batches:
-            keys = [np.frombuffer(v.as_buffer(), dtype="<u8") for v in batch.column(1)]
+            keys = [np.frombuffer(v.as_buffer(), dtype=PREFIX) for v in batch.column(1)]
             size = np.array([len(x) for x in keys], dtype=np.int64)
             records = np.zeros(int(size.sum()), dtype=POSTING)
             if len(records):
-                records["t"] = np.concatenate(keys)
+                both = np.concatenate(keys)
+                records["t"], records["r"] = both["t"], both["r"]
                 records["c"] = np.repeat(batch.column(0).to_numpy(), size)
-                records["r"] = np.arange(len(records)) - np.repeat(np.cumsum(size) - size, size)
                 yield B.packed(records, B.bin_of(mix(records["t"].copy()), n), n)
 
     def meet(batches):
@@ -234,14 +239,16 @@ def _bitmap(keys: Column, rows: DataFrame) -> np.ndarray:
 
 
 def class_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """(c, items): the sorted hashes of each wanted class (c, id_key, body), from its representative's text.
+    """(c, items): the sorted hashes of each wanted class (id_key, body), from its representative's text.
 
-    Texts are not shuffled: tasks skip rows that a bitmap of the wanted keys rules out, and only sets travel.
+    Texts are not shuffled: tasks skip rows that a bitmap of the wanted keys rules out, and only sets travel. A few classes not
+    asked for may be among them, and a representative row that is repeated gives its set once per task.
     """
     spark = docs.sparkSession
     bits = spark.sparkContext.broadcast(_bitmap(F.xxhash64("id_key", "body"), wanted))
 
     def compute(batches):
+        given = set()
         for batch in batches:
             at = batch.column(2).to_numpy()
             use = np.flatnonzero(bits.value[at >> 3] >> (at & 7).astype(np.uint8) & 1)
@@ -255,17 +262,17 @@ def class_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
                 new[1:] = (doc[1:] != doc[:-1]) | (h[1:] != h[:-1])
                 h, doc = h[new], doc[new]
                 first = np.searchsorted(doc, np.arange(j - i + 1))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0)[i:j], batch.column(1)[i:j],
-                     pa.array([h[a:b].tobytes() for a, b in zip(first[:-1], first[1:])], pa.binary())],
-                    names=["id_key", "body", "items"])
+                sets = {}
+                for c, a, b in zip(_fingerprints(h, first)[0].view(np.int64).tolist(), first[:-1], first[1:]):
+                    if c not in given:
+                        sets[c] = h[a:b].tobytes()
+                given.update(sets)
+                yield pa.RecordBatch.from_arrays([pa.array(list(sets), pa.int64()), pa.array(list(sets.values()), pa.binary())],
+                                                 names=["c", "items"])
 
     keyed = docs.select(*_row_key(), "text")
     keyed = keyed.select("id_key", "body", F.pmod(F.xxhash64("id_key", "body"), F.lit(BITS)).alias("at"), "text")
-    # a representative row that is repeated gives the same set again
-    sets = (keyed.mapInArrow(compute, "id_key long, body long, items binary")
-            .groupBy("id_key", "body").agg(F.min("items").alias("items")))
-    return sets.join(wanted.select("c", "id_key", "body"), ["id_key", "body"]).select("c", "items")
+    return keyed.mapInArrow(compute, "c long, items binary")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -371,15 +378,16 @@ def _cross_pairs(posts: DataFrame, parts: DataFrame, num: int, den: int) -> Data
 
 def near_classes(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(rows, classes, components): rows of ``docs`` with their class, classes, and (node, component) of linked classes."""
-    spark: SparkSession = docs.sparkSession
-    order = spark.sparkContext.broadcast(Order(frequency_sketch(docs, k)))
-    rows = written(profiles(docs, k, num, den, order), "near-profiles")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    staged = C.stage(docs.select("doc_id", *_row_key(), "text"))
+    rows = written(profiles(staged, shingle_levels(staged, k), k, num, den, kind), "near-profiles")
     full = rows.where("n > 0")
     first = F.struct(F.col("doc_id").isNull().alias("unknown"), F.col("doc_id").alias("rep"), F.col("body").alias("body"),
                      F.col("id_key").alias("id_key"))
     reps = full.groupBy("hi", "lo", "n").agg(F.min(first).alias("first"), F.min("matches").alias("matches"),
                                              F.min("prefix").alias("prefix"))
-    classes = written(reps.select(F.monotonically_increasing_id().alias("c"), "hi", "lo", "n", "matches", "prefix",
+    # a class goes by the first half of its fingerprint, so that whoever has its set knows its name
+    classes = written(reps.select(F.col("hi").alias("c"), "hi", "lo", "n", "matches", "prefix",
                                   "first.rep", "first.body", "first.id_key"), "near-classes")
     posts = written(hopeful(postings(classes), classes, num, den), "near-postings")
 
@@ -387,7 +395,7 @@ def near_classes(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) ->
         """The pairs that link, verified on whole sets."""
         pairs = written(pairs, "near-pairs")
         met = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-        wanted = met.join(classes, F.col("id") == F.col("c")).select("c", "id_key", "body")
+        wanted = met.join(classes, F.col("id") == F.col("c")).select("id_key", "body")
         sets = written(class_sets(docs, written(wanted, "near-wanted"), k), "near-sets")
         return written(verified(pairs, sets, num, den), "near-links")
 
