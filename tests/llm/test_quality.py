@@ -49,6 +49,10 @@ def test_held_out_and_negative_labels_are_not_read(spark):
     want = sorted(map(tuple, quality_scores(docs, labels).collect()))
     flipped = labels.withColumn("quality", F.when(held_out(F.col("doc_id")), 1 - F.col("quality")).otherwise(F.col("quality")))
     assert sorted(map(tuple, quality_scores(docs, flipped).collect())) == want
+    # a label of 0 is as good as none
+    unsaid = labels.where("doc_id % 4 <> 1").withColumn("quality", F.when(F.col("quality") == 1, 1))
+    said = labels.where("doc_id % 4 <> 1")
+    assert sorted(map(tuple, quality_scores(docs, unsaid).collect())) == sorted(map(tuple, quality_scores(docs, said).collect()))
     extra = docs.withColumn("lang", F.lit("x")).withColumn("source", F.lit("y"))
     assert sorted(map(tuple, quality_scores(extra, labels).collect())) == want
 
