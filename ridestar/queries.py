@@ -612,6 +612,50 @@ def retained_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("partition", "offset", B.PARTITION_COLUMN)
 
 
+def _archive(spark: SparkSession, sf_dir: str):
+    """Events in files by date and offset, indexed; event times stand for ingestion times."""
+    from ridestar.sources.archive import Archive
+
+    ensure_utc(spark)
+    b = K.to_bronze(testdata.event_topic(spark, sf_dir)).withColumn("ingestion_time", F.col("kafka_timestamp"))
+    path = scratch_path(spark, "archive")
+    B.with_ingest_date(b).repartitionByRange(B.PARTITION_COLUMN, "partition", "offset").write.partitionBy(B.PARTITION_COLUMN).parquet(path)
+    a = Archive(spark, path)
+    a.refresh()
+    return a
+
+
+@register("retention_in_place", O.RETAINED)
+def retention_in_place(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last 7 ingest dates after an expiry that only changes which files are live."""
+    a = _archive(spark, sf_dir)
+    a.expire(TOPIC_RETENTION_DAYS, _dt.datetime.fromisoformat(RETENTION_NOW).date())
+    a.vacuum()
+    return a.read().select("partition", "offset", B.PARTITION_COLUMN)
+
+
+@register("offset_range", "SELECT event_id // 3 AS offset, event_type AS key FROM events "
+                          "WHERE event_id % 3 = 1 AND event_id // 3 BETWEEN 100 AND 900")
+def offset_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run of offsets of one partition; the file index leaves out the files that cannot hold any."""
+    return _archive(spark, sf_dir).read(partition=1, offsets=(100, 900)).select("offset", "key")
+
+
+@register("exact_percentiles", O.with_models(
+    "SELECT round(quantile_cont(price, 0.5), 6) AS median_price, round(quantile_cont(price, 0.9), 6) AS price_90, "
+    "round(quantile_cont(humidity, 0.5), 6) AS median_humidity FROM stg"))
+def exact_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Percentiles of staged measures by distributed selection."""
+    from ridestar.operators.median import exact_percentile
+    from ridestar.sources.tables import write_table
+
+    rows = write_table(staged(spark, sf_dir).select("price", "humidity"), scratch_path(spark, "measures"))
+    found = [(n, exact_percentile(rows, F.col(c), q)) for n, c, q in
+             (("median_price", "price", 0.5), ("price_90", "price", 0.9), ("median_humidity", "humidity", 0.5))]
+    return spark.createDataFrame([tuple(v for _, v in found)], ", ".join(f"{n} double" for n, _ in found)).select(
+        *[F.round(n, AVG_DECIMALS).alias(n) for n, _ in found])
+
+
 @register("refresh_count", O.REFRESH_COUNT)
 def refresh_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row count of the bronze table read afresh after the stream wrote it."""
@@ -663,10 +707,10 @@ def _write_trip_csv(spark: SparkSession, sf_dir: str, files: int | None = None)
 
 @register("clean_columns", O.with_models(O.clean_columns_sql([_KEY_TO_COLUMN[k] for k in _CSV_KEYS])))
 def clean_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trip rows written as raw CSV text (NA/NaN tokens, padded text), read back as strings and cleaned."""
+    """Trip rows written as raw CSV text (NA/NaN tokens, padded text), read back from splits as strings and cleaned."""
     ensure_utc(spark)
     path = _write_trip_csv(spark, sf_dir)
-    cleaned = CSV.clean_columns(CSV.read_trips_csv(spark, path, _CSV_KEYS, multi_line=True))
+    cleaned = CSV.clean_columns(CSV.read_trips_csv_splits(spark, path, _CSV_KEYS))
     return cleaned.select(*[F.col(f"`{k}`").alias(_KEY_TO_COLUMN[k]) for k in _CSV_KEYS])
 
 
