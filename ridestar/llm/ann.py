@@ -17,8 +17,9 @@ Lists longer than ``PART_ROWS`` are split by a hash of vec_id, and a list's quer
 holds a third of all rows, or is asked by a third of all queries, is many units of work. Scores
 are recomputed in double precision on the original vectors; ties go to the smaller vec_id.
 
-Vectors that are null, zero, hold null or non-finite components, have a null vec_id, or a length other than the most
-frequent one take no part. Of rows that share a vec_id each is a candidate of its own vector; a query id given
+Vectors that are null, zero, hold null or non-finite components, or have a null vec_id take no part. Vectors of
+different lengths have no inner product: each length has an index of its own, and a query is answered from the rows of its
+own length. Of rows that share a vec_id each is a candidate of its own vector; a query id given
 twice is answered once, for the vector of its least row.
 """
 
@@ -26,6 +27,7 @@ from __future__ import annotations
 
 import heapq
 import math
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -50,12 +52,10 @@ SLACK = 1e-9
 def valid_vectors(table: DataFrame) -> DataFrame:
     """(vec_id, v: array of double) of the rows that take part."""
     v = F.col("embedding").cast("array<double>")
-    rows = (table.where(F.col("vec_id").isNotNull()).select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("v"))
+    return (table.where(F.col("vec_id").isNotNull()).select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("v"))
             .where(F.col("v").isNotNull()
                    & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
                    & F.exists("v", lambda x: x != 0)))
-    length = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.col("count").desc(), "n").first()
-    return rows.where(F.size("v") == F.lit(length["n"] if length else 0))
 
 
 def matrix(column: pa.Array, width: int) -> np.ndarray:
@@ -194,9 +194,10 @@ def best_of(q: np.ndarray, ids: np.ndarray, x: np.ndarray, own: int, k: int) ->
 # ------------------------------------------------------------------ Spark jobs
 
 def _sample(rows: DataFrame, n: int, most: int, salt: int) -> DataFrame:
-    """At most ``most`` rows by a hash of vec_id."""
-    pick = F.xxhash64(F.lit(salt), "vec_id").bitwiseAND(F.lit((1 << 40) - 1)) / F.lit(float(1 << 40))
-    return rows.where(pick < min(1.0, 1.1 * most / max(1, n))).limit(most)
+    """The ``most`` rows of least hash of vec_id: the same rows however the table is laid out."""
+    pick = F.xxhash64(F.lit(salt), "vec_id").bitwiseAND(F.lit((1 << 40) - 1))
+    share = min(1.0, 1.5 * (most + 16) / max(1, n))   # hardly ever too few; each task hands on its ``most`` least ones
+    return rows.where(pick <= int(share * (1 << 40))).orderBy(pick, "vec_id").limit(most)
 
 
 def _top(df: DataFrame, by: list[str], k: int) -> DataFrame:
@@ -303,13 +304,19 @@ def _asked(queries: DataFrame, graph, ratio: float, width: int, sizes: np.ndarra
 
 def search(table: DataFrame, query_filter, k: int = 20, recall: float = RECALL, list_rows: int = LIST_ROWS) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest rows found for the rows of ``table`` that pass ``query_filter``."""
-    spark = table.sparkSession
-    rows = written(valid_vectors(table), "ann-rows")
-    found = build(rows, k, recall, list_rows)
-    schema = "query_id long, rank int, vec_id long, score double"
-    if found is None:
-        return spark.createDataFrame([], schema)
-    graph, ratio, top, width = found
+    rows = written(valid_vectors(table).withColumn("width", F.size("v")), "ann-rows")
+    widths = [r["width"] for r in rows.select("width").distinct().orderBy("width").collect()]
+    parts = [_search(rows.where(F.col("width") == w).drop("width"), query_filter, k, recall, list_rows) for w in widths]
+    return reduce(DataFrame.unionByName, parts) if parts else table.sparkSession.createDataFrame([], ANSWER)
+
+
+ANSWER = "query_id long, rank int, vec_id long, score double"
+
+
+def _search(rows: DataFrame, query_filter, k: int, recall: float, list_rows: int) -> DataFrame:
+    """``search`` among vectors (vec_id, v) of one length."""
+    spark = rows.sparkSession
+    graph, ratio, top, width = build(rows, k, recall, list_rows)
     lists = len(graph.value.c)
     postings = written(_entered(rows, graph, top, width), "ann-lists")
     sizes = np.zeros(lists, dtype=np.int64)
@@ -360,7 +367,7 @@ def search(table: DataFrame, query_filter, k: int = 20, recall: float = RECALL,
     # one packed row per query and unit: what is gathered per query stays small
     near = left.groupBy(*unit).cogroup(right.groupBy(*unit)).applyInArrow(
         meet, "query_id long, near array<struct<vec_id: long, score: double>>")
-    return near.groupBy("query_id").applyInArrow(merge, schema)
+    return near.groupBy("query_id").applyInArrow(merge, ANSWER)
 
 
 NEAR = pa.struct([("vec_id", pa.int64()), ("score", pa.float64())])

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from fixtures import SF
 
-from ridestar.llm.ann import Graph, balanced_centroids, search, valid_vectors
+from ridestar.llm.ann import Graph, _sample, balanced_centroids, search, valid_vectors
 
 SCHEMA = "vec_id long, embedding array<float>, label int"
 EVERY_20TH = "vec_id % 20 = 0"
@@ -80,13 +80,40 @@ def test_ties_go_to_the_smaller_id(spark):
 def test_vectors_that_take_no_part(spark):
     good = [(i, [float(i % 7 + 1), 1.0], 0) for i in range(0, 60)]
     bad = [(100, None, 0), (120, [0.0, 0.0], 0), (140, [1.0, None], 0), (160, [float("nan"), 1.0], 0),
-           (180, [float("inf"), 1.0], 0), (None, [1.0, 1.0], 0), (200, [], 0), (220, [1.0, 1.0, 1.0], 0)]
+           (180, [float("inf"), 1.0], 0), (None, [1.0, 1.0], 0), (200, [], 0)]
     df = spark.createDataFrame(good + bad + good[:3], SCHEMA)
     clean = spark.createDataFrame(good, SCHEMA)
     assert valid_vectors(df).count() == 63
     assert found(df) == brute(rows_of(clean))
 
 
+def test_each_length_is_searched_among_its_own(spark):
+    rng = np.random.default_rng(8)
+    wide, flat = rng.normal(size=(90, 5)), rng.normal(size=(60, 3))
+    rows = [(2 * i, [float(c) for c in v], 0) for i, v in enumerate(wide)]
+    few = [(2 * i + 20, [float(c) for c in v], 0) for i, v in enumerate(flat)] + [(1000, [1.0], 0)]
+    want = {**brute([(i, v) for i, v, _ in rows])}
+    # an id that both lengths ask for is answered for each of them
+    got = sorted(map(tuple, search(spark.createDataFrame(rows + few, SCHEMA).repartition(3), EVERY_20TH).collect()))
+    other = brute([(i, v) for i, v, _ in few[:-1]])
+    flat_rows = [(q, r, i, s) for w in (want, other) for q, near in w.items() for r, (i, s) in enumerate(near, 1)]
+    # SCHEMA holds floats: scores of the given doubles agree to their precision
+    assert [x[:3] for x in got] == [x[:3] for x in sorted(flat_rows)]
+    assert np.allclose([x[3] for x in got], [x[3] for x in sorted(flat_rows)], rtol=1e-5)
+
+
+def test_the_sample_does_not_follow_the_layout_of_the_table(spark):
+    rng = np.random.default_rng(9)
+    x = np.concatenate([rng.normal(size=(400, 8)) * 0.1 + 3 * rng.normal(size=8) for _ in range(10)])
+    df = frame(spark, x.astype(np.float32))
+    rows = valid_vectors(df)
+    one, two = ({r.vec_id for r in _sample(d, 4000, 500, 1).collect()} for d in (rows.coalesce(1), rows.repartition(7)))
+    assert one == two and len(one) == 500
+    assert min(sum(i // 400 == c for i in one) for c in range(10)) > 20      # a table sorted by cluster: all are there
+    got, want = found(df.coalesce(1), list_rows=100), brute(rows_of(df))
+    assert recall(got, want) >= 0.9
+
+
 def test_few_and_no_rows(spark):
     assert search(spark.createDataFrame([], SCHEMA), EVERY_20TH).count() == 0
     df = spark.createDataFrame([(0, [1.0, 0.0], 0), (1, [0.5, 0.5], 0), (20, [0.0, 1.0], 0)], SCHEMA)
