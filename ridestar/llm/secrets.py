@@ -27,9 +27,11 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -288,6 +290,20 @@ def p_histogram(docs: DataFrame, prose: Prose) -> dict[int, int]:
     return {r["b"]: r["n"] for r in rows}
 
 
+class Taken:
+    """The places of a text that spans (start, kind, end) hold already, and the end of what was added since, in order."""
+
+    def __init__(self, spans: list[tuple[int, int, int]]):
+        found = sorted((a, b) for a, _, b in spans)
+        self.starts = [a for a, _ in found]
+        self.ends = list(accumulate((b for _, b in found), max))
+        self.end = -1
+
+    def touches(self, start: int, end: int) -> bool:
+        before = bisect_left(self.starts, end)   # spans that begin before the end
+        return start < self.end or (before > 0 and start < self.ends[before - 1])
+
+
 def secret_spans(docs: DataFrame, fdr: float = 0.01, alpha: float = 0.001) -> DataFrame:
     """Per row of ``docs``: doc_id and ``spans``, an array of (kind, start, end) by start, then kind as listed."""
     prose = Prose.of(prose_counts(docs))
@@ -307,10 +323,12 @@ def secret_spans(docs: DataFrame, fdr: float = 0.01, alpha: float = 0.001) -> Da
                     random += [[(d, at + s, at + s + len(t)) for s, t in tokens
                                 if p_bin(t, prose) >= least and looks_random(t, alpha)] for tokens in tokens_of(word)]
                 # a token that a base span touches is found already, as are the parts of a run that is found
+                taken = [Taken(x) for x in spans]
                 for run in random:
                     for d, s, e in run:
-                        if not any(a < e and s < b for a, _, b in spans[d]):
+                        if not taken[d].touches(s, e):
                             spans[d].append((s, 3, e))
+                            taken[d].end = e
                 out += [[{"kind": KINDS[k], "start": s, "end": e} for s, k, e in sorted(x)] for x in spans]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(span))], names=["doc_id", "spans"])
 

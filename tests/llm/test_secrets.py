@@ -139,3 +139,21 @@ def test_empty_table_and_nulls(spark):
     assert secret_spans(empty(spark)).count() == 0
     df = spark.createDataFrame([(None, None, None, None, None), (1, "", None, None, None)], SCHEMA)
     assert [r.spans for r in secret_spans(df).collect()] == [[], []]
+
+
+def test_a_text_of_many_finds_takes_time_in_proportion(spark):
+    """Places taken are looked up by bisection: a long text of tokens is no square of its finds."""
+    import time
+
+    from ridestar.llm.secrets import Taken
+
+    spans = [(10 * i, 1, 10 * i + 5) for i in range(200_000)]
+    t0 = time.perf_counter()
+    taken = Taken(spans)
+    hits = sum(taken.touches(10 * i + 4, 10 * i + 7) for i in range(200_000))
+    assert hits == 200_000 and not any(taken.touches(10 * i + 5, 10 * i + 10) for i in range(200_000))
+    assert time.perf_counter() - t0 < 10
+    nested = Taken([(0, 1, 100), (5, 1, 10)])
+    assert nested.touches(50, 60) and not nested.touches(100, 110)
+    nested.end = 110
+    assert nested.touches(105, 107) and not nested.touches(110, 112)
