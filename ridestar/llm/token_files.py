@@ -1,6 +1,6 @@
 """Token ids as length-delimited binary records with checksums and a separate offset index.
 
-A data set is a folder of shards. ``shard-NNNNNN.records`` holds records one after
+A data set is a folder of shards. ``shard-NNNNNN-ATTEMPT.records`` holds records one after
 another, documents in ascending doc_id order within a shard and from shard to shard:
 
     u64 length of the payload | u32 masked CRC-32 of those 8 bytes
@@ -8,18 +8,19 @@ another, documents in ascending doc_id order within a shard and from shard to sh
 
 The payload is i64 doc_id, u8 flags (1: doc_id is null, 2: ids take 4 bytes, else 2), then
 the ids, all little-endian. The mask is a rotation plus a constant, so that a checksum
-stored inside checksummed data does not cancel out. ``shard-NNNNNN.index`` holds the u64
+stored inside checksummed data does not cancel out. ``shard-NNNNNN-ATTEMPT.index`` holds the u64
 byte offset of each record and the file's length at the end: a shuffled read seeks to
 single records. A manifest (Parquet) has a row per shard: records, tokens, bytes.
 
-Writers use a name of their own and rename it when the shard is whole, so a lost or
-repeated task leaves either nothing or the same shard. Files go through ``pyarrow.fs``
+Each attempt of a task writes files of its own name and puts that name into its row of the manifest, whose commit decides
+between attempts: what a lost or repeated attempt leaves is named by no row, and no file is ever replaced. Files go through ``pyarrow.fs``
 (local and HDFS or object-store URIs); the folder must be shared by all executors.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import struct
 import uuid
 import zlib
@@ -31,13 +32,18 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ridestar.llm.split import UnitTable
+from ridestar.llm.split import KEPT_UNIT_CHARS, UnitTable
 from ridestar.llm.words import pieces, text_column
 
 #: Fixed value: added to the rotated checksum.
 MASK_DELTA = 0xA282EAD8
 NULL_ID, WIDE = 1, 2
+#: Fixed value: the letters that stand for a blank and a line feed in a byte-level vocabulary.
+BLANK_LETTERS = "\u0120\u010a"
 READ_BYTES = 4 << 20
+#: Shards that a task of a shuffled read holds open.
+OPEN_FILES = 64
+MANIFEST_SCHEMA = "shard int, name string, records long, tokens long, bytes long"
 RECORD_SCHEMA = "doc_id long, start long, n_tokens long, ids binary"
 
 
@@ -95,16 +101,54 @@ def library_table(path: str) -> UnitTable:
         t.no_truncation()
         t.no_padding()
 
-        def many(texts: list[str]) -> Iterator[bytes]:
-            for i in range(0, len(texts), 4096):
-                for e in t.encode_batch_fast(texts[i:i + 4096], add_special_tokens=False):
-                    ids = e.ids
-                    yield struct.pack(f"<{len(ids)}I", *ids)
-
-        _TABLES[path] = UnitTable(many)
+        _TABLES[path] = UnitTable(Together(t).encode)
     return _TABLES[path]
 
 
+#: A blank, then text without blanks and without white space at its ends.
+_JOINS = re.compile(r"[ \n]\S(?:[^ \n]*\S)?")
+
+
+class Together:
+    """The library's ids of many units at little cost: units that begin with a blank are encoded as one text.
+
+    Such units, with no other white space at their ends or blank within, are cut apart in any text by the byte-level pattern, so
+    their tokens do not depend on each other; and only a unit's first token begins with the blank's letter. Others, and all
+    units of a group whose tokens do not come apart that way, go to the library one by one.
+    """
+
+    GROUP = 512
+
+    def __init__(self, tokenizer):
+        self.one = tokenizer
+        vocabulary = tokenizer.get_vocab(with_added_tokens=True)
+        self.begins = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.begins[[i for token, i in vocabulary.items() if token[:1] in BLANK_LETTERS]] = True
+        self.added = [x.content for x in tokenizer.get_added_tokens_decoder().values()]
+        if any(c.isspace() for x in self.added for c in x):   # one could lie across two units
+            self.GROUP = 1
+
+    def joins(self, unit: str) -> bool:
+        return len(unit) <= KEPT_UNIT_CHARS and _JOINS.fullmatch(unit) is not None and not any(x in unit for x in self.added)
+
+    def encode(self, units: list[str]) -> Iterator[bytes]:
+        for i in range(0, len(units), self.GROUP):
+            group = units[i:i + self.GROUP]
+            out: dict[int, bytes] = {}
+            joined = [k for k, u in enumerate(group) if self.joins(u)]
+            if joined:
+                ids = np.array(self.one.encode_batch_fast(["".join([group[k] for k in joined])], add_special_tokens=False)[0].ids,
+                               dtype="<u4")
+                ends = [*np.flatnonzero(self.begins[ids]).tolist(), len(ids)]
+                if len(ends) == len(joined) + 1:
+                    packed = ids.tobytes()
+                    out = {k: packed[4 * a:4 * z] for k, a, z in zip(joined, ends, ends[1:])}
+            rest = [k for k in range(len(group)) if k not in out]
+            for k, e in zip(rest, self.one.encode_batch_fast([group[k] for k in rest], add_special_tokens=False)):
+                out[k] = struct.pack(f"<{len(e.ids)}I", *e.ids)
+            yield from (out[k] for k in range(len(group)))
+
+
 def write_token_records(docs: DataFrame, folder: str, tokenizer: str, end_id: int) -> DataFrame:
     """Encodes every whole text (null: empty), appends ``end_id`` and writes the shards; returns the manifest.
 
@@ -122,8 +166,8 @@ def write_token_records(docs: DataFrame, folder: str, tokenizer: str, end_id: in
         task = TaskContext.get()
         fs, base = file_system(folder)
         fs.create_dir(base)
-        name = f"{base}/shard-{task.partitionId():06d}"
-        own = f"{name}.{task.taskAttemptId()}-{uuid.uuid4().hex[:8]}"
+        name = f"shard-{task.partitionId():06d}-{task.taskAttemptId()}-{uuid.uuid4().hex[:8]}"
+        own = f"{base}/{name}"
         offsets, tokens, size, buffer = [], 0, 0, []
         with fs.open_output_stream(f"{own}.records") as out:
             for batch in batches:
@@ -143,13 +187,11 @@ def write_token_records(docs: DataFrame, folder: str, tokenizer: str, end_id: in
             return
         with fs.open_output_stream(f"{own}.index") as out:
             out.write(np.array([*offsets, size], dtype="<u8").tobytes())
-        for kind in ("records", "index"):
-            fs.move(f"{own}.{kind}", f"{name}.{kind}")
         yield pa.RecordBatch.from_pydict({
-            "shard": pa.array([task.partitionId()], pa.int32()), "records": pa.array([len(offsets)], pa.int64()),
+            "shard": pa.array([task.partitionId()], pa.int32()), "name": pa.array([name]), "records": pa.array([len(offsets)], pa.int64()),
             "tokens": pa.array([tokens], pa.int64()), "bytes": pa.array([size], pa.int64())})
 
-    manifest = rows.mapInArrow(write, "shard int, records long, tokens long, bytes long")
+    manifest = rows.mapInArrow(write, MANIFEST_SCHEMA)
     manifest.write.mode("overwrite").parquet(f"{folder}/manifest")
     return read_manifest(docs.sparkSession, folder)
 
@@ -157,7 +199,7 @@ def write_token_records(docs: DataFrame, folder: str, tokenizer: str, end_id: in
 def read_manifest(spark: SparkSession, folder: str) -> DataFrame:
     """A row per shard with ``start``, the number of tokens in all shards before it."""
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    rows = spark.read.schema("shard int, records long, tokens long, bytes long").parquet(f"{folder}/manifest")
+    rows = spark.read.schema(MANIFEST_SCHEMA).parquet(f"{folder}/manifest")
     return rows.withColumn("start", F.coalesce(F.sum("tokens").over(before), F.lit(0)))
 
 
@@ -172,10 +214,10 @@ def read_token_records(spark: SparkSession, folder: str) -> DataFrame:
     def read(batches):
         fs, base = file_system(folder)
         for batch in batches:
-            for shard, start, size in zip(*(batch.column(k).to_pylist() for k in range(3))):
+            for name, start, size in zip(*(batch.column(k).to_pylist() for k in range(3))):
                 rows: list[tuple] = []
                 pending = 0
-                with fs.open_input_stream(f"{base}/shard-{shard:06d}.records") as f:
+                with fs.open_input_stream(f"{base}/{name}.records") as f:
                     rest, done, seen = b"", False, 0
                     while not done:
                         block = f.read(READ_BYTES)
@@ -196,11 +238,11 @@ def read_token_records(spark: SparkSession, folder: str) -> DataFrame:
                                 rows, pending = [], 0
                         rest = bytes(data[at:])
                 if seen != size:
-                    raise Damaged(f"shard {shard} has {seen} bytes, the manifest says {size}")
+                    raise Damaged(f"{name} has {seen} bytes, the manifest says {size}")
                 if rows:
                     yield _records(rows)
 
-    return manifest.select("shard", "start", "bytes").repartition(shards).mapInArrow(read, RECORD_SCHEMA)
+    return manifest.select("name", "start", "bytes").repartition(shards).mapInArrow(read, RECORD_SCHEMA)
 
 
 def _records(rows: list[tuple]) -> pa.RecordBatch:
@@ -219,21 +261,23 @@ def read_shuffled(spark: SparkSession, folder: str, seed: int, epoch: int = 0) -
     def entries(batches):
         fs, base = file_system(folder)
         for batch in batches:
-            for shard in batch.column(0).to_pylist():
-                with fs.open_input_stream(f"{base}/shard-{shard:06d}.index") as f:
+            for shard, name in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                with fs.open_input_stream(f"{base}/{name}.index") as f:
                     at = np.frombuffer(f.read(), dtype="<u8").astype(np.int64)
                 yield pa.RecordBatch.from_pydict({
-                    "shard": pa.array(np.full(len(at) - 1, shard, dtype=np.int32)), "at": pa.array(at[:-1]),
+                    "shard": pa.array(np.full(len(at) - 1, shard, dtype=np.int32)), "name": pa.array([name] * (len(at) - 1)), "at": pa.array(at[:-1]),
                     "size": pa.array(np.diff(at))})
 
     def fetch(batches):
         fs, base = file_system(folder)
         for batch in batches:
-            order, shard, at, size = (batch.column(k).to_pylist() for k in range(4))
+            order, name, at, size = (batch.column(k).to_pylist() for k in range(4))
             files, rows = {}, []
-            for o, s, a, n in zip(order, shard, at, size):
+            for o, s, a, n in zip(order, name, at, size):
                 if s not in files:
-                    files[s] = fs.open_input_file(f"{base}/shard-{s:06d}.records")
+                    if len(files) == OPEN_FILES:
+                        files.pop(next(iter(files))).close()
+                    files[s] = fs.open_input_file(f"{base}/{s}.records")
                 files[s].seek(a)
                 doc_id, ids, _ = parse(memoryview(files[s].read(n)), 0)
                 rows.append((o, doc_id, len(ids), ids.tobytes()))
@@ -244,7 +288,7 @@ def read_shuffled(spark: SparkSession, folder: str, seed: int, epoch: int = 0) -
                     [pa.array(list(c), t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int64(), pa.binary()))],
                     names=["order", "doc_id", "n_tokens", "ids"])
 
-    index = (manifest.select("shard").repartition(shards).mapInArrow(entries, "shard int, at long, size long")
+    index = (manifest.select("shard", "name").repartition(shards).mapInArrow(entries, "shard int, name string, at long, size long")
              .withColumn("order", F.xxhash64(F.lit(seed), F.lit(epoch), "shard", "at")))
-    dealt = index.repartitionByRange("order").sortWithinPartitions("order").select("order", "shard", "at", "size")
+    dealt = index.repartitionByRange("order").sortWithinPartitions("order").select("order", "name", "at", "size")
     return dealt.mapInArrow(fetch, "order long, doc_id long, n_tokens long, ids binary")

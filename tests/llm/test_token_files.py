@@ -1,4 +1,6 @@
 import glob
+import random
+import shutil
 import struct
 import zlib
 
@@ -8,7 +10,7 @@ import pytest
 from fixtures import SF, awkward, empty
 from tokenizers import Tokenizer
 
-from ridestar.llm.token_files import (Damaged, frame, parse, read_manifest, read_shuffled, read_token_records,
+from ridestar.llm.token_files import (Damaged, Together, frame, parse, read_manifest, read_shuffled, read_token_records,
                                       write_token_records)
 
 PATH = P.path("byte_bpe_50k.json")
@@ -79,3 +81,22 @@ def test_damage_is_found_on_reading(spark, tmp_dir):
     open(path, "wb").write(data)
     with pytest.raises(Exception, match="checksum|cut off"):
         read_token_records(spark, tmp_dir).collect()
+
+
+def test_units_encoded_together_are_those_of_the_library():
+    rng = random.Random(3)
+    letters = ["a", "é", "日", "\t", "\u00a0", ".", "'s", "9", "<|endoftext|>", "\U0001f600", "x" * 300, "\r", "\u2028", "THE", "\x1c"]
+    units = [rng.choice([" ", "\n", "", "\t"]) + "".join(rng.choice(letters) for _ in range(rng.randint(0, 5))) for _ in range(6000)]
+    t = Tokenizer.from_file(PATH)
+    want = [np.array(e.ids, dtype="<u4").tobytes() for e in t.encode_batch(units, add_special_tokens=False)]
+    assert list(Together(t).encode(units)) == want
+
+
+def test_what_a_lost_attempt_left_is_not_read(spark, tmp_dir):
+    df = awkward(spark)
+    write_token_records(df, tmp_dir, PATH, 2)
+    for path in glob.glob(f"{tmp_dir}/*.records"):
+        shutil.copy(path, path.replace("shard-", "shard-000000-99-dead"))
+    got = read_token_records(spark, tmp_dir)
+    assert got.count() == df.count() and read_shuffled(spark, tmp_dir, 1).count() == df.count()
+    assert not glob.glob(f"{tmp_dir}/shard-??????.records")
