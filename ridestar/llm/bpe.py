@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from ridestar.llm.split import UnitTable
+from ridestar.llm.split import KEPT_UNITS, UnitTable, older_half
 from ridestar.llm.words import pieces, text_column
 
 #: Fixed value: the byte-level pattern that splits a text before merging.
@@ -110,8 +110,8 @@ class Bpe:
             ids = self.merge(word.encode("utf-8", "surrogatepass"))
             found = struct.pack(f"<{len(ids)}I", *ids)
             if len(word) <= 64:
-                if len(self.words) >= 1 << 20:
-                    self.words.clear()
+                if len(self.words) >= KEPT_UNITS:
+                    self.words = older_half(self.words, KEPT_UNITS)
                 self.words[word] = found
         return found
 

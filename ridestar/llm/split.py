@@ -12,10 +12,11 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterable
+from itertools import islice
 
 _RUN = re.compile(r"\s\s")
-#: Units kept per worker; the table is emptied when it is full.
-KEPT_UNITS = 1 << 20
+#: Units kept per worker (about 200 bytes each); of a full table the older half stays, as common units come early.
+KEPT_UNITS = 1 << 19
 KEPT_UNIT_CHARS = 256
 
 
@@ -27,6 +28,11 @@ def units(text: str) -> list[str]:
     return [parts[0], *[p if p[:1] == "\n" else " " + p for p in parts[1:]]]
 
 
+def older_half(known: dict[str, bytes], limit: int) -> dict[str, bytes]:
+    """The first ``limit // 2`` entries made."""
+    return dict(islice(known.items(), limit // 2))
+
+
 class UnitTable:
     """ids (little-endian unsigned 32-bit) of units seen lately, filled by ``encode_many``."""
 
@@ -43,8 +49,8 @@ class UnitTable:
         known = self.ids
         new = [u for u in wanted if u not in known]
         if len(known) + len(new) > self.limit:
-            self.ids = known = {}
-            new = list(wanted)
+            self.ids = known = older_half(known, self.limit)
+            new = [u for u in wanted if u not in known]
         known.update(zip(new, self.encode_many(new)))
         out = [b"".join([known[u] for u in c]) for c in cut]
         for u in new:
