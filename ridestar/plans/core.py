@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ridestar.functions.keys import (
@@ -121,3 +121,28 @@ def fact_trips(stg: DataFrame, key_mode: str = ALIGNED) -> DataFrame:
         "kafka_timestamp",
         "ingestion_time",
     )
+
+
+TRIP_DATE = "trip_date"
+
+
+def _trip_date() -> Column:
+    """The calendar date of a trip's wall-clock time; NULL for text that is none."""
+    return F.try_to_timestamp(F.col("trip_datetime"), F.lit(DATETIME_FORMAT)).cast("timestamp_ntz").cast("date")
+
+
+def fact_by_date(stg: DataFrame, key_mode: str = ALIGNED) -> DataFrame:
+    """The fact with its trip date, to be written partitioned by ``TRIP_DATE``."""
+    names = fact_trips(stg, key_mode).columns
+    # the date goes along the fact's projection as one more column of its input
+    keyed = fact_trips(stg.withColumn("trip_id", F.struct("trip_id", _trip_date().alias(TRIP_DATE))), key_mode)
+    return keyed.select(F.col("trip_id.trip_id").alias("trip_id"), *[c for c in names if c != "trip_id"],
+                        F.col(f"trip_id.{TRIP_DATE}").alias(TRIP_DATE))
+
+
+def dim_calendar(stg: DataFrame) -> DataFrame:
+    """The trips' dates with their calendar parts."""
+    dates = stg.select(_trip_date().alias(TRIP_DATE)).where(F.col(TRIP_DATE).isNotNull()).distinct()
+    dow = day_name(F.col(TRIP_DATE).cast("timestamp_ntz"))
+    return dates.select(TRIP_DATE, F.year(TRIP_DATE).cast("bigint").alias("year"), F.month(TRIP_DATE).cast("bigint").alias("month"),
+                        dow.alias("day_of_week"), dow.isin(*WEEKEND_DAYS).alias("is_weekend"))

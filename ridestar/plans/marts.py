@@ -59,3 +59,14 @@ def mart_weather_impact(fact: DataFrame, weather: DataFrame, cabs: DataFrame) ->
          Measure("avg_price", "avg", F.col("price")),
          Measure("avg_surge_multiplier", "avg", F.col("surge_multiplier"))],
     )
+
+
+def mart_daily_trends(fact: DataFrame, calendar: DataFrame) -> DataFrame:
+    """Trips and averages by day of week and month, for the dates that ``calendar`` (filtered, say) holds.
+
+    ``fact`` is partitioned by trip date: the calendar's dates prune its partitions at run time, before any is read.
+    """
+    days = calendar.select("trip_date", "year", "month", "day_of_week", "is_weekend")
+    return (fact.join(days, "trip_date").groupBy("year", "month", "day_of_week", "is_weekend")
+            .agg(F.count(F.lit(1)).alias("total_trips"), F.avg("price").alias("avg_price"),
+                 F.avg("distance_miles").alias("avg_distance_miles")))

@@ -120,6 +120,25 @@ def mart_weather_impact_reference(spark: SparkSession, sf_dir: str) -> DataFrame
     return stable(out, _WEATHER_ROUND)
 
 
+_DAILY_ROUND = {"avg_price": AVG_DECIMALS, "avg_distance_miles": AVG_DECIMALS}
+
+
+@register("mart_daily_trends", O.with_models(O.round_cols(
+    "SELECT year(d) AS year, month(d) AS month, dayname(d) AS day_of_week, TRUE AS is_weekend, count(*) AS total_trips, "
+    "avg(price) AS avg_price, avg(distance_miles) AS avg_distance_miles "
+    "FROM (SELECT *, substr(trip_datetime, 1, 10)::DATE AS d FROM stg) "
+    "WHERE dayname(d) IN ('Saturday', 'Sunday') AND year(d) = 1996 GROUP BY ALL", _DAILY_ROUND)))
+def mart_daily_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weekend trips of a year over a fact partitioned by date; the calendar prunes the partitions that are read."""
+    from ridestar.sources.tables import write_table
+
+    stg = write_table(staged(spark, sf_dir), scratch_path(spark, "staging"))
+    by_date = core.fact_by_date(stg)
+    fact = write_table(by_date.repartition(core.TRIP_DATE), scratch_path(spark, "fact"), partition_by=[core.TRIP_DATE])
+    calendar = write_table(core.dim_calendar(stg), scratch_path(spark, "calendar"))
+    return stable(marts.mart_daily_trends(fact, calendar.where("is_weekend AND year = 1996")), _DAILY_ROUND)
+
+
 # ------------------------------------------------------------------ core models
 
 @register("dim_cabs", O.with_models("SELECT * FROM dim_cabs"))

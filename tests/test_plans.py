@@ -95,3 +95,23 @@ def test_single_consumers_are_lazy_and_parse_once(spark):
 
     for name in ("dim_cabs", "assert_lag"):
         assert plan(Q.REGISTRY[name](spark, SF)).count("from_json(") == 1
+
+
+def test_a_calendar_prunes_the_partitions_of_the_fact(spark, tmp_dir):
+    from helpers import staging_rows
+
+    stg = staging_rows(spark, [dict(trip_id=f"t{d}-{i}", trip_datetime=f"2024-03-{d:02d} 10:00:0{i}", price=float(i)) for d in range(1, 15)
+                               for i in range(3)] + [dict(trip_id="x", trip_datetime="no date")])
+    core.fact_by_date(stg).repartition(core.TRIP_DATE).write.partitionBy(core.TRIP_DATE).parquet(f"{tmp_dir}/fact")
+    core.dim_calendar(stg).write.parquet(f"{tmp_dir}/days")
+    fact, days = spark.read.parquet(f"{tmp_dir}/fact"), spark.read.parquet(f"{tmp_dir}/days")
+    assert fact.columns == [*core.fact_trips(stg).columns, core.TRIP_DATE] and days.count() == 14
+    out = marts.mart_daily_trends(fact, days.where("is_weekend AND month = 3"))
+    assert "dynamicpruning" in plan(out).lower()
+    assert sorted((r.day_of_week, r.total_trips, r.avg_price) for r in out.collect()) == [("Saturday", 6, 1.0), ("Sunday", 6, 1.0)]
+    # the partitions of other dates are not opened
+    import glob
+    for f in glob.glob(f"{tmp_dir}/fact/trip_date=*/*.parquet"):
+        if f.split("trip_date=")[1][:10] not in ("2024-03-02", "2024-03-03", "2024-03-09", "2024-03-10"):
+            open(f, "wb").close()
+    assert sum(r.total_trips for r in marts.mart_daily_trends(spark.read.schema(fact.schema).parquet(f"{tmp_dir}/fact"), days.where("is_weekend AND month = 3")).collect()) == 12
