@@ -133,16 +133,11 @@ def block(seed: int) -> Column:
     return F.pmod(_number(F.lit(str(seed)), _id(F.col("doc_id"))), F.col("blocks"))
 
 
-def mixture(docs: DataFrame, max_repeats: float | None = 2.0, target_entropy: float | None = None,
-            budget: float | None = None, block_words: int = 1 << 20, seed: int = SEED) -> DataFrame:
-    """``docs`` with a struct column ``mix``: weight and words of the source, block, copies of the row (0: left out).
-
-    One of ``max_repeats`` and ``target_entropy`` is given; the other is None.
-    """
+def _mixed(docs: DataFrame, max_repeats: float | None, target_entropy: float | None, budget: float | None, block_words: int,
+           seed: int) -> DataFrame:
+    """``row``, a row of ``docs`` as a struct, and ``mix``, what the mixture makes of it: no name of ``docs`` can clash."""
     if (max_repeats is None) == (target_entropy is None):
         raise ValueError("give max_repeats or target_entropy")
-    if "mix" in {c.lower() for c in docs.columns}:
-        raise ValueError("docs already has a column mix")
     plan, blocks, taken = _pieces(docs, max_repeats, target_entropy, budget, block_words, seed)
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     rows = docs.select(whole, F.col("doc_id"), F.col("source").alias("from"))
@@ -156,15 +151,27 @@ def mixture(docs: DataFrame, max_repeats: float | None = 2.0, target_entropy: fl
     rows = rows.join(by_doc, F.col("of").eqNullSafe(F.col("of3")) & (F.col("block") == F.col("block3"))
                      & (F.col("id") == F.col("id3")), "left")
     more = F.when(F.col("part") == "all", 1).when(F.col("in_cut"), 1).otherwise(0)
-    return rows.select("row.*", F.struct(
+    return rows.select("row", F.struct(
         "weight", F.col("words").alias("source_words"), "block", (F.col("epochs") + more).alias("copies")).alias("mix"))
 
 
-def mix(docs: DataFrame, **parameters) -> DataFrame:
-    """The mixed rows themselves: each row of ``docs`` as many times as the mixture takes it."""
-    out = mixture(docs, **parameters).where(F.col("mix.copies") > 0)
-    copy = F.explode(F.array_repeat(F.lit(0), F.col("mix.copies").cast("int")))
-    return out.withColumn("mix", copy).drop("mix")
+def mixture(docs: DataFrame, max_repeats: float | None = 2.0, target_entropy: float | None = None,
+            budget: float | None = None, block_words: int = 1 << 20, seed: int = SEED) -> DataFrame:
+    """``docs`` with a struct column ``mix``: weight and words of the source, block, copies of the row (0: left out).
+
+    One of ``max_repeats`` and ``target_entropy`` is given; the other is None. A column ``mix`` already there is an error.
+    """
+    if "mix" in {c.lower() for c in docs.columns}:
+        raise ValueError("docs already has a column mix")
+    return _mixed(docs, max_repeats, target_entropy, budget, block_words, seed).select("row.*", "mix")
+
+
+def mix(docs: DataFrame, max_repeats: float | None = 2.0, target_entropy: float | None = None,
+        budget: float | None = None, block_words: int = 1 << 20, seed: int = SEED) -> DataFrame:
+    """The mixed rows themselves: each row of ``docs`` as many times as the mixture takes it, whatever its columns' names."""
+    out = _mixed(docs, max_repeats, target_entropy, budget, block_words, seed)
+    copies = F.array_repeat(F.lit(0), F.col("mix.copies").cast("int"))
+    return out.select("row", F.explode(copies).alias("copy")).select("row.*")
 
 
 def schedule(docs: DataFrame, seed: int = SEED, **parameters) -> DataFrame:

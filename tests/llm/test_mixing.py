@@ -6,7 +6,7 @@ import sys
 from collections import Counter, defaultdict
 
 import pytest
-from fixtures import SCHEMA, SF, awkward, empty, prose
+from fixtures import SCHEMA, SF, awkward, documents, empty, prose
 
 from pyspark.sql import functions as F
 from ridestar.llm.mixing import epochs, exponent, mix, mixture, schedule, sources
@@ -152,3 +152,9 @@ def test_no_python_in_native_plans(spark):
     for name in ("op8_source_mixing", "op9_exact_dedup"):
         text = L.QUERIES[name](spark, SF)._jdf.queryExecution().toString()
         assert not re.search("Python|Pandas|Arrow", text)
+
+
+def test_columns_named_as_the_mixture_names_its_own(spark):
+    df = documents(spark, ["a b c", "d e", "f"]).selectExpr("*", "1 as mix", "2 as row", "3 as copies", "4 as of", "5 as block", "6 as copy")
+    out = mix(df)
+    assert out.columns == df.columns and sorted(out.distinct().collect()) == sorted(df.collect())
