@@ -46,5 +46,5 @@ def test_the_last_queries_are_registered():
     import __spark_entry__ as E
 
     names = [n for n in E.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in E.queries() and "pipeline" not in E.oracle_sql()
