@@ -47,7 +47,7 @@ class UnitTable:
         for c in cut:
             wanted.update(c)
         known = self.ids
-        new = [u for u in wanted if u not in known]
+        new = list(wanted.difference(known))
         if len(known) + len(new) > self.limit:
             self.ids = known = older_half(known, self.limit)
             new = [u for u in wanted if u not in known]

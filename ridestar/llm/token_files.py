@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ridestar.llm.split import KEPT_UNIT_CHARS, UnitTable
+from ridestar.llm.split import KEPT_UNIT_CHARS, KEPT_UNITS, UnitTable
 from ridestar.llm.words import pieces, text_column
 
 #: Fixed value: added to the rotated checksum.
@@ -101,7 +101,7 @@ def library_table(path: str) -> UnitTable:
         t.no_truncation()
         t.no_padding()
 
-        _TABLES[path] = UnitTable(Together(t).encode)
+        _TABLES[path] = UnitTable(Together(t).encode, 2 * KEPT_UNITS)
     return _TABLES[path]
 
 
