@@ -27,12 +27,12 @@ from pyspark.sql import types as T
 
 from ridestar.functions.json import json_double, json_long, json_string, strict_variant
 from ridestar.operators.dedup import dedup_latest
-from ridestar.session import allow_repeated_keys
+from ridestar.session import allow_repeated_keys, compiled_methods
 from ridestar.spec import DOUBLE, LONG, METADATA_COLUMNS, PAYLOAD_FIELDS, STAGING_COLUMNS, STRING, Field
 
 _TYPED = "__typed"
-_VARIANT = "__variant"
 _EXACT = "__exact"
+_READ = "__read"
 CORRUPT = "_corrupt_record"
 
 # Latest record wins; partition and offset make the order total (ties are not arbitrary).
@@ -74,9 +74,9 @@ def _needs_exact_path(typed: Column, value: Column, read: Sequence[Field] = PAYL
         typed[f.key].startswith("{") | typed[f.key].startswith("[") for f in read if f.dtype == STRING
     ]
     # Text with trailing blanks also takes the exact path (correct, just slower).
-    # Bytes up to the first brace: ``locate`` would count characters, which took a fifth of the whole parse.
-    cond = (typed.isNull() | typed[CORRUPT].isNotNull()
-            | (F.octet_length(F.substring_index(value, "}", 1)) + 1 != F.octet_length(value)))
+    # All bytes but the last are looked through for a brace: ``locate`` counts characters and ``substring_index`` compares slowly.
+    but_last = F.substring(value.cast("binary"), F.lit(1), F.octet_length(value) - 1).cast("string")
+    cond = typed.isNull() | typed[CORRUPT].isNotNull() | ~value.endswith("}") | but_last.contains("}")
     for c in nested:
         cond = cond | F.coalesce(c, F.lit(False))
     return F.coalesce(cond, F.lit(True))
@@ -103,9 +103,10 @@ def parse_events(bronze: DataFrame, with_reason: bool = False, columns: Sequence
     """
     read = _fields_of(columns)
     allow_repeated_keys(bronze.sparkSession)
+    compiled_methods(bronze.sparkSession)
     meta = [F.col(src).cast(t).alias(dst) for src, dst, t in METADATA_COLUMNS]
     meta_names = [dst for _, dst, _ in METADATA_COLUMNS]
-    t, v, exact = F.col(_TYPED), F.col(_VARIANT), F.col(_EXACT)
+    t, exact = F.col(_TYPED), F.col(_EXACT)
     # The typed parse is produced by a generator (explode of a one-element
     # array): Catalyst keeps filters on parsed fields (``trip_id IS NOT NULL``)
     # above a generator instead of pushing them below the parse, where they
@@ -121,24 +122,24 @@ def parse_events(bronze: DataFrame, with_reason: bool = False, columns: Sequence
         *meta_names,
     ).select(F.col("__g.t").alias(_TYPED), F.col("__g.x").alias(_EXACT), F.col("__g.value").alias("value"),
              *meta_names)
-    exact_struct = F.struct(*[_exact_field(F.col(_VARIANT), f).alias(f.key) for f in read])
-    both = typed.select(
-        _TYPED, _EXACT, *meta_names, *(["value"] if with_reason else []),
-        F.when(exact, strict_variant(F.col("value"))).alias(_VARIANT),
-    )
-    both = both.select(
-        _TYPED, _EXACT, *meta_names, *(["value"] if with_reason else []),
-        F.when(exact, F.struct(v.isNull().alias("__malformed"), exact_struct.alias("s"))).alias("__e"),
-    )
-    e = F.col("__e")
-    fields = [F.when(exact, e["s"][f.key]).otherwise(t[f.key]).alias(f.column) for f in read]
-    cols = fields + [F.col(m) for m in meta_names]
+    # The exact path works in lambda functions, which run outside generated code, and gives a struct of the typed parse's form: written
+    # out per field in the generated loop it made one method too large for HotSpot to compile, so every row was interpreted.
+
+    def exactly(variant: Column) -> Column:
+        values = [_exact_field(variant, f).alias(f.key) for f in read]
+        return F.struct(variant.isNull().alias("malformed"),
+                        F.struct(*values, F.lit(None).cast("string").alias(CORRUPT)).alias("s"))
+
+    read_exactly = F.transform(F.transform(F.when(exact, F.array("value")), strict_variant), exactly)
+    as_typed = F.struct(F.lit(False).alias("malformed"), t.alias("s"))
+    both = typed.select(F.when(exact, read_exactly[0]).otherwise(as_typed).alias(_READ), *meta_names,
+                        *(["value"] if with_reason else []))
+    got = F.col(_READ)
+    cols = [got["s"][f.key].alias(f.column) for f in read] + [F.col(m) for m in meta_names]
     if with_reason:
-        f0 = PAYLOAD_FIELDS[0]
-        trip_id = F.when(exact, e["s"][f0.key]).otherwise(t[f0.key])
         cols += [
-            F.when(exact & e["__malformed"], F.lit("malformed_json"))
-            .when(trip_id.isNull(), F.lit("missing_id"))
+            F.when(got["malformed"], F.lit("malformed_json"))
+            .when(got["s"][PAYLOAD_FIELDS[0].key].isNull(), F.lit("missing_id"))
             .alias("reject_reason"),
             F.col("value"),
         ]

@@ -82,6 +82,20 @@ def allow_repeated_keys(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
 
 
+def compiled_methods(spark: SparkSession) -> None:
+    """Stages whose generated method has over 8,000 bytes run by operators instead: HotSpot never compiles such a method."""
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
+
+
+#: Bytes of an Arrow batch that a task hands to Python; Spark's own bound is 10,000 rows, however long their texts.
+ARROW_BATCH_BYTES = 4 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Rows with whole texts go to Python in batches of a few MB, so a task holds little of them on either side."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BATCH_BYTES))
+
+
 def strip_file_scheme(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
