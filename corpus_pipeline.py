@@ -17,10 +17,12 @@ from ridestar.llm.ngram_join import near_dedup
 from ridestar.llm.quality import keep_good
 from ridestar.llm.queries import MAX_REPEATS, vocabulary
 from ridestar.llm.space import table, written
+from ridestar.session import bound_batches
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier rejects go."""
+    bound_batches(spark)
     return keep_good(docs, table(spark, sf_dir, "labels"))
 
 
@@ -31,6 +33,7 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies (five-word shingles, Jaccard similarity 0.8 or more) one stays."""
+    bound_batches(spark)
     return near_dedup(docs, k=5, num=80, den=100)
 
 
@@ -41,6 +44,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens and digests of the ids and of the decoded text of every row."""
+    bound_batches(spark)
     return token_digests(docs, vocabulary())
 
 

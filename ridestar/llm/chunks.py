@@ -18,13 +18,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ridestar.llm.space import written
-from ridestar.llm.words import pieces, text_column
+from ridestar.llm.words import BATCH_BYTES, pieces, text_column
 
 PIECE = "chunk long, bin int, data binary"
 
 
-def stage(docs: DataFrame) -> DataFrame:
-    """(chunk, body) of rows of ``docs``, whose column ``text`` is made non-null."""
+def stage(docs: DataFrame, limit: int = BATCH_BYTES) -> DataFrame:
+    """(chunk, body) of rows of ``docs``, whose column ``text`` is made non-null; a chunk has ``limit`` bytes of text at most, or one row."""
     at = docs.columns.index("text")
 
     def pack(batches):
@@ -33,7 +33,7 @@ def stage(docs: DataFrame) -> DataFrame:
             texts = text_column(batch.column(at))
             columns = [texts if k == at else c for k, c in enumerate(batch.columns)]
             whole = pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
-            for i, j in pieces(texts):
+            for i, j in pieces(texts, limit):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([n], pa.int64()), pa.array([_body(whole.slice(i, j - i))], pa.binary())], names=["chunk", "body"])
                 n += 1

@@ -41,6 +41,8 @@ KEY_BITS = 40
 STEPS = 6
 BITS = 1 << 25
 BLOCK = 64
+#: Bytes of text of a chunk: a task's arrays are some 30 times as large.
+CHUNK_BYTES = 1 << 20
 PREFIX = np.dtype([("t", "<u8"), ("r", "<u4")])
 POSTING = np.dtype([("t", "<u8"), ("c", "<i8"), ("r", "<u4")])
 
@@ -89,14 +91,18 @@ def shingle_levels(staged: DataFrame, k: int) -> DataFrame:
     def meet(batches):
         for b, sent in C.by_bin(batches):
             low, high, count = zip(*(C.split(d, kinds) for _, d in sent))
-            key = (np.concatenate(high).astype(np.uint64) << U64(32)) | np.concatenate(low)
+            key = np.concatenate(high).astype(np.uint64)
+            key <<= U64(32)
+            key |= np.concatenate(low)
             order = np.argsort(key)
-            ordered = key[order]
-            new = np.ones(len(key), dtype=bool)
-            new[1:] = ordered[1:] != ordered[:-1]
-            total = np.add.reduceat(np.concatenate(count)[order].astype(np.int64), np.flatnonzero(new))
-            level = np.empty(len(key), dtype=np.uint8)
-            level[order] = np.minimum(255, np.log2(total) * STEPS).astype(np.uint8)[np.cumsum(new) - 1]
+            key = key[order]
+            heads = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+            times = np.diff(np.append(heads, len(key)))
+            del key   # few arrays of a bin's size at a time
+            total = np.add.reduceat(np.concatenate(count)[order], heads, dtype=np.int64)
+            of_key = np.minimum(255, np.log2(total) * STEPS).astype(np.uint8)
+            level = np.empty(len(order), dtype=np.uint8)
+            level[order] = np.repeat(of_key, times)
             ends = np.cumsum([len(x) for x in low])
             yield C.batch_of([(c, b, level[z - len(x):z].tobytes()) for (c, _), x, z in zip(sent, low, ends)])
 
@@ -254,7 +260,7 @@ def class_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
             use = np.flatnonzero(bits.value[at >> 3] >> (at & 7).astype(np.uint8) & 1)
             batch = batch.take(pa.array(use))
             column = text_column(batch.column(3))
-            for i, j in pieces(column):
+            for i, j in pieces(column, CHUNK_BYTES):
                 h, doc = shingles(column[i:j], k)
                 by = np.lexsort((h, doc))
                 h, doc = h[by], doc[by]
@@ -379,7 +385,7 @@ def _cross_pairs(posts: DataFrame, parts: DataFrame, num: int, den: int) -> Data
 def near_classes(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(rows, classes, components): rows of ``docs`` with their class, classes, and (node, component) of linked classes."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    staged = C.stage(docs.select("doc_id", *_row_key(), "text"))
+    staged = C.stage(docs.select("doc_id", *_row_key(), "text"), CHUNK_BYTES)
     rows = written(profiles(staged, shingle_levels(staged, k), k, num, den, kind), "near-profiles")
     full = rows.where("n > 0")
     first = F.struct(F.col("doc_id").isNull().alias("unknown"), F.col("doc_id").alias("rep"), F.col("body").alias("body"),

@@ -122,3 +122,26 @@ def test_components_of_a_path_and_a_star(spark):
     star = [(1, i) for i in range(2, 60)] + [(7, 7)]
     got = {r.node: r.component for r in components(spark.createDataFrame(path + star, "a long, b long")).collect()}
     assert got == {**{i: 200 for i in range(200, 261)}, **{i: 1 for i in range(1, 60)}}
+
+
+def test_chunks_and_batches_are_bounded_in_bytes(spark):
+    import pyarrow as pa
+
+    from ridestar.llm import chunks as C
+    from ridestar.session import bound_batches
+
+    docs = spark.range(40).selectExpr("id doc_id", "repeat('word ', 100000) text").coalesce(1)
+    sizes = [C.opened(pa.scalar(bytes(r.body))).get_total_buffer_size() for r in C.stage(docs, 1 << 20).collect()]
+    assert len(sizes) >= 20 and max(sizes) < 3 << 20
+
+    def count(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows])], names=["rows"])
+
+    before = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    try:
+        bound_batches(spark)
+        seen = [r.rows for r in docs.mapInArrow(count, "rows long").collect()]
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", before)
+    assert sum(seen) == 40 and max(seen) <= 10
