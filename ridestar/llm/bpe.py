@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import BinaryType, StructField, StructType
 
 from ridestar.llm.split import KEPT_UNITS, UnitTable, older_half
-from ridestar.llm.words import pieces, text_column
+from ridestar.llm.words import giving_back, pieces, text_column
 
 #: Fixed value: the byte-level pattern that splits a text before merging.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -163,7 +163,7 @@ def encode_column(docs: DataFrame, path: str, column: str = "text", into: str =
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())],
                                              names=[*batch.schema.names, into])
 
-    return docs.mapInArrow(encode, StructType([*docs.schema.fields, StructField(into, BinaryType())]))
+    return docs.mapInArrow(giving_back(encode), StructType([*docs.schema.fields, StructField(into, BinaryType())]))
 
 
 def token_digests(docs: DataFrame, path: str, id_column: str = "doc_id") -> DataFrame:
@@ -191,4 +191,4 @@ def token_digests(docs: DataFrame, path: str, id_column: str = "doc_id") -> Data
 
     kind = docs.schema[id_column].dataType.simpleString()
     return docs.select(id_column, "text").mapInArrow(
-        digest, f"`{id_column}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+        giving_back(digest), f"`{id_column}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ridestar.llm.space import written
-from ridestar.llm.words import BATCH_BYTES, pieces, text_column
+from ridestar.llm.words import BATCH_BYTES, giving_back, pieces, text_column
 
 PIECE = "chunk long, bin int, data binary"
 
@@ -38,7 +38,7 @@ def stage(docs: DataFrame, limit: int = BATCH_BYTES) -> DataFrame:
                     [pa.array([n], pa.int64()), pa.array([_body(whole.slice(i, j - i))], pa.binary())], names=["chunk", "body"])
                 n += 1
 
-    return written(docs.mapInArrow(pack, "chunk long, body binary"), "chunks")
+    return written(docs.mapInArrow(giving_back(pack), "chunk long, body binary"), "chunks")
 
 
 def _body(batch: pa.RecordBatch) -> bytes:

@@ -34,7 +34,7 @@ from ridestar.llm import bins as B
 from ridestar.llm import chunks as C
 from ridestar.llm.components import components
 from ridestar.llm.space import stay, written
-from ridestar.llm.words import LANES, U64, mix, pieces, text_column, windows, words_of
+from ridestar.llm.words import LANES, U64, giving_back, mix, pieces, text_column, windows, words_of
 
 MAX_MATCHES = 4
 KEY_BITS = 40
@@ -106,7 +106,7 @@ def shingle_levels(staged: DataFrame, k: int) -> DataFrame:
             ends = np.cumsum([len(x) for x in low])
             yield C.batch_of([(c, b, level[z - len(x):z].tobytes()) for (c, _), x, z in zip(sent, low, ends)])
 
-    return staged.mapInArrow(deal, C.PIECE).repartitionById(n, "bin").mapInArrow(meet, C.PIECE)
+    return staged.mapInArrow(giving_back(deal), C.PIECE).repartitionById(n, "bin").mapInArrow(giving_back(meet), C.PIECE)
 
 
 #: How many other places a shingle of each level is expected in.
@@ -180,7 +180,7 @@ def profiles(staged: DataFrame, levels: DataFrame, k: int, num: int, den: int, k
 
     asked = C.gathered(levels, "found")
     return (staged.join(asked, F.col("chunk") == F.col("found_chunk"), "left").select("chunk", "body", "found").mapInArrow(
-        describe, f"doc_id {kind}, id_key long, body long, n long, hi long, lo long, matches int, prefix binary"))
+        giving_back(describe), f"doc_id {kind}, id_key long, body long, n long, hi long, lo long, matches int, prefix binary"))
 
 
 def _fingerprints(h: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -223,8 +223,8 @@ def postings(classes: DataFrame) -> DataFrame:
             t[many].view(np.int64), got["c"][many], got["r"][many].astype(np.int32), got["c"][head][many],
             got["r"][head][many].astype(np.int32)])
 
-    return (B.dealt(classes.select("c", "prefix").mapInArrow(deal, B.SCHEMA), n)
-            .mapInArrow(meet, "t long, c long, r int, head long, head_r int"))
+    return (B.dealt(classes.select("c", "prefix").mapInArrow(giving_back(deal), B.SCHEMA), n)
+            .mapInArrow(giving_back(meet), "t long, c long, r int, head long, head_r int"))
 
 
 def _row_key() -> list[Column]:
@@ -278,7 +278,7 @@ def class_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
 
     keyed = docs.select(*_row_key(), "text")
     keyed = keyed.select("id_key", "body", F.pmod(F.xxhash64("id_key", "body"), F.lit(BITS)).alias("at"), "text")
-    return keyed.mapInArrow(compute, "c long, items binary")
+    return keyed.mapInArrow(giving_back(compute), "c long, items binary")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ridestar.llm.words import Words, bounds, pieces, text_column
+from ridestar.llm.words import Words, bounds, giving_back, pieces, text_column
 
 MAX_ROWS = 20_000
 #: Bytes of texts whose features are made at once: each byte takes some ten numbers of 8 bytes meanwhile.
@@ -196,7 +196,7 @@ def feature_rows(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([groups[i:j], pa.array([r.tobytes() for r in x], pa.binary())],
                                                  names=["part", "x"])
 
-    return docs.select("part", "text").mapInArrow(compute, "part int, x binary")
+    return docs.select("part", "text").mapInArrow(giving_back(compute), "part int, x binary")
 
 
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model:
@@ -243,7 +243,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(np.concatenate(out) if out else [], pa.float64())], names=["doc_id", "score"])
 
-    return docs.select("doc_id", "text").mapInArrow(compute, f"doc_id {kind}, score double")
+    return docs.select("doc_id", "text").mapInArrow(giving_back(compute), f"doc_id {kind}, score double")
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
@@ -270,4 +270,4 @@ def keep_good(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> D
             keep = [model.scores(features(column[i:j]).astype(float)) >= THRESHOLD for i, j in pieces(column, STEP)]
             yield batch.filter(pa.array(np.concatenate(keep) if keep else [], pa.bool_()))
 
-    return docs.mapInArrow(choose, docs.schema)
+    return docs.mapInArrow(giving_back(choose), docs.schema)

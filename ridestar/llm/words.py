@@ -12,7 +12,8 @@ probability near 2^-60. Where an operator needs more it takes two lanes.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -128,6 +129,26 @@ class Words:
         return mix(out)
 
 
+def give_back() -> None:
+    """Hands memory that this process has freed back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)   # only where the C library has it
+    if trim is not None:
+        trim(0)
+
+
+def giving_back(work: Callable[[Iterable[pa.RecordBatch]], Iterable[pa.RecordBatch]]):
+    """``work`` as it is; at a task's end its Python worker, which stays for later tasks, gives back what the task had freed."""
+
+    def run(batches):
+        try:
+            yield from work(batches)
+        finally:
+            give_back()
+
+    return run
+
+
 def text_column(column) -> pa.Array:
     """An Arrow string array without nulls (null: empty)."""
     if isinstance(column, pa.ChunkedArray):
