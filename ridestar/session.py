@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -87,6 +88,24 @@ def compiled_methods(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
 
 
+_FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def freeing_shuffles(spark: SparkSession):
+    """Writes begun here drop their shuffle files when they end; otherwise the files of all a query's writes stay side by side.
+
+    A write's plan is its own and never runs again. For eager writes only: a DataFrame that is collected twice would have to
+    make its shuffle anew.
+    """
+    before = spark.conf.get(_FREE_SHUFFLES, None)
+    spark.conf.set(_FREE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(_FREE_SHUFFLES) if before is None else spark.conf.set(_FREE_SHUFFLES, before)
+
+
 #: Bytes of an Arrow batch that a task hands to Python; Spark's own bound is 10,000 rows, however long their texts.
 ARROW_BATCH_BYTES = 4 << 20
 

@@ -10,7 +10,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridestar.session import MAX_BUCKETS
+from ridestar.session import MAX_BUCKETS, freeing_shuffles
 
 
 def register_view(df: DataFrame, name: str) -> DataFrame:
@@ -29,26 +29,38 @@ def bucket_count(spark: SparkSession) -> int:
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), bucket_by: Sequence[str] = (),
-                table: str | None = None, buckets: int | None = None) -> DataFrame:
+                table: str | None = None, buckets: int | None = None, compression: str | None = None) -> DataFrame:
     """Full refresh: overwrite the table's files, return a reader of the new table.
 
+    The shuffles of the write are dropped at its end. ``compression``: the Parquet codec (None: the session's).
+
     ``bucket_by`` (needs ``table``): an external catalog table at ``path``,
     bucketed on those columns, so later aggregations and joins on them read
     co-located data without a shuffle.
     """
     spark = df.sparkSession
     w = df.write.mode("overwrite")
+    if compression:
+        w = w.option("compression", compression)
     if partition_by:
         w = w.partitionBy(*partition_by)
     if bucket_by:
         if not table:
             raise ValueError("bucketed tables need a table name")
-        w.bucketBy(buckets or bucket_count(spark), *bucket_by).option("path", path).saveAsTable(table)
+        with freeing_shuffles(spark):
+            w.bucketBy(buckets or bucket_count(spark), *bucket_by).option("path", path).saveAsTable(table)
         return spark.table(table)
-    w.parquet(path)
+    with freeing_shuffles(spark):
+        w.parquet(path)
     return spark.read.parquet(path)
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Deletes what a run wrote at ``path`` for itself; no DataFrame that is still to run may read it."""
+    fs, at = _file_system(spark, path)
+    fs.delete(at, True)
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame | None:
     try:
         return spark.read.parquet(path)

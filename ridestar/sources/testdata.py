@@ -16,6 +16,9 @@ from ridestar.spec import TOPIC_PARTITIONS
 
 TIMEZONE = "America/New_York"
 
+#: Suppliers (two numbers each, some tens of bytes) are broadcast up to this many, so that no line item is shuffled for them.
+BROADCAST_SUPPLIERS = 1_000_000
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -30,11 +33,14 @@ def _provider(p_type: Column) -> Column:
     )
 
 
-def trip_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def trip_rows(spark: SparkSession, sf_dir: str, by_partition: bool = False) -> DataFrame:
     """Typed trip rows (payload keys as columns) plus Kafka metadata columns.
 
-    Join plan: orders meet customers, then lineitem on the order key (sort-merge or AQE's choice); part
-    and supplier are joined on their keys; broadcasts are left to the planner (only under Spark's size threshold).
+    Join plan: line items meet parts while they are narrowest, then orders that have met their customers (sort-merge or AQE's
+    choice). Suppliers are broadcast if they are few (``BROADCAST_SUPPLIERS``); other broadcasts are left to the planner (only
+    under Spark's size threshold). Names of nations come last, so no shuffle holds them.
+
+    ``by_partition``: the rows of a topic partition lie in one task. They are shuffled before the payload is made of them.
     """
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
@@ -44,17 +50,23 @@ def trip_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type", "p_size")
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     supp = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    if supp.limit(BROADCAST_SUPPLIERS + 1).count() <= BROADCAST_SUPPLIERS:
+        supp = F.broadcast(supp)
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     src_nation = nation.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("src_name"))
     dst_nation = nation.select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("dst_name"))
 
-    # orders, the narrower table, meets the customers, so line items are shuffled for orders and parts only
-    ordered = orders.join(cust, F.col("o_custkey") == cust.c_custkey).join(src_nation, "c_nationkey")
+    # orders, the narrower table, meets the customers, so line items are shuffled for parts and orders only
+    ordered = orders.join(cust, F.col("o_custkey") == cust.c_custkey).drop("o_custkey", "c_custkey")
     j = (
-        li.join(ordered, li.l_orderkey == ordered.o_orderkey)
-        .join(part, F.col("l_partkey") == part.p_partkey)
-        .join(supp.join(dst_nation, "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey"))
+        li.join(part, F.col("l_partkey") == part.p_partkey).drop("p_partkey")
+        .join(ordered, li.l_orderkey == ordered.o_orderkey)
+        .join(supp, F.col("l_suppkey") == F.col("s_suppkey"))
+        .withColumn("partition", F.col("l_suppkey").cast("int"))
     )
+    if by_partition:
+        j = j.repartition("partition")
+    j = j.join(src_nation, "c_nationkey").join(dst_nation, "s_nationkey")
 
     trip_dt = F.timestamp_add("HOUR", F.col("l_linenumber"), F.col("o_orderdate"))
     temperature = F.when(F.col("l_linenumber") == 6, F.lit(None).cast("double")).otherwise(
@@ -92,7 +104,7 @@ def trip_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("p_size") % 11).cast("double").alias("uvIndex"),
         (F.lit(300.0) + F.col("p_size")).alias("ozone"),
         # Kafka metadata: (id, timestamp, partition, offset) is a total order.
-        F.col("l_suppkey").cast("int").alias("partition"),
+        "partition",
         F.col("l_partkey").alias("offset"),
         ntz_to_instant("l_shipdate").alias("kafka_timestamp"),
         ntz_to_instant(F.timestamp_add("MINUTE", F.col("l_partkey") % 200, F.col("l_shipdate"))).alias("ingestion_time"),
@@ -107,12 +119,12 @@ PAYLOAD_KEYS_IN_TRIPS: tuple[str, ...] = (
 )
 
 
-def trip_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+def trip_bronze(spark: SparkSession, sf_dir: str, by_partition: bool = False) -> DataFrame:
     """Bronze-shaped trip events: key, JSON value, partition, offset, timestamps.
 
-    The value is the row as JSON with NULL fields kept (as the producer writes it).
+    The value is the row as JSON with NULL fields kept (as the producer writes it). ``by_partition``: see ``trip_rows``.
     """
-    rows = trip_rows(spark, sf_dir)
+    rows = trip_rows(spark, sf_dir, by_partition)
     payload = F.struct(*[F.col(f"`{k}`") for k in PAYLOAD_KEYS_IN_TRIPS])
     from ridestar.functions.clean import event_key
 
@@ -129,7 +141,7 @@ def trip_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 def trip_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``trip_bronze`` as a topic numbers its messages: the offsets of each partition are dense and in the order given."""
     given = Window.partitionBy("partition").orderBy("offset", "kafka_timestamp", "value")
-    return trip_bronze(spark, sf_dir).withColumn("offset", F.row_number().over(given).cast("long"))
+    return trip_bronze(spark, sf_dir, by_partition=True).withColumn("offset", F.row_number().over(given).cast("long"))
 
 
 def event_topic(spark: SparkSession, sf_dir: str, partitions: int = TOPIC_PARTITIONS) -> DataFrame:
